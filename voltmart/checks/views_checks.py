@@ -1,0 +1,13 @@
+"""The domain views themselves, checked whole."""
+
+from __future__ import annotations
+
+from voltmart.checks.registry import query
+from voltmart.checks.sqlviews import sql
+
+for _name in [
+    "rentals", "payment_attempts", "quotes", "idempotency_keys", "debts", "outcomes", "clock", "ticks",
+    "tariffs", "profiles", "quote_requests", "start_requests", "holds", "stop_requests", "api_events",
+    "debt_operations",
+]:
+    query(f"view_{_name}", sql(f"SELECT * FROM {_name}", _name))(lambda v, n=_name: getattr(v, n)())
