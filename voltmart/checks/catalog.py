@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from voltmart.checks import views_checks  # noqa: F401
+from voltmart.checks import billing_checks, warehouse_checks  # noqa: F401
 from voltmart.checks.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
