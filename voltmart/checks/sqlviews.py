@@ -129,7 +129,7 @@ _view("api_events", """
 """)
 _view("debt_operations", """
   SELECT l_orderkey * 10 + l_linenumber AS id, 'billing-worker' AS service,
-         CASE min(l_returnflag) WHEN 'R' THEN 'add' WHEN 'A' THEN 'reduce' ELSE 'retry' END AS operation,
+         CASE min(l_returnflag) WHEN 'A' THEN 'add' WHEN 'R' THEN 'reduce' ELSE 'retry' END AS operation,
          CAST(round(max(l_extendedprice) / 100) AS BIGINT) AS amount,
          min(l_shipdate) + to_seconds((l_orderkey * 10 + l_linenumber) * 613 % 86400) AS ts
   FROM lineitem GROUP BY l_orderkey, l_linenumber

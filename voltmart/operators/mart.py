@@ -110,54 +110,62 @@ def _typed(df: DataFrame) -> DataFrame:
 # ----- the KPI table in one pass over each source
 
 
+PARTIALS = ["q", "s", "f", "t", "a", "ok", "rev"]
+
+
+def _part(day: Column, **measures: Column) -> Column:
+    """One ``(day, partial counts)`` entry; measures not given are 0 (no duration: NULL)."""
+    zero, nil = F.lit(0).cast("bigint"), F.lit(None).cast("decimal(20,0)")
+    fields = [measures.get(m, nil if m == "t" else zero).alias(m) for m in PARTIALS]
+    return F.struct(F.to_date(day).alias("day"), *fields)
+
+
+def quote_parts(quotes: DataFrame) -> DataFrame:
+    one = F.lit(1).cast("bigint")
+    return quotes.select(F.inline(F.array(_part(F.col("created_at"), q=one))))
+
+
+def rental_parts(rentals: DataFrame) -> DataFrame:
+    """A start entry per rental and, if it has finished, a finish entry with its duration."""
+    one = F.lit(1).cast("bigint")
+    entries = F.array(
+        _part(F.col("started_at"), s=one), _part(F.col("finished_at"), f=one, t=_duration_micros())
+    )
+    return rentals.select(F.inline(entries)).filter(F.col("day").isNotNull())
+
+
+def payment_parts(payments: DataFrame) -> DataFrame:
+    success = F.coalesce(F.col("success"), F.lit(False))
+    entry = _part(
+        F.col("created_at"),
+        a=F.lit(1).cast("bigint"),
+        ok=success.cast("bigint"),
+        rev=F.when(success, F.col("amount")).otherwise(0).cast("bigint"),
+    )
+    return payments.select(F.inline(F.array(entry)))
+
+
+def daily_partials(parts: DataFrame) -> DataFrame:
+    """Partial counts summed per day; sums of sums stay exact, so batches can be merged."""
+    return parts.filter(F.col("day").isNotNull()).groupBy("day").agg(*[F.sum(c).alias(c) for c in PARTIALS])
+
+
 def kpi_daily(quotes: DataFrame, rentals: DataFrame, payments: DataFrame) -> DataFrame:
     """Dense daily KPI (C11): same rows as ``join_daily``, each source read once.
 
     All sources become ``(day, partial counts)`` rows and meet in one aggregation by day that
-    combines before its shuffle; a rental gives a start row and, if finished, a finish row.
-    What is left has one row per calendar day, so the window that finds the calendar bounds
-    and the next present day orders a few thousand rows however large the sources are.
+    combines before its shuffle.
     """
-    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    nil = F.lit(None).cast("decimal(20,0)")
+    parts = quote_parts(quotes).unionByName(rental_parts(rentals)).unionByName(payment_parts(payments))
+    return kpi_from_partials(daily_partials(parts))
 
-    def part(day: Column, q=none, s=none, f=none, t=nil, a=none, ok=none, rev=none) -> Column:
-        return F.struct(
-            F.to_date(day).alias("day"), q.alias("q"), s.alias("s"), f.alias("f"), t.alias("t"),
-            a.alias("a"), ok.alias("ok"), rev.alias("rev"),
-        )
 
-    success = F.coalesce(F.col("success"), F.lit(False))
-    parts = (
-        quotes.select(F.inline(F.array(part(F.col("created_at"), q=one))))
-        .unionByName(
-            rentals.select(
-                F.inline(
-                    F.array(
-                        part(F.col("started_at"), s=one),
-                        part(F.col("finished_at"), f=one, t=_duration_micros()),
-                    )
-                )
-            )
-        )
-        .unionByName(
-            payments.select(
-                F.inline(
-                    F.array(
-                        part(
-                            F.col("created_at"),
-                            a=one,
-                            ok=success.cast("bigint"),
-                            rev=F.when(success, F.col("amount")).otherwise(0).cast("bigint"),
-                        )
-                    )
-                )
-            )
-        )
-        .filter(F.col("day").isNotNull())
-    )
-    daily = parts.groupBy("day").agg(*[F.sum(c).alias(c) for c in ["q", "s", "f", "t", "a", "ok", "rev"]])
+def kpi_from_partials(daily: DataFrame) -> DataFrame:
+    """Dense KPI from one row per day that has events.
 
+    The window that finds the calendar bounds and the next present day orders one row per
+    calendar day: a few thousand, however large the sources are.
+    """
     all_days = Window.partitionBy(F.lit(1))
     counted = F.when((F.col("s") > 0) | (F.col("a") > 0), F.col("day"))
     bounded = (

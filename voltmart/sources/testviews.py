@@ -249,7 +249,7 @@ class TestViews:
         )
 
     def debt_operations(self) -> DataFrame:
-        """One debt operation per payment line: returned = add, accepted = reduce, else retry."""
+        """One debt operation per payment line, its kind taken from the return flag."""
         flag = F.col("op")
         line = (
             self.table("lineitem")
@@ -264,7 +264,7 @@ class TestViews:
         return line.select(
             id_.alias("id"),
             F.lit("billing-worker").alias("service"),
-            F.when(flag == "R", "add").when(flag == "A", "reduce").otherwise("retry").alias("operation"),
+            F.when(flag == "A", "add").when(flag == "R", "reduce").otherwise("retry").alias("operation"),
             "amount",
             add_seconds("day", id_ * 613 % 86400).alias("ts"),
         )
