@@ -117,15 +117,7 @@ def s4(v):
 @query("s5_stateful_billing", REPLAY_SQL)
 def s5(v):
     opening = opening_state(v.rentals(), v.payment_attempts(), v.debts())
-    emitted = billing.bill_ticks(live(v).ticks(), opening, CFG)
-    target = scratch_path(v.spark, "s5")
-    folder = f"{target}/states"
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
-
-    batches.drain_batches(emitted, target, handle, "update")
-    return billing.latest_states(v.spark.read.parquet(folder).drop("batch"))
+    return billing.bill_ticks(live(v).ticks(), opening, scratch_path(v.spark, "s5"), CFG)
 
 
 @query("s6_failure_runs", sql(f"WITH {_RUNS.strip()}\nSELECT * FROM runs", "api_events"))

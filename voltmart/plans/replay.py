@@ -19,6 +19,11 @@ from voltmart.plans.billing_tick import split_valid
 
 # A day of 30-second ticks; longer histories are replayed day by day.
 MAX_TICKS = 2880
+TICKS = "array<struct<tick:int,now_ts:timestamp,ok:boolean>>"
+STATE = (
+    "struct<status:string,finished_at:timestamp,price:int,free_min:int,started_at:timestamp,paid:bigint,"
+    "debt:bigint,attempts:int,last_attempt_at:timestamp,charged:bigint,n_attempts:bigint,tick:int>"
+)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -34,9 +39,9 @@ def ordered_ticks(ticks: DataFrame) -> DataFrame:
     gathered = single.groupBy("rental_id").agg(
         F.sort_array(F.collect_list(F.struct("tick", "t.now_ts", "t.ok"))).alias("ticks")
     )
-    too_long = F.raise_error(F.concat(F.lit("more ticks than one replay may hold: rental "), F.col("rental_id")))
+    too_long = F.raise_error(F.concat(F.lit("too many ticks for one replay: rental "), F.col("rental_id")))
     fits = F.size("ticks") <= MAX_TICKS
-    return gathered.withColumn("ticks", F.when(fits, F.col("ticks")).otherwise(too_long.cast("array<struct<tick:int,now_ts:timestamp,ok:boolean>>")))
+    return gathered.withColumn("ticks", F.when(fits, F.col("ticks")).otherwise(too_long.cast(TICKS)))
 
 
 def tick_step(state: Column, tick: Column, cfg: BillingConfig) -> Column:
@@ -81,9 +86,12 @@ def tick_step(state: Column, tick: Column, cfg: BillingConfig) -> Column:
             F.when(failed, tick["now_ts"]).when(~reset, state["last_attempt_at"]).alias("last_attempt_at"),
             (state["charged"] + paid).alias("charged"),
             (state["n_attempts"] + (usage | collect).cast("bigint")).alias("n_attempts"),
+            tick["tick"].alias("tick"),
         )
 
-    return F.when(state["status"] == "ACTIVE", let(plan, apply)).otherwise(state)
+    # A tick that was billed before changes nothing, so a batch may be repeated.
+    due_now = (state["status"] == "ACTIVE") & (tick["tick"] > state["tick"])
+    return F.when(due_now, let(plan, apply)).otherwise(state)
 
 
 def opening_state(rentals: DataFrame, payments: DataFrame, debts: DataFrame) -> DataFrame:
@@ -104,7 +112,8 @@ def opening_state(rentals: DataFrame, payments: DataFrame, debts: DataFrame) ->
             "last_attempt_at",
             zero.alias("charged"),
             zero.alias("n_attempts"),
-        ).alias("state"),
+            F.lit(-1).alias("tick"),
+        ).cast(STATE).alias("state"),
     )
 
 
@@ -113,6 +122,19 @@ RESULT_FIELDS = [
 ]
 
 
+def fold_ticks(states: DataFrame, ticks: DataFrame, cfg: BillingConfig) -> DataFrame:
+    """``(rental_id, state)`` after the given ticks; rentals without a tick stay as they are."""
+    joined = states.join(ordered_ticks(ticks), "rental_id", "left")
+    final = F.aggregate("ticks", F.col("state"), lambda s, t: tick_step(s, t, cfg))
+    return joined.select(
+        "rental_id", F.when(F.col("ticks").isNull(), F.col("state")).otherwise(final).alias("state")
+    )
+
+
+def flat_states(states: DataFrame) -> DataFrame:
+    return states.select("rental_id", *[F.col(f"state.{f}").alias(f) for f in RESULT_FIELDS])
+
+
 def replay_ticks(
     rentals: DataFrame,
     payments: DataFrame,
@@ -121,13 +143,4 @@ def replay_ticks(
     cfg: BillingConfig = BillingConfig(),
 ) -> DataFrame:
     """Final state of every active rental after all its ticks."""
-    opening = opening_state(rentals, payments, debts)
-    joined = opening.join(ordered_ticks(ticks), "rental_id", "left")
-    final = F.aggregate(
-        F.coalesce("ticks", F.array().cast("array<struct<tick:int,now_ts:timestamp,ok:boolean>>")),
-        F.col("state"),
-        lambda s, t: tick_step(s, t, cfg),
-    )
-    return joined.withColumn("state", final).select(
-        "rental_id", *[F.col(f"state.{f}").alias(f) for f in RESULT_FIELDS]
-    )
+    return flat_states(fold_ticks(opening_state(rentals, payments, debts), ticks, cfg))
