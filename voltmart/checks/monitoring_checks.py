@@ -231,7 +231,7 @@ runs AS (
   FROM placed GROUP BY circuit, run HAVING count(*) FILTER (WHERE status = 'error') > 0
 )"""
 _OUTAGES = f"""{_RUNS},
-outages AS (SELECT circuit, run, failures, opened_at, opened_at + to_seconds({_case(RESET_TIMEOUT_SEC)}) AS half_open_at, closed_at
+outages AS (SELECT circuit, run, failures, opened_at, opened_at + to_seconds({_case(RESET_TIMEOUT_SEC)}) AS half_open_at, last_failure, closed_at
             FROM runs WHERE opened_at IS NOT NULL)"""
 
 
@@ -495,7 +495,7 @@ R12 = tuned("CircuitBreakerOpen", step_s=15, hold_s=60)
 @query(
     "r12_circuit_open",
     sql(
-        f"WITH {_OUTAGES.strip()},\nnewest AS (SELECT max(greatest(opened_at, half_open_at, coalesce(closed_at, half_open_at))) AS m FROM outages),\n"
+        f"WITH {_OUTAGES.strip()},\nnewest AS (SELECT max(greatest(half_open_at, last_failure, closed_at)) AS m FROM outages),\n"
         "pts AS (SELECT circuit, half_open_at, unnest(generate_series("
         "make_timestamp(epoch_us(opened_at) + (15000000 - epoch_us(opened_at) % 15000000) % 15000000), "
         "coalesce(closed_at, m) - INTERVAL 1 MICROSECOND, INTERVAL 15 SECOND)) AS t FROM outages, newest)"

@@ -38,6 +38,7 @@ class Rule:
 # Thresholds, ranges and holds of the monitoring rules. The failure and
 # conversion ratios are written as intended (failures of all attempts, starts per quote):
 # matched label by label, the original expressions divide a series by itself or by nothing.
+# SlowDatabaseQueries cannot fire with its own buckets: their top bound is the threshold.
 RULES: dict[str, Rule] = {
     r.name: r
     for r in [
@@ -97,11 +98,10 @@ def _up(events: DataFrame, rule: Rule) -> DataFrame:
 def _state(outages: DataFrame, rule: Rule) -> DataFrame:
     """Breaker state at grid times inside an outage: 1 open, 2 half-open.
 
-    An outage that has not ended lasts until the newest time in the table.
+    An outage that has not ended lasts until the newest time in the table, its last failure
+    included.
     """
-    newest = outages.agg(
-        F.max(F.greatest("opened_at", "half_open_at", F.coalesce("closed_at", "half_open_at")))
-    ).scalar()
+    newest = outages.agg(F.max(F.greatest("half_open_at", "last_failure", "closed_at"))).scalar()
     points = rates.grid_points_between(F.col("opened_at"), F.coalesce(F.col("closed_at"), newest), rule.step_s)
     return (
         outages.withColumn("_m", F.explode(points))

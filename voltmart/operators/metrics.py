@@ -258,5 +258,6 @@ def outages(
         "failures",
         "opened_at",
         add_seconds("opened_at", limit_of(F.col(key), timeouts)).alias("half_open_at"),
+        "last_failure",
         "closed_at",
     )
