@@ -7,7 +7,7 @@ is ordered per key. Buckets that are still heavy are cut finer, level by level.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltmart.functions.time import floor_to
@@ -16,6 +16,21 @@ BUCKET = "_bucket"
 MAX_BUCKET_ROWS = 2_000_000
 
 
+def sure(value: Column, otherwise) -> Column:
+    """A column the planner knows to be filled.
+
+    The bucket summaries are joined back to the rows they came from. Join keys that may be
+    NULL make the planner add filters to one branch only, and then the two branches no longer
+    share their shuffle.
+    """
+    return F.coalesce(value, F.lit(otherwise))
+
+
+def filled_labels(df: DataFrame, labels: list[str]) -> DataFrame:
+    """A missing label is the same as an empty one."""
+    return df.withColumns({c: sure(F.col(c), "") for c in labels}) if labels else df
+
+
 def with_buckets(
     df: DataFrame,
     keys: list[str],
@@ -30,7 +45,10 @@ def with_buckets(
     heavy buckets is broadcast: it has at most ``rows / max_rows`` entries by construction,
     half a million for 10^12 rows.
     """
-    out = df.withColumn(BUCKET, floor_to(ts, widths_s[0]))
+    def start(width: int) -> Column:
+        return F.coalesce(floor_to(ts, width), F.lit("0001-01-01").cast("timestamp"))
+
+    out = filled_labels(df.filter(F.col(ts).isNotNull()), keys).withColumn(BUCKET, start(widths_s[0]))
     for width in widths_s[1:]:
         heavy = (
             out.groupBy(*keys, BUCKET)
@@ -40,7 +58,7 @@ def with_buckets(
         )
         out = (
             out.join(F.broadcast(heavy), [*keys, BUCKET], "left")
-            .withColumn(BUCKET, F.when(F.col("_heavy"), floor_to(ts, width)).otherwise(F.col(BUCKET)))
+            .withColumn(BUCKET, F.when(F.col("_heavy"), start(width)).otherwise(F.col(BUCKET)))
             .drop("_heavy")
         )
     return out

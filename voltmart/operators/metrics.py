@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltmart.functions.buckets import bucket_names, cumulative_counts
-from voltmart.functions.ordered import BUCKET, in_bucket, over_buckets, with_buckets
+from voltmart.functions.ordered import BUCKET, filled_labels, in_bucket, over_buckets, sure, with_buckets
 from voltmart.functions.time import add_seconds, col, floor_to
 
 # Failures that open a circuit, and seconds until it is tried again.
@@ -61,15 +61,16 @@ def gauge(deltas: DataFrame, labels: list[str], ts: str, delta: Column) -> DataF
     inside one day (at most 86,400 rows) and the day totals are summed up separately (one row
     per day), so no task orders more than that however many changes there are.
     """
-    seconds = deltas.groupBy(*labels, floor_to(ts, 1).alias("ts")).agg(F.sum(delta).alias("delta"))
-    daily = seconds.withColumn("_day", F.to_date("ts"))
+    known = filled_labels(deltas.filter(col(ts).isNotNull()), labels)
+    seconds = known.groupBy(*labels, floor_to(ts, 1).alias("ts")).agg(F.sum(delta).alias("delta"))
+    daily = seconds.withColumn("_day", sure(F.datediff("ts", F.lit("1970-01-01").cast("date")), 0))
     totals = daily.groupBy(*labels, "_day").agg(F.sum("delta").alias("_t"))
     earlier = Window.partitionBy(*labels).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(*labels, "_day", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_carry"))
     within = Window.partitionBy(*labels, "_day").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
     return (
         daily.withColumn("_run", F.sum("delta").over(within))
-        .join(carried, [*labels, "_day"])
+        .join(carried, [*labels, "_day"], "left")
         .select(*labels, "ts", "delta", (F.col("_carry") + F.col("_run")).alias("value"))
     )
 
@@ -221,7 +222,7 @@ def run_groups(
         .select(key, BUCKET, "_ok_before", "_open_before")
     )
 
-    placed = local.join(carry, [key, BUCKET])
+    placed = local.join(carry, [key, BUCKET], "left")
     position = (
         F.col("_rn")
         - F.coalesce("_last_ok", F.lit(0))

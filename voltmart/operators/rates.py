@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltmart.functions.buckets import bucket_names, bucket_quantile, cumulative_counts
-from voltmart.functions.ordered import BUCKET, in_bucket, over_buckets, with_buckets
+from voltmart.functions.ordered import BUCKET, filled_labels, in_bucket, over_buckets, sure, with_buckets
 from voltmart.functions.time import MICROS, add_seconds, floor_to
 
 
@@ -103,11 +103,10 @@ def exact_quantile(events: DataFrame, labels: list[str], value: str, q: float =
     and ranked in two levels: inside ranges of about 1 % of the value, and over the ranges, of
     which there are a few thousand for any spread of doubles.
     """
-    counts = events.filter(F.col(value).isNotNull()).groupBy(*labels, F.col(value).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
+    known = filled_labels(events.filter(F.col(value).isNotNull()), labels)
+    counts = known.groupBy(*labels, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     magnitude = (F.signum("_v") * F.floor(F.log1p(F.abs("_v") * 1e6) * 100)).cast("bigint")
-    ranged = counts.withColumn("_range", magnitude)
+    ranged = counts.withColumn("_range", sure(magnitude, 0))
     totals = ranged.groupBy(*labels, "_range").agg(F.sum("_n").alias("_t"))
     ordered = Window.partitionBy(*labels).orderBy("_range")
     every = Window.partitionBy(*labels)
@@ -120,7 +119,7 @@ def exact_quantile(events: DataFrame, labels: list[str], value: str, q: float =
     inside = Window.partitionBy(*labels, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
         ranged.withColumn("_run", F.sum("_n").over(inside))
-        .join(carry, [*labels, "_range"])
+        .join(carry, [*labels, "_range"], "left")
         .withColumn("_first", F.col("_before") + F.col("_run") - F.col("_n"))
     )
     place = F.lit(q) * (F.col("_total") - 1)
@@ -197,7 +196,7 @@ def counter_increase(
     carry = ends.select(*series, BUCKET, F.lag("_end").over(over_buckets(series)).alias("_carry"))
     prev = F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_prev"))
     step = F.when(prev.isNull(), F.lit(0)).when(F.col("_v") < prev, F.col("_v")).otherwise(F.col("_v") - prev)
-    stepped = local.join(carry, [*series, BUCKET]).withColumn("_step", step)
+    stepped = local.join(carry, [*series, BUCKET], "left").withColumn("_step", step)
     counted = panes(stepped, series, "_ts", step_s, [F.sum("_step").alias("increase")])
     return slide(counted, series, ["increase"], window_s, step_s)
 

@@ -135,9 +135,8 @@ def rentals_after(rentals: DataFrame, decided: DataFrame) -> DataFrame:
             "status": F.when(F.col("bought_out"), F.lit("BUYOUT")).otherwise(F.col("status")),
         }
     ).select(*rentals.columns)
-    _, rejected = split_valid(active_rentals(rentals))
-    idle = rentals.filter(~(F.coalesce(F.col("status"), F.lit("")) == "ACTIVE"))
-    return idle.unionByName(rejected.select(*rentals.columns)).unionByName(billed)
+    idle = (F.coalesce(F.col("status"), F.lit("")) != "ACTIVE") | invalid_reason().isNotNull()
+    return rentals.filter(idle).unionByName(billed)
 
 
 def debts_after(debts: DataFrame, decided: DataFrame) -> DataFrame:

@@ -102,20 +102,25 @@ class LayerStore:
 
     def snapshot(self, target: str) -> dict[str, str]:
         """Copy the current version of every layer to another folder."""
-        taken = {}
-        for layer in LAYERS:
-            version = self.current_version(layer)
-            if version is None:
-                continue
-            for table, df in self.read_layer(layer).items():
-                df.write.mode("errorifexists").parquet(f"{target}/{layer}/{table}")
-            taken[layer] = version
+        versions = {layer: self.current_version(layer) for layer in LAYERS}
+        taken = {layer: version for layer, version in versions.items() if version is not None}
+        jobs = [(layer, table) for layer in taken for table in LAYERS[layer]]
+
+        def copy(job: tuple[str, str]) -> None:
+            layer, table = job
+            df = self.read(layer, table, taken[layer])
+            df.write.mode("errorifexists").parquet(f"{target}/{layer}/{table}")
+
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            list(pool.map(copy, jobs))
         return taken
 
     def restore(self, source: str, version: str, committed_at: str) -> dict[str, dict[str, int]]:
-        """Publish a snapshot as a new version of every layer it holds."""
-        done = {}
-        for layer, schemas in LAYERS.items():
-            tables = {t: read_or_empty(self.spark, f"{source}/{layer}/{t}", s) for t, s in schemas.items()}
-            done[layer] = self.publish(layer, version, tables, committed_at)
-        return done
+        """Publish a snapshot as a new version of every layer."""
+
+        def put(layer: str) -> dict[str, int]:
+            tables = {t: read_or_empty(self.spark, f"{source}/{layer}/{t}", s) for t, s in LAYERS[layer].items()}
+            return self.publish(layer, version, tables, committed_at)
+
+        with ThreadPoolExecutor(max_workers=len(LAYERS)) as pool:
+            return dict(zip(LAYERS, pool.map(put, LAYERS)))
