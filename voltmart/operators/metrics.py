@@ -177,33 +177,26 @@ def run_groups(
     open_failures)`` continues an earlier batch: it enters as one more bucket before the rest.
     """
     limits = FAIL_MAX if limits is None else limits
-    rows = events.select(key, F.col(ts).alias("_ts"), F.col(id_).alias("_id"), failed.alias("_bad"))
+    good = F.when(failed, F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("_good")
+    rows = events.select(key, F.col(ts).alias("_ts"), F.col(id_).alias("_id"), good)
     extra = {} if max_bucket_rows is None else {"max_rows": max_bucket_rows}
     rows = with_buckets(rows, [key], "_ts", **extra)
 
     w = in_bucket([key], ["_ts", "_id"])
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    local = rows.withColumns(
-        {
-            "_rn": F.row_number().over(w),
-            "_ok": F.sum((~F.col("_bad")).cast("bigint")).over(so_far),
-        }
-    ).withColumn("_last_ok", F.max(F.when(~F.col("_bad"), F.col("_rn"))).over(so_far))
+    is_good = F.col("_good") == 1
+    local = (
+        rows.withColumn("_rn", F.row_number().over(w))
+        .withColumn("_ok", F.sum("_good").over(so_far))
+        .withColumn("_last_ok", F.max(F.when(is_good, F.col("_rn"))).over(so_far))
+    )
 
     # Per bucket: successes, and failures after the last one. Same keys as the window, so this
     # grouping needs no shuffle of its own.
     summary = local.groupBy(key, BUCKET).agg(
-        F.count_if(~F.col("_bad")).alias("_n_ok"),
-        (F.count(F.lit(1)) - F.coalesce(F.max(F.when(~F.col("_bad"), F.col("_rn"))), F.lit(0))).alias("_tail"),
+        F.sum("_good").alias("_n_ok"),
+        (F.count(F.lit(1)) - F.coalesce(F.max(F.when(is_good, F.col("_rn"))), F.lit(0))).alias("_tail"),
     )
-    if carried is not None:
-        earlier = carried.select(
-            key,
-            F.lit("0001-01-01").cast("timestamp").alias(BUCKET),
-            F.col("ok_total").alias("_n_ok"),
-            F.col("open_failures").alias("_tail"),
-        )
-        summary = summary.unionByName(earlier)
     order = over_buckets([key])
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     up_to = order.rowsBetween(Window.unboundedPreceding, 0)
@@ -228,19 +221,19 @@ def run_groups(
         - F.coalesce("_last_ok", F.lit(0))
         + F.when(F.col("_last_ok").isNull(), F.col("_open_before")).otherwise(0)
     )
-    run = F.col("_ok_before") + F.col("_ok") - (~F.col("_bad")).cast("bigint")
-    bad_ts = F.when(F.col("_bad"), F.col("_ts"))
-    at_limit = F.col("_bad") & (position == limit_of(F.col(key), limits))
+    run = F.col("_ok_before") + F.col("_ok") - F.col("_good")
+    bad_ts = F.when(~is_good, F.col("_ts"))
+    at_limit = ~is_good & (position == limit_of(F.col(key), limits))
     return (
         placed.withColumn("run", run)
         .withColumn("_opens", F.when(at_limit, F.col("_ts")))
         .groupBy(key, "run")
         .agg(
-            F.count_if("_bad").alias("failures"),
+            F.count_if(~is_good).alias("failures"),
             F.min(bad_ts).alias("first_failure"),
             F.max(bad_ts).alias("last_failure"),
             F.min("_opens").alias("opened_at"),
-            F.min(F.when(~F.col("_bad"), F.col("_ts"))).alias("closed_at"),
+            F.min(F.when(is_good, F.col("_ts"))).alias("closed_at"),
         )
     )
 
