@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -68,6 +69,12 @@ def test_reduce_debt(spark):
     assert rows(ledger.reduce_debt(d, change(spark, ("r7", 1, T0))))[0][5] is False
 
 
+def test_two_payments_of_one_debt_are_refused(spark):
+    d = debts(spark, ("r1", 300, at(-1), 2, at(-1)))
+    with pytest.raises(Exception, match="more than one payment"):
+        ledger.reduce_debt(d, change(spark, ("r1", 200, T0), ("r1", 200, T0))).collect()
+
+
 def test_increment_attempts(spark):
     d = debts(spark, ("r1", 70, at(-1), 0, None), ("r2", 1, at(-1), 4, at(-3)))
     f = change(spark, ("r1", T0), ("r8", T0), cols="rental_id string, now timestamp")

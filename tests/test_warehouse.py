@@ -287,7 +287,7 @@ def test_merge_latest(spark):
 
 
 def test_running_row_until_finished(spark):
-    opening = meta.run_started(spark, "r1", "dwh_master", NOW)
+    opening = meta.run_started(spark, "r1", "warehouse_daily", NOW)
     assert meta.latest_runs(opening).first()["status"] == "RUNNING"
     closing = meta.run_finished(opening, NOW, "SUCCESS", "{}")
     assert meta.latest_runs(opening.unionByName(closing)).first()["status"] == "SUCCESS"

@@ -22,8 +22,7 @@ class StreamViews(TestViews):
     """The row-wise domain views over streams of the base tables."""
 
     def table(self, name: str) -> DataFrame:
-        schema = super().table(name).schema
-        return folder_stream(self.spark, self.dir, schema, f"{name}.parquet")
+        return folder_stream(self.spark, self.dir, self.schema_of(name), f"{name}.parquet")
 
 
 def live(v: TestViews) -> StreamViews:

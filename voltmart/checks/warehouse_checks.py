@@ -617,7 +617,7 @@ def _run(v: TestViews, with_export: bool = False) -> str:
     "f3_run_audit",
     sql(
         f"""
-        SELECT 'run-1' AS run_id, 'dwh_master' AS dag_id, TIMESTAMP '{AS_OF}' AS started_at,
+        SELECT 'run-1' AS run_id, 'warehouse_daily' AS dag_id, TIMESTAMP '{AS_OF}' AS started_at,
                TIMESTAMP '{AS_OF}' AS finished_at, 'SUCCESS' AS status,
                (SELECT count(*) FROM rentals) AS core_rentals,
                (SELECT count(*) FROM payment_attempts) AS core_payment_attempts""",

@@ -54,12 +54,15 @@ def add_debt(debts: DataFrame, deltas: DataFrame, now: Column) -> DataFrame:
 def reduce_debt(debts: DataFrame, payments: DataFrame) -> DataFrame:
     """Take ``payments(rental_id, amount, now)`` off debts that cover them.
 
-    One payment per rental and call. A success resets the attempts; a row at 0 stays. The
-    extra column ``changed`` tells which rows were reduced.
+    A success resets the attempts; a row at 0 stays. The extra column ``changed`` tells which
+    rows were reduced. Which of several payments a debt covers depends on their order, so two
+    payments of one rental in one call are an error.
     """
-    pay = payments.select(
-        F.col("rental_id").alias("_k"), F.col("amount").alias("_sub"), F.col("now").alias("_now")
+    pay = payments.groupBy(F.col("rental_id").alias("_k")).agg(
+        F.sum("amount").alias("_sub"), F.max("now").alias("_now"), F.count(F.lit(1)).alias("_n")
     )
+    twice = F.raise_error(F.concat(F.lit("more than one payment for rental "), F.col("_k")))
+    pay = pay.withColumn("_sub", F.when(F.col("_n") == 1, F.col("_sub")).otherwise(twice.cast("bigint"))).drop("_n")
     joined = debts.join(pay, debts.rental_id == F.col("_k"), "left")
     hit = F.coalesce(F.col("amount_total") >= F.col("_sub"), F.lit(False))
     return joined.select(

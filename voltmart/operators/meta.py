@@ -38,11 +38,14 @@ def merge_latest(target: DataFrame, changes: DataFrame, key: str, ts: str) -> Da
     """Replace target rows by the newest change per key and add new keys (F2).
 
     Only the changes are reduced; the large target is neither sorted nor aggregated, it only
-    loses the changed keys. ``max_by`` combines before the shuffle, so a key with very many
-    changes does not gather in one task.
+    loses the changed keys. The maximum combines before the shuffle, so a key with very many
+    changes does not gather in one task; changes of equal time are ordered by their values, so
+    a recomputed task picks the same one.
     """
-    row = F.struct(*[F.col(c) for c in target.columns])
-    newest = changes.groupBy(F.col(key).alias("_k")).agg(F.max_by(row, ts).alias("_r")).select("_k", "_r.*")
+    row = F.struct(F.col(ts).alias("_t"), F.struct(*[F.col(c) for c in target.columns]).alias("_r"))
+    newest = (
+        changes.groupBy(F.col(key).alias("_k")).agg(F.max(row).alias("_m")).select("_k", "_m._r.*")
+    )
     kept = target.join(newest.select("_k"), target[key] == F.col("_k"), "left_anti")
     return kept.unionByName(newest.drop("_k"))
 

@@ -34,10 +34,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def ordered_ticks(ticks: DataFrame) -> DataFrame:
     """``ticks(rental_id, tick, now_ts, success)`` to one ordered array per rental."""
     single = ticks.groupBy("rental_id", "tick").agg(
-        F.min(F.struct("now_ts", F.coalesce("success", F.lit(False)).alias("ok"))).alias("t")
+        F.min("now_ts").alias("now_ts"), F.min(F.coalesce("success", F.lit(False))).alias("ok")
     )
     gathered = single.groupBy("rental_id").agg(
-        F.sort_array(F.collect_list(F.struct("tick", "t.now_ts", "t.ok"))).alias("ticks")
+        F.sort_array(F.collect_list(F.struct("tick", "now_ts", "ok"))).alias("ticks")
     )
     too_long = F.raise_error(F.concat(F.lit("too many ticks for one replay: rental "), F.col("rental_id")))
     fits = F.size("ticks") <= MAX_TICKS

@@ -14,7 +14,7 @@ from voltmart.sources.export import export_csv, export_name
 from voltmart.sources.extract import full_load
 from voltmart.sources.store import LayerStore
 
-RUN_NAME = "dwh_master"
+RUN_NAME = "warehouse_daily"
 
 
 def extract_source(

@@ -16,7 +16,7 @@ from voltmart.functions.time import as_ts
 from voltmart.schemas import LAYERS
 from voltmart.sources.extract import conform, read_or_empty
 
-COMMITS = "layer string, version string, rows string, committed_at timestamp"
+COMMITS = "version string, rows string, committed_at timestamp"
 
 
 class LayerStore:
@@ -29,17 +29,19 @@ class LayerStore:
     def _folder(self, layer: str, version: str, table: str) -> str:
         return f"{self.root}/{layer}/{version}/{table}"
 
-    def bootstrap(self) -> None:
-        """Create the commit table when it is missing; existing commits stay."""
-        self.spark.createDataFrame([], COMMITS).write.mode("append").parquet(f"{self.root}/_commits")
+    def _commits(self, layer: str) -> str:
+        # One folder per layer: two jobs must not append to the same folder at once.
+        return f"{self.root}/_commits/{layer}"
 
-    def commits(self) -> DataFrame:
-        return self.spark.read.schema(COMMITS).parquet(f"{self.root}/_commits")
+    def bootstrap(self) -> None:
+        """Create the commit table of each layer when it is missing; existing commits stay."""
+        none = self.spark.createDataFrame([], COMMITS)
+        with ThreadPoolExecutor(max_workers=len(LAYERS)) as pool:
+            list(pool.map(lambda n: none.write.mode("append").parquet(self._commits(n)), LAYERS))
 
     def current_version(self, layer: str) -> str | None:
-        newest = self.commits().filter(F.col("layer") == layer).agg(
-            F.max_by("version", F.struct("committed_at", "version")).alias("version")
-        )
+        commits = self.spark.read.schema(COMMITS).parquet(self._commits(layer))
+        newest = commits.agg(F.max_by("version", F.struct("committed_at", "version")).alias("version"))
         return newest.first()["version"]
 
     def stage(self, df: DataFrame, layer: str, version: str, table: str, sort_by: str | None = None) -> int:
@@ -77,12 +79,11 @@ class LayerStore:
             )
         text = ",".join(f"{n}={c}" for n, c in counts.items())
         row = self.spark.range(1).select(
-            F.lit(layer).alias("layer"),
             F.lit(version).alias("version"),
             F.lit(text).alias("rows"),
             as_ts(committed_at).alias("committed_at"),
         )
-        row.write.mode("append").parquet(f"{self.root}/_commits")
+        row.write.mode("append").parquet(self._commits(layer))
         return counts
 
     def read(self, layer: str, table: str, version: str | None = None) -> DataFrame:
