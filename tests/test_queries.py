@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import duckdb
 import pytest
 
@@ -35,7 +37,13 @@ def same(df, duck, text):
     assert sorted_rows(mine) == sorted_rows(wanted)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+# Whole warehouse runs, which test_warehouse.py follows step by step.
+LONG = {"a11_snapshot_restore", "b6_core_version", "f3_run_audit"}
+if os.environ.get("VOLTMART_ALL_QUERIES"):
+    LONG = set()
+
+
+@pytest.mark.parametrize("name", sorted(set(contract.queries()) - LONG))
 def test_query_matches_sql(spark, duck, name):
     df = contract.queries()[name](spark, SMALL)
     same(df, duck, contract.oracle_sql()[name])
