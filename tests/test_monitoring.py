@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tests.helpers import at
+from tests.helpers import at, land
 from voltmart.functions.buckets import API_DURATION_BOUNDS
 from voltmart.operators import alerts, metrics, rates
 from voltmart.session import scratch_path
@@ -80,7 +80,7 @@ def test_stream_of_failures_continues_runs(spark):
     """A run cut by two batch ends, one batch of failures only, one circuit missing in a batch."""
     texts = ["SFFSFF", "FFF", "FSFFF"]
     limits = {"payment": 3, "station": 5}
-    folder, events, t, n = scratch_path(spark, "events"), [], 0, 0
+    folder, events, frames, t, n = scratch_path(spark, "events"), [], [], 0, 0
     for i, text in enumerate(texts):
         part = []
         for c in text:
@@ -89,10 +89,10 @@ def test_stream_of_failures_continues_runs(spark):
         if i != 1:
             part += [(n, "station", at(t), True), (n + 1, "station", at(t + 1), False)]
             n, t = n + 2, t + 2
-        spark.createDataFrame(part, EV).coalesce(1).write.mode("append").parquet(folder)
+        frames.append(spark.createDataFrame(part, EV))
         events += part
-    schema = spark.createDataFrame([], EV).schema
-    stream = folder_stream(spark, folder, schema, files_per_trigger=1)
+    land(folder, *frames)
+    stream = folder_stream(spark, folder, frames[0].schema, files_per_trigger=1)
     got = batches.detect_failures(stream, scratch_path(spark, "runs"), F.col("bad"))
     assert rows(got, "circuit", "run") == runs_by_hand(events, limits)
 

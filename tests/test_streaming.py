@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tests.helpers import QUOTE_COLS, at, rental, rentals
+from tests.helpers import QUOTE_COLS, at, land, rental, rentals
 from voltmart.operators import mart
 from voltmart.session import scratch_path
 from voltmart.streaming import batches, windows
@@ -20,10 +20,9 @@ DAY = 86400
 def stream_of(spark, schema, *parts):
     """One file and one micro-batch per part."""
     folder = scratch_path(spark, "in")
-    for part in parts:
-        frame = spark.createDataFrame(list(part), schema)
-        frame.coalesce(1).write.mode("append").parquet(folder)
-    return folder_stream(spark, folder, frame.schema, files_per_trigger=1)
+    frames = [spark.createDataFrame(list(part), schema) for part in parts]
+    land(folder, *frames)
+    return folder_stream(spark, folder, frames[0].schema, files_per_trigger=1)
 
 
 def test_late_rows_are_dropped_and_open_days_wait(spark):

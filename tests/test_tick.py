@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tests.helpers import PAYMENT_COLS, at, debts, payments, rental, rentals
+from tests.helpers import PAYMENT_COLS, at, debts, land, payments, rental, rentals
 from voltmart.functions.money import BillingConfig
 from voltmart.plans import replay
 from voltmart.plans.billing_tick import run_tick
@@ -176,10 +176,10 @@ def test_stream_of_ticks_equals_replay(spark):
     base, paid, owed, ticks = scenario(spark)
     r, p, d = rentals(spark, *base), payments(spark, *paid), debts(spark, *owed)
     folder = scratch_path(spark, "ticks")
-    for part in ([1, 2], [3], [4, 5, 6]):
-        frame = spark.createDataFrame([t for t in ticks if t[1] in part], TICKS)
-        frame.coalesce(1).write.mode("append").parquet(folder)
-    stream = folder_stream(spark, folder, frame.schema, files_per_trigger=1)
+    parts = [[t for t in ticks if t[1] in part] for part in ([1, 2], [3], [4, 5, 6])]
+    frames = [spark.createDataFrame(part, TICKS) for part in parts]
+    land(folder, *frames)
+    stream = folder_stream(spark, folder, frames[0].schema, files_per_trigger=1)
     got = stream_billing.bill_ticks(stream, replay.opening_state(r, p, d), scratch_path(spark, "state"))
     wanted = replay.replay_ticks(r, p, d, spark.createDataFrame(ticks, TICKS))
     assert rows(got, "rental_id") == rows(wanted, "rental_id")
