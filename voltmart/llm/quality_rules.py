@@ -17,7 +17,7 @@ from voltmart.session import cut_lineage
 BUCKETS = 1 << 16  # rows of the model, which bounds its broadcast (about 1 MB)
 TRUSTED = 20_000  # most labelled texts that make up the target; their ids are broadcast
 SMOOTHING = 1.0
-THRESHOLD = -0.35  # nats per n-gram
+THRESHOLD = -0.2  # nats per n-gram
 WINDOW = 5
 
 
