@@ -7,9 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from voltmart.llm.byte_bpe import token_digests
+from voltmart.llm.jaccard_join import jaccard_join
+from voltmart.llm.ngram_lm import language_model
 from voltmart.llm.packing import pack
 from voltmart.llm.quality_rules import quality_rules
+from voltmart.llm.site_quality import site_quality
+from voltmart.llm.substring_dedup import substring_dedup
 from voltmart.llm.text import prepare, table
 from voltmart.llm.token_counts import token_counts
 from voltmart.llm.toxicity import toxicity
@@ -66,3 +71,28 @@ def _near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = str(public_tokenizers.path(BPE_FILE))
     return token_counts(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, END_OF_DOCUMENT)
+
+
+@query("op8_substring_dedup")
+def _substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op9_jaccard_join")
+def _jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@query("op2_language_model")
+def _language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model(table(spark, sf_dir, "documents"))
+
+
+@query("op3_site_quality")
+def _site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
