@@ -93,7 +93,7 @@ def read_token_files(spark: SparkSession, folder: str, dtype: str = "<u2", block
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = content.as_buffer()
+                ids = content.as_py()
                 if len(ids) % size:
                     raise ValueError(f"{len(ids)} bytes are no whole number of ids of {size} bytes")
                 for number, at in enumerate(range(0, len(ids), block * size)):
