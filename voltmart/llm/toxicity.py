@@ -26,6 +26,7 @@ CANDIDATES = 4_000  # terms the greedy choice looks at, at most
 TERMS = 256  # terms of the lexicon, at most
 STEM = (4, 5, 6, 7, 8)  # lengths of stems
 CACHED_WORDS = 400_000
+MOST_STATES = 200_000  # of the product that are remembered
 CONTEXT = 6  # words on each side of a hit
 
 # Words that report or mention speech, in the four languages of the data.
@@ -43,6 +44,8 @@ class Node:
     next: dict[str, Node] = field(default_factory=dict)
     word: int = -1
     stem: int = -1
+    number: int = 0
+    bound: int = 0  # edits that some whole term below tolerates
 
 
 def allowed(term: str) -> int:
@@ -51,13 +54,17 @@ def allowed(term: str) -> int:
 
 
 class Lexicon:
-    """Terms in a trie, searched by a Levenshtein automaton."""
+    """Terms in a trie, searched by the product of the trie and a Levenshtein automaton.
 
-    def __init__(self, terms: list[tuple[str, bool]], edits: bool = True):
+    The product is made deterministic as words need it: a state is a set of trie nodes with the
+    edits spent to get there, and its steps are remembered. Looking a word up then costs one
+    dictionary access per character, and most words leave the product after a few.
+    """
+
+    def __init__(self, terms: list[tuple[str, bool]]):
         self.terms = terms
         self.root = Node()
-        self.bound = max((allowed(t) for t, stem in terms if not stem), default=0) if edits else 0
-        self.edits = edits
+        self.letters = {c for t, stem in terms if not stem for c in t}
         for k, (term, stem) in enumerate(terms):
             node = self.root
             for c in term:
@@ -66,7 +73,26 @@ class Lexicon:
                 node.stem = k
             else:
                 node.word = k
+                node.bound = allowed(term)
+        self.nodes: list[Node] = []
+        self._number(self.root)
         self.seen: dict[str, tuple[int, int] | None] = {}
+        self._reset()
+
+    def _number(self, node: Node) -> int:
+        """Give the node a number, and the edits that any whole term below it tolerates."""
+        node.number = len(self.nodes)
+        self.nodes.append(node)
+        for child in node.next.values():
+            node.bound = max(node.bound, self._number(child))
+        return node.bound
+
+    def _reset(self) -> None:
+        self.numbers: dict[frozenset, int] = {}
+        self.states: list[frozenset] = []
+        self.steps: list[dict[str, int]] = []
+        self.ends: list[tuple[int, int] | None] = []
+        self.start = self._state({(0, 0, "")})
 
     def find(self, word: str) -> tuple[int, int] | None:
         """(term, edits) of the best match of a lower-case word; exact before stem before edits."""
@@ -91,29 +117,71 @@ class Lexicon:
         return (stem, 0) if stem >= 0 else None
 
     def _near(self, word: str) -> tuple[int, int] | None:
-        """Product of trie and automaton; a state is the row of distances to the word's prefixes.
-
-        A swap of neighbours is one edit. A branch ends when its whole row exceeds the bound.
-        """
-        if not self.bound or len(word) < 3 or len(word) > 64:
+        if len(word) < 3:
             return None
-        best: tuple[int, int, int] | None = None
-        stack = [(self.root, "", list(range(len(word) + 1)), None)]
+        if len(self.states) > MOST_STATES:
+            self._reset()
+        state = self.start
+        for c in word:
+            if c not in self.letters:
+                c = ""  # all other characters act alike
+            after = self.steps[state].get(c)
+            if after is None:
+                after = self.steps[state][c] = self._step(state, c)
+            if after < 0:
+                return None
+            state = after
+        return self.ends[state]
+
+    def _state(self, places: set[tuple[int, int, str]]) -> int:
+        """Number of the state with these places, those reached by missing characters added; -1 if none.
+
+        A place is (node, edits, awaited): with ``awaited`` set, two characters were swapped and
+        the first of them must come next.
+        """
+        stack = list(places)
         while stack:
-            node, came, row, above = stack.pop()
-            if node.word >= 0 and row[-1] <= allowed(self.terms[node.word][0]):
-                found = (row[-1], node.word, 0)
-                best = found if best is None else min(best, found)
-            for c, child in node.next.items():
-                new = [row[0] + 1]
-                for j, x in enumerate(word, 1):
-                    d = min(new[-1] + 1, row[j] + 1, row[j - 1] + (x != c))
-                    if above is not None and j > 1 and word[j - 2] == c and x == came:
-                        d = min(d, above[j - 2] + 1)
-                    new.append(d)
-                if min(new) <= self.bound or min(row) <= self.bound - 1:
-                    stack.append((child, c, new, row))
-        return (best[1], best[0]) if best else None
+            number, edits, awaited = stack.pop()
+            if awaited:
+                continue
+            for child in self.nodes[number].next.values():
+                more = (child.number, edits + 1, "")
+                if edits < child.bound and more not in places:
+                    places.add(more)
+                    stack.append(more)
+        if not places:
+            return -1
+        key = frozenset(places)
+        if key not in self.numbers:
+            self.numbers[key] = len(self.states)
+            self.states.append(key)
+            self.steps.append({})
+            found = [
+                (edits, self.nodes[n].word) for n, edits, awaited in key
+                if not awaited and self.nodes[n].word >= 0 and edits <= allowed(self.terms[self.nodes[n].word][0])
+            ]
+            self.ends.append((min(found)[1], min(found)[0]) if found else None)
+        return self.numbers[key]
+
+    def _step(self, state: int, c: str) -> int:
+        out: set[tuple[int, int, str]] = set()
+        for number, edits, awaited in self.states[state]:
+            node = self.nodes[number]
+            if awaited:
+                if awaited == c:
+                    out.add((number, edits, ""))
+                continue
+            if edits < node.bound:
+                out.add((number, edits + 1, ""))  # c is one too many
+            for x, child in node.next.items():
+                if x == c:
+                    out.add((child.number, edits, ""))
+                elif edits < child.bound:
+                    out.add((child.number, edits + 1, ""))  # c in place of x
+                    far = child.next.get(c)
+                    if far is not None and edits < far.bound:
+                        out.add((far.number, edits + 1, x))  # x and c are swapped
+        return self._state(out)
 
 
 @dataclass
