@@ -7,6 +7,7 @@ import decimal
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -14,7 +15,7 @@ from tests.helpers import PAYMENT_COLS, QUOTE_COLS, RENTAL_COLS, T0, at, debts,
 from voltmart.checks.warehouse_checks import sources
 from voltmart.operators import bi, constraints, core, mart, meta
 from voltmart.plans import warehouse
-from voltmart.schemas import FCT_PAYMENTS, KPI_DAILY, LAYERS, PAYMENT_ATTEMPTS, QUOTES, RENTALS, TABLES
+from voltmart.schemas import FCT_PAYMENTS, FCT_RENTALS, KPI_DAILY, LAYERS, PAYMENT_ATTEMPTS, QUOTES, RENTALS, TABLES
 from voltmart.session import scratch_path
 from voltmart.sources import export, extract
 from voltmart.sources.store import LayerStore
@@ -46,11 +47,8 @@ def test_golden_kpi(spark):
 
 
 def test_golden_run_end_to_end(spark):
-    q, r, p = golden(spark)
     root = scratch_path(spark, "golden")
-    counts = warehouse.run_warehouse(
-        spark, {"rental": {"quotes": q, "rentals": r}, "billing": {"payment_attempts": p}}, root, "run-1", NOW, f"{root}/out"
-    )
+    counts = warehouse.run_warehouse(spark, few(spark, 4), root, "run-1", NOW, f"{root}/out")
     assert counts["core"] == {"quotes": 1, "rentals": 4, "idempotency_keys": 0, "debts": 0, "payment_attempts": 41}
     name = export.export_name("mart", "kpi_daily", NOW)
     assert name == "mart_kpi_daily_20251218T224015Z.csv"
@@ -64,7 +62,8 @@ def test_golden_run_end_to_end(spark):
 
 def test_empty_run(spark):
     root = scratch_path(spark, "empty")
-    counts = warehouse.run_warehouse(spark, {}, root, "run-1", NOW, f"{root}/out")
+    none = {s: {t: df.limit(0) for t, df in tables.items()} for s, tables in few(spark, 0).items()}
+    counts = warehouse.run_warehouse(spark, none, root, "run-1", NOW, f"{root}/out")
     assert set(counts["mart"].values()) == {0}
     for table in ("kpi_daily", "fct_rentals", "fct_payments"):
         text = spark.read.text(f"{root}/out/{export.export_name('mart', table, NOW)}").collect()
@@ -74,11 +73,12 @@ def test_empty_run(spark):
 def test_failed_run_is_audited_and_keeps_the_old_version(spark):
     q, r, p = golden(spark)
     root = scratch_path(spark, "failed")
-    src = {"rental": {"quotes": q, "rentals": r}, "billing": {"payment_attempts": p}}
+    src = few(spark, 4)
     warehouse.run_warehouse(spark, src, root, "run-1", NOW)
     broken = r.withColumn("price_per_hour", F.raise_error(F.lit("source lost")).cast("int"))
     with pytest.raises(Exception, match="source lost"):
-        warehouse.run_warehouse(spark, {"rental": {"rentals": broken}}, root, "run-2", "2025-12-19 00:00:00")
+        src["rental"]["rentals"] = broken
+        warehouse.run_warehouse(spark, src, root, "run-2", "2025-12-19 00:00:00")
     state = {x["run_id"]: x["status"] for x in warehouse.read_audit(spark, root).collect()}
     assert state == {"run-1": "SUCCESS", "run-2": "FAILED"}
     assert LayerStore(spark, root).read("raw_rental", "rentals").count() == 4
@@ -88,7 +88,7 @@ def test_failed_run_is_audited_and_keeps_the_old_version(spark):
 def test_rerun_gives_the_same_tables(spark):
     q, r, p = golden(spark)
     root = scratch_path(spark, "rerun")
-    src = {"rental": {"quotes": q, "rentals": r}, "billing": {"payment_attempts": p}}
+    src = few(spark, 4)
     for _ in range(2):
         warehouse.run_warehouse(spark, src, root, "run-1", NOW)
     assert LayerStore(spark, root).read("core", "payment_attempts").count() == 41
@@ -247,24 +247,83 @@ def test_store_reads_whole_versions_only(spark):
     assert store.read("core", "rentals").count() == 0
     q, r, p = golden(spark)
     loads = {"rentals": extract.full_load(r, RENTALS, NOW)}
-    assert store.publish("raw_rental", "v1", loads, NOW)["rentals"] == 4
-    store.stage(loads["rentals"].limit(1), "raw_rental", "v2", "rentals")
+    rest = ("quotes", "idempotency_keys")
+    first = store.publish("raw_rental", "v1", loads, NOW, absent=rest)
+    assert first.rows["rentals"] == 4
+    store.stage(loads["rentals"].limit(1), "raw_rental", "v2-unfinished", "rentals")
     assert store.read("raw_rental", "rentals").count() == 4
-    store.publish("raw_rental", "v2", {"rentals": loads["rentals"].limit(1)}, "2025-12-19 00:00:00")
+    # A later commit counts, whatever time it is for.
+    store.publish("raw_rental", "v2", {"rentals": loads["rentals"].limit(1)}, "2001-01-01 00:00:00", absent=rest)
     assert store.read("raw_rental", "rentals").count() == 1
+    assert store.read("raw_rental", "rentals", first.folder).count() == 4
     store.bootstrap()
     assert store.current_version("raw_rental") == "v2"
 
 
+def test_missing_tables_are_errors(spark):
+    store = LayerStore(spark, scratch_path(spark, "store"))
+    store.bootstrap()
+    q, r, p = golden(spark)
+    with pytest.raises(ValueError, match="idempotency_keys"):
+        warehouse.extract_source(store, "rental", {"rentals": r, "quotes": q}, "v1", NOW)
+    assert store.current_version("raw_rental") is None
+    with pytest.raises(AnalysisException):
+        store.read("raw_rental", "rentals", "no-such-folder").count()
+
+
+def few(spark, n):
+    """Sources with ``n`` rentals."""
+    q, r, p = golden(spark)
+    keys = spark.createDataFrame([], TABLES["idempotency_keys"].schema).drop("_ingested_at")
+    return {
+        "rental": {"quotes": q, "rentals": r.limit(n), "idempotency_keys": keys},
+        "billing": {"debts": debts(spark), "payment_attempts": p},
+    }
+
+
+def test_failing_rerun_leaves_the_old_rows(spark):
+    root = scratch_path(spark, "rerun")
+    warehouse.run_warehouse(spark, few(spark, 2), root, "run-1", NOW)
+    bad = few(spark, 2)
+    bad["rental"]["rentals"] = bad["rental"]["rentals"].withColumn("price_per_hour", F.expr("1 DIV (deposit - deposit)"))
+    with pytest.raises(Exception):
+        warehouse.run_warehouse(spark, bad, root, "run-1", NOW)
+    store = LayerStore(spark, root)
+    assert store.read("raw_rental", "rentals").count() == 2
+    assert store.read("core", "rentals").count() == 2
+    assert warehouse.read_audit(spark, root).first()["status"] == "FAILED"
+
+
+def test_backfill_builds_from_its_own_raw(spark):
+    root = scratch_path(spark, "backfill")
+    warehouse.run_warehouse(spark, few(spark, 4), root, "june", "2025-06-01 00:00:00")
+    counts = warehouse.run_warehouse(spark, few(spark, 2), root, "may", "2025-05-01 00:00:00")
+    assert counts["core"]["rentals"] == counts["mart"]["fct_rentals"] == 2
+    assert LayerStore(spark, root).read("core", "rentals").count() == 2
+
+
+def test_run_with_export_twice(spark):
+    root = scratch_path(spark, "twice")
+    for n in (4, 2):
+        warehouse.run_warehouse(spark, few(spark, n), root, "run-1", NOW, f"{root}/export")
+    name = export.export_name("mart", "fct_rentals", NOW)
+    assert export.read_export(spark, f"{root}/export/{name}", FCT_RENTALS.names).count() == 2
+    audit = warehouse.read_audit(spark, root).first()
+    assert audit["status"] == "SUCCESS" and audit["finished_at"] > audit["started_at"]
+    store = LayerStore(spark, root)
+    assert store.read("meta", "etl_run_audit").count() == 1
+    assert store.read("meta", "etl_watermark").count() == 3
+
+
 def test_snapshot_and_restore(spark, views):
     root = scratch_path(spark, "snap")
     warehouse.run_warehouse(spark, sources(views), root, "run-1", NOW)
     store = LayerStore(spark, root)
     kept = rows(store.read("mart", "kpi_daily"))
     store.snapshot(f"{root}/snapshot")
-    store.publish("mart", "oops", {}, "2025-12-19 00:00:00")
+    store.publish("mart", "oops", {}, "2025-12-19 00:00:00", absent=("fct_rentals", "fct_payments", "kpi_daily"))
     assert store.read("mart", "kpi_daily").count() == 0
-    store.restore(f"{root}/snapshot", "back", "2025-12-20 00:00:00")
+    store.restore(f"{root}/snapshot", "back", "2025-12-18 00:00:00", warehouse.ORDER)
     assert rows(store.read("mart", "kpi_daily")) == kept
 
 

@@ -19,6 +19,7 @@ from voltmart.sources.store import LayerStore
 from voltmart.sources.testviews import TestViews
 
 AS_OF = "2001-12-01 00:00:00"
+FINISHED = "2001-12-01 00:12:34"
 DAY = "2000-06-15"
 ALL = ["quotes", "rentals", "idempotency_keys", "debts", "payment_attempts"]
 
@@ -221,6 +222,7 @@ def csv_text(v):
     return fact.select(*csv_columns(fact))
 
 
+# Each listed table with the SQL whose rows it has.
 _COUNT_TABLES = [
     ("core", "debts", "debts"),
     ("core", "idempotency_keys", "idempotency_keys"),
@@ -229,6 +231,12 @@ _COUNT_TABLES = [
     ("core", "rentals", "rentals"),
     ("mart", "fct_payments", "payment_attempts"),
     ("mart", "fct_rentals", "rentals"),
+    ("mart", "kpi_daily", "kpi"),
+    ("meta", "etl_run_audit", "(SELECT 1)"),
+    ("meta", "etl_watermark", "(SELECT max(id) FROM quotes HAVING count(*) > 0 UNION ALL SELECT max(id) FROM rentals "
+     "HAVING count(*) > 0 UNION ALL SELECT max(key) FROM idempotency_keys HAVING count(*) > 0 UNION ALL "
+     "SELECT max(rental_id) FROM debts HAVING count(*) > 0 UNION ALL SELECT max(rental_id) FROM payment_attempts "
+     "HAVING count(*) > 0)"),
     ("raw_billing", "debts", "debts"),
     ("raw_billing", "payment_attempts", "payment_attempts"),
     ("raw_rental", "idempotency_keys", "idempotency_keys"),
@@ -238,31 +246,37 @@ _COUNT_TABLES = [
 
 # ----- C: mart (SQL texts are reused by D)
 
+# All sources as day entries, summed once per day; the calendar runs over rental starts and payments.
 _KPI = """
-bounds AS (
-  SELECT least(coalesce((SELECT min(started_at) FROM rentals)::DATE, DATE '9999-12-31'),
-               coalesce((SELECT min(created_at) FROM payment_attempts)::DATE, DATE '9999-12-31')) AS min_day,
-         greatest(coalesce((SELECT max(started_at) FROM rentals)::DATE, DATE '0001-01-01'),
-                  coalesce((SELECT max(created_at) FROM payment_attempts)::DATE, DATE '0001-01-01')) AS max_day
+entry AS (
+  SELECT 'quote' AS kind, CAST(created_at AS DATE) AS on_day, FALSE AS paid, 0 AS amount, 0 AS seconds FROM quotes
+  UNION ALL
+  SELECT 'payment', CAST(created_at AS DATE), success, amount, 0 FROM payment_attempts
+  UNION ALL
+  SELECT 'start', CAST(started_at AS DATE), FALSE, 0, 0 FROM rentals
+  UNION ALL
+  SELECT 'end', CAST(finished_at AS DATE), FALSE, 0, date_diff('second', started_at, finished_at)
+  FROM rentals WHERE finished_at IS NOT NULL
 ),
-cal AS (SELECT CAST(unnest(generate_series(min_day, max_day, INTERVAL 1 DAY)) AS DATE) AS d FROM bounds),
-q AS (SELECT created_at::DATE AS d, count(*) AS n FROM quotes GROUP BY 1),
-rs AS (SELECT started_at::DATE AS d, count(*) AS n FROM rentals GROUP BY 1),
-rf AS (SELECT finished_at::DATE AS d, count(*) AS n,
-              (200 * sum(date_diff('second', started_at, finished_at)) + 60 * count(*)) // (120 * count(*)) AS h
-       FROM rentals WHERE finished_at IS NOT NULL GROUP BY 1),
-p AS (SELECT created_at::DATE AS d, count(*) AS n, sum(CASE WHEN success THEN 1 ELSE 0 END) AS ok,
-             sum(CASE WHEN success THEN amount ELSE 0 END) AS rev FROM payment_attempts GROUP BY 1),
+daily AS (
+  SELECT on_day, count(*) FILTER (kind = 'quote') AS quoted, count(*) FILTER (kind = 'start') AS started,
+         count(*) FILTER (kind = 'end') AS ended, count(*) FILTER (kind = 'payment') AS tried,
+         count(*) FILTER (kind = 'payment' AND paid) AS succeeded,
+         coalesce(sum(amount) FILTER (kind = 'payment' AND paid), 0) AS earned,
+         (10 * sum(seconds) FILTER (kind = 'end') + 3 * count(*) FILTER (kind = 'end'))
+           // nullif(6 * count(*) FILTER (kind = 'end'), 0) AS hundredths
+  FROM entry GROUP BY on_day
+),
+span AS (SELECT min(on_day) AS first_day, max(on_day) AS last_day FROM entry WHERE kind IN ('start', 'payment')),
 kpi AS (
-  SELECT cal.d AS day, CAST(coalesce(q.n, 0) AS INTEGER) AS quotes_cnt,
-         CAST(coalesce(rs.n, 0) AS INTEGER) AS rentals_started_cnt,
-         CAST(coalesce(rf.n, 0) AS INTEGER) AS rentals_finished_cnt,
-         CAST(coalesce(p.n, 0) AS INTEGER) AS payments_attempts_cnt,
-         CAST(coalesce(p.ok, 0) AS INTEGER) AS payments_success_cnt,
-         CAST(coalesce(p.rev, 0) AS BIGINT) AS revenue_amount,
-         CAST(rf.h AS BIGINT) AS avg_hundredths
-  FROM cal LEFT JOIN q ON q.d = cal.d LEFT JOIN rs ON rs.d = cal.d
-  LEFT JOIN rf ON rf.d = cal.d LEFT JOIN p ON p.d = cal.d
+  SELECT CAST(day AS DATE) AS day, CAST(coalesce(quoted, 0) AS INTEGER) AS quotes_cnt,
+         CAST(coalesce(started, 0) AS INTEGER) AS rentals_started_cnt,
+         CAST(coalesce(ended, 0) AS INTEGER) AS rentals_finished_cnt,
+         CAST(coalesce(tried, 0) AS INTEGER) AS payments_attempts_cnt,
+         CAST(coalesce(succeeded, 0) AS INTEGER) AS payments_success_cnt,
+         CAST(coalesce(earned, 0) AS BIGINT) AS revenue_amount, CAST(hundredths AS BIGINT) AS avg_hundredths
+  FROM (SELECT unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS day FROM span)
+  LEFT JOIN daily ON on_day = day
 )"""
 _KPI_NEEDS = ("quotes", "rentals", "payment_attempts")
 _MEASURES = "quotes_cnt, rentals_started_cnt, rentals_finished_cnt, payments_attempts_cnt, payments_success_cnt, revenue_amount"
@@ -273,6 +287,15 @@ def kpi_sql(body: str) -> str:
     return sql(f"WITH {_KPI.strip()}\n{body}", *_KPI_NEEDS)
 
 
+_ROW_COUNT = "SELECT '{s}' AS schema_name, '{t}' AS table_name, count(*) AS row_count FROM {b}"
+
+
+def counts_sql(one: str, tail: str = "") -> str:
+    """``one`` for each listed table, the KPI's days included."""
+    parts = "\nUNION ALL ".join(one.format(s=s, t=t, b=b) for s, t, b in _COUNT_TABLES)
+    return sql(f"WITH {_KPI.strip()}\n{parts}{tail}", *ALL)
+
+
 def kpi(v: TestViews) -> DataFrame:
     return mart.kpi_daily(v.quotes(), v.rentals(), v.payment_attempts())
 
@@ -302,23 +325,23 @@ def c2(v):
 
 @query(
     "c3_calendar_bounds",
-    kpi_sql("SELECT CAST(min_day AS VARCHAR) AS min_day, CAST(max_day AS VARCHAR) AS max_day FROM bounds"),
+    kpi_sql("SELECT CAST(first_day AS VARCHAR) AS min_day, CAST(last_day AS VARCHAR) AS max_day FROM span"),
 )
 def c3(v):
     return mart.calendar_bounds(v.rentals(), v.payment_attempts())
 
 
-@query("c4_day_calendar", kpi_sql("SELECT CAST(d AS VARCHAR) AS day FROM cal"))
+@query("c4_day_calendar", kpi_sql("SELECT CAST(day AS VARCHAR) AS day FROM kpi"))
 def c4(v):
     return mart.day_calendar(mart.calendar_bounds(v.rentals(), v.payment_attempts()))
 
 
-@query("c5_quotes_per_day", kpi_sql("SELECT CAST(d AS VARCHAR) AS day, n AS quotes_cnt FROM q"))
+@query("c5_quotes_per_day", kpi_sql("SELECT CAST(on_day AS VARCHAR) AS day, quoted AS quotes_cnt FROM daily WHERE quoted > 0"))
 def c5(v):
     return mart.quotes_per_day(v.quotes())
 
 
-@query("c6_rentals_started_per_day", kpi_sql("SELECT CAST(d AS VARCHAR) AS day, n AS rentals_started_cnt FROM rs"))
+@query("c6_rentals_started_per_day", kpi_sql("SELECT CAST(on_day AS VARCHAR) AS day, started AS rentals_started_cnt FROM daily WHERE started > 0"))
 def c6(v):
     return mart.rentals_started_per_day(v.rentals())
 
@@ -326,8 +349,8 @@ def c6(v):
 @query(
     "c7_rentals_finished_per_day",
     kpi_sql(
-        "SELECT CAST(d AS VARCHAR) AS day, n AS rentals_finished_cnt, "
-        "CAST(h AS BIGINT) / 100 AS avg_rental_duration_min FROM rf"
+        "SELECT CAST(on_day AS VARCHAR) AS day, ended AS rentals_finished_cnt, "
+        "CAST(hundredths AS BIGINT) / 100 AS avg_rental_duration_min FROM daily WHERE ended > 0"
     ),
 )
 def c7(v):
@@ -337,8 +360,8 @@ def c7(v):
 @query(
     "c8_payments_per_day",
     kpi_sql(
-        "SELECT CAST(d AS VARCHAR) AS day, n AS payments_attempts_cnt, CAST(ok AS BIGINT) AS payments_success_cnt, "
-        "CAST(rev AS BIGINT) AS revenue_amount FROM p"
+        "SELECT CAST(on_day AS VARCHAR) AS day, tried AS payments_attempts_cnt, succeeded AS payments_success_cnt, "
+        "CAST(earned AS BIGINT) AS revenue_amount FROM daily WHERE tried > 0"
     ),
 )
 def c8(v):
@@ -512,22 +535,27 @@ def layer_tables(v: TestViews, schemas: set[str]) -> dict[tuple[str, str], DataF
     marts = {
         "fct_rentals": mart.fct_rentals(core_tables["rentals"]),
         "fct_payments": mart.fct_payments(core_tables["payment_attempts"]),
+        "kpi_daily": mart.kpi_daily(core_tables["quotes"], core_tables["rentals"], core_tables["payment_attempts"]),
+    }
+    opening = meta.run_started(v.spark, "run-1", warehouse.RUN_NAME, AS_OF)
+    every = {
+        **layers,
+        "core": core_tables,
+        "mart": marts,
+        "meta": {"etl_watermark": warehouse.bookmarks(layers, AS_OF), "etl_run_audit": opening},
     }
-    every = {**layers, "core": core_tables, "mart": marts}
     return {(s, t): df for s in schemas for t, df in every[s].items()}
 
 
+LAYER_NAMES = {"raw_rental", "raw_billing", "core", "mart", "meta"}
+
+
 @query(
     "d19_row_count_lines",
-    sql(
-        "\nUNION ALL ".join(
-            f"SELECT '{s}.{t}: ' || CAST(count(*) AS VARCHAR) AS line FROM {b}" for s, t, b in _COUNT_TABLES
-        ),
-        *ALL,
-    ),
+    counts_sql("SELECT '{s}.{t}: ' || CAST(count(*) AS VARCHAR) AS line FROM {b}"),
 )
 def d19(v):
-    return bi.row_count_lines(layer_tables(v, {"raw_rental", "raw_billing", "core", "mart"}))
+    return bi.row_count_lines(layer_tables(v, LAYER_NAMES))
 
 
 @query(
@@ -548,17 +576,10 @@ def d21(v):
 
 @query(
     "d22_row_counts",
-    sql(
-        "\nUNION ALL ".join(
-            f"SELECT '{s}' AS schema_name, '{t}' AS table_name, count(*) AS row_count FROM {b}"
-            for s, t, b in _COUNT_TABLES
-        )
-        + "\nORDER BY schema_name, table_name",
-        *ALL,
-    ),
+    counts_sql(_ROW_COUNT, "\nORDER BY schema_name, table_name"),
 )
 def d22(v):
-    return bi.row_counts(layer_tables(v, {"raw_rental", "raw_billing", "core", "mart"}))
+    return bi.row_counts(layer_tables(v, LAYER_NAMES))
 
 
 # ----- F and the stored layers
@@ -609,7 +630,9 @@ def f2(v):
 
 def _run(v: TestViews, with_export: bool = False) -> str:
     root = scratch_path(v.spark, "run")
-    warehouse.run_warehouse(v.spark, sources(v), root, "run-1", AS_OF, f"{root}/export" if with_export else None)
+    warehouse.run_warehouse(
+        v.spark, sources(v), root, "run-1", AS_OF, f"{root}/export" if with_export else None, finished_at=FINISHED
+    )
     return root
 
 
@@ -618,7 +641,7 @@ def _run(v: TestViews, with_export: bool = False) -> str:
     sql(
         f"""
         SELECT 'run-1' AS run_id, 'warehouse_daily' AS dag_id, TIMESTAMP '{AS_OF}' AS started_at,
-               TIMESTAMP '{AS_OF}' AS finished_at, 'SUCCESS' AS status,
+               TIMESTAMP '{FINISHED}' AS finished_at, 'SUCCESS' AS status,
                (SELECT count(*) FROM rentals) AS core_rentals,
                (SELECT count(*) FROM payment_attempts) AS core_payment_attempts""",
         "rentals",
@@ -657,19 +680,13 @@ def b6(v):
     root = _run(v)
     store = LayerStore(v.spark, root)
     rentals = store.read("core", "rentals")
-    store.stage(rentals.union(rentals), "core", "run-2", "rentals")
+    store.stage(rentals.union(rentals), "core", "run-2-unfinished", "rentals")
     return bi.row_counts({("core", t): df for t, df in store.read_layer("core").items()})
 
 
 @query(
     "a11_snapshot_restore",
-    sql(
-        "\nUNION ALL ".join(
-            f"SELECT '{s}' AS schema_name, '{t}' AS table_name, count(*) AS row_count FROM {b}"
-            for s, t, b in _COUNT_TABLES
-        ),
-        *ALL,
-    ),
+    counts_sql(_ROW_COUNT),
 )
 def a11(v):
     """Snapshot all layers, restore them into an empty store, count the rows there."""
@@ -677,7 +694,7 @@ def a11(v):
     LayerStore(v.spark, root).snapshot(f"{root}/snapshot")
     other = LayerStore(v.spark, f"{root}/restored")
     other.bootstrap()
-    other.restore(f"{root}/snapshot", "restored-1", AS_OF)
+    other.restore(f"{root}/snapshot", "restored-1", AS_OF, warehouse.ORDER)
     names = {(s, t) for s, t, _ in _COUNT_TABLES}
     return bi.row_counts({(s, t): other.read(s, t) for s, t in names})
 
@@ -691,8 +708,9 @@ def a11(v):
     ),
 )
 def a12(v):
-    """A layer loaded from a source that has only rentals: the other tables exist and are empty."""
+    """A layer from a source that is known to have only rentals: the other tables exist and are empty."""
     store = LayerStore(v.spark, scratch_path(v.spark, "bootstrap"))
     store.bootstrap()
-    warehouse.extract_source(store, "rental", {"rentals": v.rentals()}, "v1", AS_OF)
+    absent = ("quotes", "idempotency_keys")
+    warehouse.extract_source(store, "rental", {"rentals": v.rentals()}, "v1", AS_OF, absent)
     return bi.row_counts({("raw_rental", t): df for t, df in store.read_layer("raw_rental").items()})

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,42 +14,74 @@ from voltmart.operators.core import core_layer
 from voltmart.schemas import EXTRACTS, MART_TABLES, TABLES
 from voltmart.sources.export import export_csv, export_name
 from voltmart.sources.extract import full_load
-from voltmart.sources.store import LayerStore
+from voltmart.sources.store import LayerStore, Version
 
 RUN_NAME = "warehouse_daily"
 
 
+# The time column each stored table is ordered by.
+ORDER: dict[str, dict[str, str]] = {
+    **{f"raw_{s}": {t: TABLES[t].bookmark for t in tables} for s, tables in EXTRACTS.items()},
+    "core": {t: spec.bookmark for t, spec in TABLES.items()},
+    "mart": {"fct_rentals": "started_at", "fct_payments": "created_at"},
+}
+
+
 def extract_source(
-    store: LayerStore, source: str, tables: dict[str, DataFrame], version: str, as_of: str
-) -> dict[str, int]:
-    """Replace one raw layer by the full content of its source service."""
+    store: LayerStore,
+    source: str,
+    tables: dict[str, DataFrame],
+    version: str,
+    as_of: str,
+    absent: tuple[str, ...] = (),
+) -> Version:
+    """Replace one raw layer by the full content of its source service.
+
+    A table of the extract set that the source lacks is an error, unless it is named ``absent``.
+    """
+    layer = f"raw_{source}"
     loads = {t: full_load(tables[t], TABLES[t].schema, as_of) for t in EXTRACTS[source] if t in tables}
-    order = {t: TABLES[t].bookmark for t in EXTRACTS[source]}
-    return store.publish(f"raw_{source}", version, loads, as_of, order)
+    return store.publish(layer, version, loads, as_of, ORDER[layer], absent)
 
 
-def build_core(store: LayerStore, version: str, as_of: str) -> dict[str, int]:
-    raw = {layer: store.read_layer(layer) for layer in ("raw_rental", "raw_billing")}
-    order = {t: spec.bookmark for t, spec in TABLES.items()}
-    return store.publish("core", version, core_layer(raw), as_of, order)
+def build_core(store: LayerStore, version: str, as_of: str, raw: dict[str, Version]) -> Version:
+    """Core from exactly the raw versions given."""
+    layers = {layer: store.read_layer(layer, raw[layer].folder) for layer in ("raw_rental", "raw_billing")}
+    return store.publish("core", version, core_layer(layers), as_of, ORDER["core"])
 
 
-def build_mart(store: LayerStore, version: str, as_of: str) -> dict[str, int]:
-    core = store.read_layer("core")
+def build_mart(store: LayerStore, version: str, as_of: str, core_version: Version) -> Version:
+    core = store.read_layer("core", core_version.folder)
     tables = {
         "fct_rentals": mart.fct_rentals(core["rentals"]),
         "fct_payments": mart.fct_payments(core["payment_attempts"]),
-        # One row per day; one file is enough.
-        "kpi_daily": mart.kpi_daily(core["quotes"], core["rentals"], core["payment_attempts"]).coalesce(1),
+        # One row per day, aggregated first; the small result is one file.
+        "kpi_daily": mart.kpi_daily(core["quotes"], core["rentals"], core["payment_attempts"]).repartition(1),
     }
-    return store.publish("mart", version, tables, as_of, {"fct_rentals": "started_at", "fct_payments": "created_at"})
+    return store.publish("mart", version, tables, as_of, ORDER["mart"])
 
 
-def export_mart(store: LayerStore, folder: str, as_of: str) -> list[str]:
-    tables = store.read_layer("mart")
+def export_mart(store: LayerStore, folder: str, as_of: str, version: Version) -> list[str]:
+    tables = store.read_layer("mart", version.folder)
     return [export_csv(tables[t], f"{folder}/{export_name('mart', t, as_of)}") for t in MART_TABLES]
 
 
+def bookmarks(raw: dict[str, dict[str, DataFrame]], now: str) -> DataFrame:
+    """Bookmark of every raw table that has rows."""
+    rows = [
+        meta.watermark_row(raw[spec.raw_layer][t], f"{spec.raw_layer}.{t}", spec.bookmark, now)
+        for t, spec in TABLES.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def publish_meta(store: LayerStore, version: str, as_of: str, raw: dict[str, Version]) -> Version:
+    """Current bookmarks and run audit as a version of the meta layer."""
+    layers = {layer: store.read_layer(layer, v.folder) for layer, v in raw.items()}
+    tables = {"etl_watermark": bookmarks(layers, as_of), "etl_run_audit": read_audit(store.spark, store.root)}
+    return store.publish("meta", version, {t: df.repartition(1) for t, df in tables.items()}, as_of)
+
+
 def run_warehouse(
     spark: SparkSession,
     sources: dict[str, dict[str, DataFrame]],
@@ -55,18 +89,21 @@ def run_warehouse(
     run_id: str,
     as_of: str,
     export_to: str | None = None,
+    finished_at: str | None = None,
 ) -> dict[str, dict[str, int]]:
-    """Both extracts side by side, then core, then mart, then export.
+    """Both extracts side by side, then core, then mart, then export, then meta.
 
-    ``run_id`` names the versions and ``as_of`` all stamps, so a rerun writes the same data
-    over the same folders. The audit log gets an opening and a terminal row.
+    ``run_id`` names the versions and ``as_of`` stamps the rows, so a rerun gives the same data.
+    Each step reads the version that the step before has just committed, also in a backfill. The
+    audit log gets an opening and a terminal row; the latter is stamped ``finished_at``, or the
+    time it is written.
     """
     store = LayerStore(spark, root)
     store.bootstrap()
     audit = f"{store.root}/_audit_log"
     opening = meta.run_started(spark, run_id, RUN_NAME, as_of)
     opening.write.mode("append").parquet(audit)
-    counts: dict[str, dict[str, int]] = {}
+    done: dict[str, Version] = {}
     status = "FAILED"
     try:
         with ThreadPoolExecutor(max_workers=2) as pool:
@@ -74,15 +111,19 @@ def run_warehouse(
                 s: pool.submit(extract_source, store, s, sources.get(s, {}), run_id, as_of) for s in EXTRACTS
             }
             for s, job in jobs.items():
-                counts[f"raw_{s}"] = job.result()
-        counts["core"] = build_core(store, run_id, as_of)
-        counts["mart"] = build_mart(store, run_id, as_of)
+                done[f"raw_{s}"] = job.result()
+        raw = dict(done)
+        done["core"] = build_core(store, run_id, as_of, raw)
+        done["mart"] = build_mart(store, run_id, as_of, done["core"])
         if export_to:
-            export_mart(store, export_to, as_of)
+            export_mart(store, export_to, as_of, done["mart"])
         status = "SUCCESS"
     finally:
-        closing = meta.run_finished(opening, as_of, status, json.dumps(counts, sort_keys=True))
+        counts = {layer: v.rows for layer, v in done.items()}
+        stamp = finished_at or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+        closing = meta.run_finished(opening, stamp, status, json.dumps(counts, sort_keys=True))
         closing.write.mode("append").parquet(audit)
+    publish_meta(store, run_id, as_of, raw)
     return counts
 
 

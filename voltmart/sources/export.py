@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,17 +21,28 @@ def export_csv(df: DataFrame, folder: str) -> str:
     """Write all rows as text columns with a header, one file per task.
 
     NULL becomes an empty field and an empty text becomes ``""``, so both survive. A table
-    without rows still gets a header: its single empty partition is written like any other.
+    without rows still gets a header: its single empty partition is written like any other. The
+    export is written beside ``folder`` and takes its place when it is whole, so it can be repeated.
     """
     text = df.select(*csv_columns(df))
+    staged = f"{folder}.{uuid.uuid4().hex[:12]}"
     text.write.mode("errorifexists").option("header", True).option("nullValue", "").option(
         "emptyValue", '""'
     ).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False
-    ).csv(folder)
+    ).csv(staged)
+    _replace(df.sparkSession, staged, folder)
     return folder
 
 
+def _replace(spark: SparkSession, staged: str, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(path(folder), True)
+    if not files.rename(path(staged), path(folder)):
+        raise OSError(f"could not rename {staged} to {folder}")
+
+
 def read_export(spark: SparkSession, folder: str, columns: list[str]) -> DataFrame:
     """Read an export back as text."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])

@@ -1,22 +1,32 @@
 """Versioned Parquet layers with an append-only commit table.
 
-A layer is written to a new version folder; one appended commit row makes the whole version
-current. Readers see all tables of a version or none, and a failed or repeated write leaves
-the current version as it was.
+Every attempt to write a layer gets a folder of its own; one appended commit row makes it
+current. Nothing is written below a committed folder, so a failed or repeated run leaves readers
+with the version they had. Commits are ordered by a sequence number, not by the time a run is
+for; a layer has one writer at a time.
 """
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from voltmart.functions.time import as_ts
 from voltmart.schemas import LAYERS
-from voltmart.sources.extract import conform, read_or_empty
+from voltmart.sources.extract import conform
 
-COMMITS = "version string, rows string, committed_at timestamp"
+COMMITS = "version string, folder string, seq long, rows string, committed_at timestamp"
+
+
+class Version(NamedTuple):
+    """A committed version: the folder of its attempt and the rows of its tables."""
+
+    folder: str
+    rows: dict[str, int]
 
 
 class LayerStore:
@@ -39,22 +49,33 @@ class LayerStore:
         with ThreadPoolExecutor(max_workers=len(LAYERS)) as pool:
             list(pool.map(lambda n: none.write.mode("append").parquet(self._commits(n)), LAYERS))
 
-    def current_version(self, layer: str) -> str | None:
+    def _newest(self, layer: str):
+        """Version, folder and sequence number of the latest commit; nulls before any."""
         commits = self.spark.read.schema(COMMITS).parquet(self._commits(layer))
-        newest = commits.agg(F.max_by("version", F.struct("committed_at", "version")).alias("version"))
-        return newest.first()["version"]
+        return commits.agg(F.max_by(F.struct("version", "folder"), "seq").alias("v"), F.max("seq").alias("seq")).first()
+
+    def current_version(self, layer: str) -> str | None:
+        newest = self._newest(layer)["v"]
+        return newest["version"] if newest else None
 
-    def stage(self, df: DataFrame, layer: str, version: str, table: str, sort_by: str | None = None) -> int:
-        """Write one table of a version and return its row count.
+    def current_folder(self, layer: str) -> str | None:
+        newest = self._newest(layer)["v"]
+        return newest["folder"] if newest else None
 
-        The count is observed during the write. Rows are sorted by time inside each task, so
-        the Parquet min/max statistics let date filters skip row groups without a shuffle.
+    def stage(self, df: DataFrame, layer: str, folder: str, table: str, sort_by: str | None = None) -> int:
+        """Write one table of an attempt and return its row count, observed during the write.
+
+        With ``sort_by`` each file holds one range of times, so date filters skip whole files; a
+        hash of the row's first column cuts a time that very many rows share.
         """
         seen = Observation()
-        out = conform(df, LAYERS[layer][table]).observe(seen, F.count(F.lit(1)).alias("rows"))
+        schema = LAYERS[layer][table]
+        out = conform(df, schema)
         if sort_by:
-            out = out.sortWithinPartitions(sort_by)
-        out.write.mode("overwrite").parquet(self._folder(layer, version, table))
+            out = out.repartitionByRange(F.col(sort_by), F.xxhash64(schema.names[0])).sortWithinPartitions(sort_by)
+        # Counted last: the sampling of the ranges reads the rows, too.
+        out = out.observe(seen, F.count(F.lit(1)).alias("rows"))
+        out.write.mode("errorifexists").parquet(self._folder(layer, folder, table))
         return seen.get["rows"]
 
     def publish(
@@ -64,47 +85,56 @@ class LayerStore:
         tables: dict[str, DataFrame],
         committed_at: str,
         sort_by: dict[str, str] | None = None,
-    ) -> dict[str, int]:
-        """Stage every table, then commit the version with one appended row.
+        absent: tuple[str, ...] = (),
+    ) -> Version:
+        """Stage every table in a fresh folder, then commit it with one appended row.
 
-        A table the caller left out is staged empty, so a version always has all its tables.
+        A table that is neither given nor named ``absent`` is an error; absent ones are empty.
         """
         names = list(LAYERS[layer])
-        empty = {n: self.spark.createDataFrame([], LAYERS[layer][n]) for n in names if n not in tables}
-        frames = {**tables, **empty}
+        missing = [n for n in names if n not in tables and n not in absent]
+        if missing:
+            raise ValueError(f"{layer} lacks {', '.join(missing)}")
+        empty = {n: self.spark.createDataFrame([], LAYERS[layer][n]) for n in absent}
+        frames = {**empty, **tables}
         order = sort_by or {}
+        folder = f"{version}-{uuid.uuid4().hex[:12]}"
         with ThreadPoolExecutor(max_workers=len(names)) as pool:
             counts = dict(
-                zip(names, pool.map(lambda n: self.stage(frames[n], layer, version, n, order.get(n)), names))
+                zip(names, pool.map(lambda n: self.stage(frames[n], layer, folder, n, order.get(n)), names))
             )
-        text = ",".join(f"{n}={c}" for n, c in counts.items())
         row = self.spark.range(1).select(
             F.lit(version).alias("version"),
-            F.lit(text).alias("rows"),
+            F.lit(folder).alias("folder"),
+            F.lit((self._newest(layer)["seq"] or 0) + 1).cast("long").alias("seq"),
+            F.lit(",".join(f"{n}={c}" for n, c in counts.items())).alias("rows"),
             as_ts(committed_at).alias("committed_at"),
         )
         row.write.mode("append").parquet(self._commits(layer))
-        return counts
+        return Version(folder, counts)
+
+    def read(self, layer: str, table: str, folder: str | None = None) -> DataFrame:
+        """A table of the given or the current folder; typed and empty before any commit.
 
-    def read(self, layer: str, table: str, version: str | None = None) -> DataFrame:
-        """A table of the given or the current version; typed and empty before any commit."""
+        A committed folder that lacks the table is an error.
+        """
         schema = LAYERS[layer][table]
-        version = version or self.current_version(layer)
-        if version is None:
+        folder = folder or self.current_folder(layer)
+        if folder is None:
             return self.spark.createDataFrame([], schema)
-        return read_or_empty(self.spark, self._folder(layer, version, table), schema)
+        return self.spark.read.schema(schema).parquet(self._folder(layer, folder, table))
 
-    def read_layer(self, layer: str) -> dict[str, DataFrame]:
-        version = self.current_version(layer)
+    def read_layer(self, layer: str, folder: str | None = None) -> dict[str, DataFrame]:
+        folder = folder or self.current_folder(layer)
         return {
-            t: self.read(layer, t, version) if version else self.spark.createDataFrame([], LAYERS[layer][t])
+            t: self.read(layer, t, folder) if folder else self.spark.createDataFrame([], LAYERS[layer][t])
             for t in LAYERS[layer]
         }
 
     def snapshot(self, target: str) -> dict[str, str]:
         """Copy the current version of every layer to another folder."""
-        versions = {layer: self.current_version(layer) for layer in LAYERS}
-        taken = {layer: version for layer, version in versions.items() if version is not None}
+        folders = {layer: self.current_folder(layer) for layer in LAYERS}
+        taken = {layer: folder for layer, folder in folders.items() if folder is not None}
         jobs = [(layer, table) for layer in taken for table in LAYERS[layer]]
 
         def copy(job: tuple[str, str]) -> None:
@@ -116,12 +146,15 @@ class LayerStore:
             list(pool.map(copy, jobs))
         return taken
 
-    def restore(self, source: str, version: str, committed_at: str) -> dict[str, dict[str, int]]:
-        """Publish a snapshot as a new version of every layer."""
+    def restore(
+        self, source: str, version: str, committed_at: str, sort_by: dict[str, dict[str, str]] | None = None
+    ) -> dict[str, Version]:
+        """Publish a snapshot of all layers as a new version of each, in the layers' order."""
+        order = sort_by or {}
 
-        def put(layer: str) -> dict[str, int]:
-            tables = {t: read_or_empty(self.spark, f"{source}/{layer}/{t}", s) for t, s in LAYERS[layer].items()}
-            return self.publish(layer, version, tables, committed_at)
+        def put(layer: str) -> Version:
+            tables = {t: self.spark.read.schema(s).parquet(f"{source}/{layer}/{t}") for t, s in LAYERS[layer].items()}
+            return self.publish(layer, version, tables, committed_at, order.get(layer))
 
         with ThreadPoolExecutor(max_workers=len(LAYERS)) as pool:
             return dict(zip(LAYERS, pool.map(put, LAYERS)))
