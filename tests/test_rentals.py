@@ -196,7 +196,9 @@ def test_stop(spark):
         rental("c", status="FINISHED", total=450, finished=at(5)),
     )
     d = debts(spark, ("a", 50, T0, 0, None), ("c", 100, T0, 0, None))
-    ask = spark.createDataFrame([("a", at(9)), ("b", at(9)), ("c", at(9)), ("zz", at(9))], "order_id string, stopped_at timestamp")
+    ask = spark.createDataFrame(
+        [(n, n, at(9)) for n in ("a", "b", "c", "zz")], "request_id string, order_id string, stopped_at timestamp"
+    )
     got = {x["order_id"]: x for x in ops.stop_rentals(r, d, ask).collect()}
     assert (got["a"]["outcome"], got["a"]["deposit_refund"], got["a"]["debt"]) == ("finished", 350, 50)
     assert (got["b"]["outcome"], got["b"]["finished_at"]) == ("finished", at(9))
@@ -206,3 +208,16 @@ def test_stop(spark):
     assert after == {"a": ("FINISHED", at(9)), "b": ("FINISHED", at(9)), "c": ("FINISHED", at(5))}
     view = ops.status_view(r, d)
     assert rows(view.select("order_id", "debt")) == [("a", 50), ("b", 0), ("c", 100)]
+
+
+def test_second_stop_of_one_batch_finds_the_first(spark):
+    r = rentals(spark, rental("a"), rental("b"))
+    ask = spark.createDataFrame(
+        [("2", "a", at(5)), ("1", "a", at(9)), ("4", "b", at(7)), ("3", "b", at(7))],
+        "request_id string, order_id string, stopped_at timestamp",
+    )
+    out = ops.stop_rentals(r, debts(spark), ask)
+    got = sorted((x["order_id"], x["outcome"], x["finished_at"]) for x in out.collect())
+    assert got == [
+        ("a", "already_finished", at(5)), ("a", "finished", at(5)), ("b", "already_finished", at(7)), ("b", "finished", at(7)),
+    ]

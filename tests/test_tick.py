@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tests.helpers import PAYMENT_COLS, at, debts, land, payments, rental, rentals
+from tests.helpers import PAYMENT_COLS, T0, at, debts, land, payments, rental, rentals
 from voltmart.functions.money import BillingConfig
-from voltmart.plans import replay
+from voltmart.plans import billing_tick, replay
 from voltmart.plans.billing_tick import run_tick
 from voltmart.session import scratch_path
 from voltmart.streaming import billing as stream_billing
@@ -185,14 +186,46 @@ def test_stream_of_ticks_equals_replay(spark):
     assert rows(got, "rental_id") == rows(wanted, "rental_id")
 
 
-def test_replay_refuses_endless_histories(spark, monkeypatch):
-    monkeypatch.setattr(replay, "MAX_TICKS", 2)
+def test_long_histories_are_replayed(spark):
+    """10,000 ticks of one rental; every tick charges what is due since the one before."""
+    ticks = spark.range(10_000).selectExpr(
+        "'r1' AS rental_id", "CAST(id AS INT) AS tick",
+        "TIMESTAMP '2025-01-01 12:00:00' + make_dt_interval(0, 0, 0, 30 * id) AS now_ts", "true AS success",
+    )
+    r = rentals(spark, rental(price=1, free=0))
+    cfg = BillingConfig(r_buyout=10**9)
+    got = replay.replay_ticks(r, payments(spark), debts(spark), ticks, cfg).first()
+    last = dt.timedelta(seconds=30 * 9_999)
+    assert got["status"] == "ACTIVE" and got["paid"] == got["charged"] > 0
+    assert abs(got["paid"] - last / dt.timedelta(hours=1)) <= 1
+
+
+def test_late_ticks_of_a_stream_are_reported(spark):
     base, paid, owed, ticks = scenario(spark)
-    out = replay.replay_ticks(
-        rentals(spark, *base), payments(spark, *paid), debts(spark, *owed), spark.createDataFrame(ticks, TICKS)
+    r, p, d = rentals(spark, *base), payments(spark, *paid), debts(spark, *owed)
+    folder, target = scratch_path(spark, "ticks"), scratch_path(spark, "state")
+    frames = [spark.createDataFrame([t for t in ticks if t[1] in part], TICKS) for part in ([1, 3], [2], [4, 5, 6])]
+    land(folder, *frames)
+    stream = folder_stream(spark, folder, frames[0].schema, files_per_trigger=1)
+    got = stream_billing.bill_ticks(stream, replay.opening_state(r, p, d), target)
+    on_time = [t for t in ticks if t[1] != 2]
+    wanted = replay.replay_ticks(r, p, d, spark.createDataFrame(on_time, TICKS))
+    assert rows(got, "rental_id") == rows(wanted, "rental_id")
+    late = {(x["rental_id"], x["tick"]) for x in stream_billing.late_ticks(spark, target, frames[0].schema).collect()}
+    assert late and late <= {(t[0], 2) for t in ticks}
+
+
+def test_overflow_is_rejected_and_others_are_billed(spark):
+    big = rental("big", price=2_000_000_000, free=0, total=2_000_000_000, started=at(-36_000))
+    tick = billing_tick.run_tick(
+        rentals(spark, big, rental("ok", free=0, started=at(-3600))), payments(spark), debts(spark),
+        spark.createDataFrame([("ok", True, None), ("big", True, None)], "rental_id string, success boolean, error string"),
+        F.lit(T0).cast("timestamp"), BillingConfig(r_buyout=2**40),
     )
-    with pytest.raises(Exception, match="too many ticks"):
-        out.collect()
+    assert rows(tick.rejects) == [("big", "amount is out of range")]
+    after = {x["id"]: x["total_amount"] for x in tick.rentals.collect()}
+    assert after == {"big": 2_000_000_000, "ok": 120}
+    assert [x["rental_id"] for x in tick.attempts.collect()] == ["ok"]
 
 
 def test_rental_without_ticks_keeps_its_state(spark):

@@ -228,12 +228,13 @@ def h12_get(v):
 
 
 _STOPS = """
-SELECT s.order_id, CASE WHEN r.id IS NULL THEN 'not_found' WHEN r.status = 'FINISHED' THEN 'already_finished' ELSE 'finished' END AS outcome,
+SELECT s.order_id, CASE WHEN r.id IS NULL THEN 'not_found' WHEN r.status = 'FINISHED' OR s.turn > 1 THEN 'already_finished' ELSE 'finished' END AS outcome,
        CASE WHEN r.id IS NULL THEN 404 ELSE 200 END AS http_code, CASE WHEN r.id IS NOT NULL THEN 'FINISHED' END AS status,
        r.powerbank_id, r.total_amount, CASE WHEN r.id IS NOT NULL THEN coalesce(d.amount_total, 0) END AS debt,
        CASE WHEN r.id IS NOT NULL THEN greatest(0, CAST(r.deposit AS BIGINT) - (r.total_amount + coalesce(d.amount_total, 0))) END AS deposit_refund,
-       CASE WHEN r.status = 'FINISHED' THEN r.finished_at WHEN r.id IS NOT NULL THEN s.stopped_at END AS finished_at
-FROM stop_requests s LEFT JOIN rentals r ON r.id = s.order_id LEFT JOIN debts d ON d.rental_id = r.id"""
+       CASE WHEN r.status = 'FINISHED' THEN r.finished_at WHEN r.id IS NOT NULL THEN s.first_at END AS finished_at
+FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY stopped_at, request_id) AS turn,
+             min(stopped_at) OVER (PARTITION BY order_id) AS first_at FROM stop_requests) s LEFT JOIN rentals r ON r.id = s.order_id LEFT JOIN debts d ON d.rental_id = r.id"""
 
 
 @query("h13_stop_rentals", sql(_STOPS, "stop_requests", "rentals", "debts"))
@@ -248,7 +249,8 @@ def h13(v):
         SELECT r.* EXCLUDE (status, finished_at),
                CASE WHEN s.order_id IS NOT NULL THEN 'FINISHED' ELSE r.status END AS status,
                CASE WHEN s.order_id IS NOT NULL AND r.status <> 'FINISHED' THEN s.stopped_at ELSE r.finished_at END AS finished_at
-        FROM rentals r LEFT JOIN stop_requests s ON s.order_id = r.id""",
+        FROM rentals r LEFT JOIN (SELECT order_id, min(stopped_at) AS stopped_at FROM stop_requests GROUP BY 1) s
+          ON s.order_id = r.id""",
         "stop_requests",
         "rentals",
     ),

@@ -113,9 +113,9 @@ _view("holds", """
   SELECT CAST(k AS VARCHAR) AS request_id, k % 8 <> 0 AS success FROM ord
 """, "ord")
 _view("stop_requests", """
-  SELECT CASE WHEN prio = '1-URGENT' THEN 'x' ELSE '' END || CAST(k AS VARCHAR) AS order_id,
-         start_ts + to_seconds(3600) AS stopped_at
-  FROM ord
+  SELECT k || '-' || n AS request_id, CASE WHEN prio = '1-URGENT' THEN 'x' ELSE '' END || CAST(k AS VARCHAR) AS order_id,
+         start_ts + to_seconds(3600 + (n - 1) * (k % 2) * 600) AS stopped_at
+  FROM ord, (VALUES (1), (2)) AS twice(n)
 """, "ord")
 _view("api_events", """
   SELECT event_id AS id, ts,

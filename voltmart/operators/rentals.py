@@ -178,16 +178,21 @@ def _with_debt(rentals: DataFrame, debts: DataFrame) -> DataFrame:
 
 
 def stop_rentals(rentals: DataFrame, debts: DataFrame, requests: DataFrame) -> DataFrame:
-    """Answer to ``requests(order_id, stopped_at)``.
+    """Answer to ``requests(request_id, order_id, stopped_at)``.
 
-    Any status but FINISHED becomes FINISHED, also BUYOUT; an unknown rental is not found.
+    Any status but FINISHED becomes FINISHED, also BUYOUT; an unknown rental is not found. Of
+    several stops of one rental the first by time and id ends it; the others find it finished
+    with the end that the first one set.
     """
     known = _with_debt(rentals, debts).select(
         F.col("id").alias("order_id"), "status", "powerbank_id", "total_amount", "debt", "deposit", "finished_at"
     )
-    joined = requests.join(known, "order_id", "left")
+    turn = F.struct("stopped_at", "request_id")
+    first = requests.groupBy("order_id").agg(F.min(turn).alias("_first"))
+    joined = requests.join(first, "order_id", "left").join(known, "order_id", "left")
     found = F.col("status").isNotNull()
-    already = F.col("status") == "FINISHED"
+    before = F.col("status") == "FINISHED"
+    already = before | (F.col("request_id") != F.col("_first.request_id"))
     return joined.select(
         "order_id",
         F.when(~found, "not_found").when(already, "already_finished").otherwise("finished").alias("outcome"),
@@ -197,7 +202,7 @@ def stop_rentals(rentals: DataFrame, debts: DataFrame, requests: DataFrame) -> D
         "total_amount",
         "debt",
         F.when(found, deposit_refund("deposit", "total_amount", "debt")).alias("deposit_refund"),
-        F.when(already, F.col("finished_at")).when(found, F.col("stopped_at")).alias("finished_at"),
+        F.when(before, F.col("finished_at")).when(found, F.col("_first.stopped_at")).alias("finished_at"),
     )
 
 

@@ -13,6 +13,9 @@ from voltmart.session import cut_lineage
 
 # Branches of a tick, in the order they are tried.
 BUYOUT, USAGE, DEBT, NOTHING = "buyout", "usage", "debt", "none"
+# A rental whose amounts would leave the integer range is left alone and reported.
+OVERFLOW = "overflow"
+MOST = 2**31 - 1
 NO_ANSWER = "No answer from the payment service"
 
 
@@ -61,6 +64,18 @@ def charge_plan(exposed: DataFrame, now: Column, cfg: BillingConfig) -> DataFram
             .when(F.col("retry"), DEBT)
             .otherwise(NOTHING),
         )
+        .withColumn(
+            "branch",
+            F.when(
+                (F.col("branch") == USAGE)
+                & (
+                    F.col("to_charge").cast("bigint")
+                    + F.greatest(F.coalesce("total_amount", F.lit(0)), F.coalesce("debt_amount", F.lit(0)))
+                    > MOST
+                ),
+                OVERFLOW,
+            ).otherwise(F.col("branch")),
+        )
         .withColumn(
             "attempt_amount",
             F.when(F.col("branch") == USAGE, F.col("to_charge"))
@@ -96,7 +111,8 @@ def decide(planned: DataFrame, outcomes: DataFrame, cfg: BillingConfig) -> DataF
         )
         .withColumn(
             "bought_out",
-            F.col("exposure") + F.col("charged_amount") + F.col("debt_delta") >= cfg.r_buyout,
+            (F.col("branch") != OVERFLOW)
+            & (F.col("exposure") + F.col("charged_amount") + F.col("debt_delta") >= cfg.r_buyout),
         )
         .drop("_o", "_ok", "_err")
     )
@@ -205,7 +221,9 @@ def run_tick(
         rentals=rentals_after(rentals, decided),
         debts=debts_after(debts, decided),
         summary=summarize(rentals, decided),
-        rejects=rejects.select("id", "reason"),
+        rejects=rejects.select("id", "reason").union(
+            decided.filter(F.col("branch") == OVERFLOW).select("id", F.lit("amount is out of range").alias("reason"))
+        ),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,7 +34,7 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="voltmart-"))
         current = spark.sparkContext.getCheckpointDir()

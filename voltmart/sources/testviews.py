@@ -238,10 +238,12 @@ class TestViews:
         return self._orders().select(k.cast("string").alias("request_id"), (k % 8 != 0).alias("success"))
 
     def stop_requests(self) -> DataFrame:
+        """Two stops for every order: the second ten minutes later, or for even orders at the same time."""
         k = F.col("k").cast("string")
-        return self._orders().select(
+        return self._orders().withColumn("n", F.explode(F.array(F.lit(1), F.lit(2)))).select(
+            F.concat_ws("-", k, "n").alias("request_id"),
             F.when(F.col("prio") == "1-URGENT", F.concat(F.lit("x"), k)).otherwise(k).alias("order_id"),
-            add_seconds("start", 3600).alias("stopped_at"),
+            add_seconds("start", 3600 + (F.col("n") - 1) * (F.col("k") % 2) * 600).alias("stopped_at"),
         )
 
     # ----- monitoring side

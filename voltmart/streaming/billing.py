@@ -26,30 +26,47 @@ def bill_ticks(
 ) -> DataFrame:
     """Final billing state after draining ``ticks(rental_id, tick, now_ts, success)``.
 
-    ``opening`` is the table of ``plans.replay.opening_state``; a rental enters the state from
-    there with the first batch that finds it. State versions alternate between two folders:
-    batch n reads the one of batch n - 1 and overwrites the other, so a repeated batch starts
-    from the same state and storage does not grow.
+    ``opening`` is the table of ``plans.replay.opening_state``; it is read once, with batch 0.
+    State versions alternate between two folders: batch n reads the one of batch n - 1 and
+    overwrites the other, so a repeated batch starts from the same state. Only active rentals are
+    carried on; those that end go to a folder of their batch. A tick that is not later than the
+    newest one billed for its rental in an earlier batch changes nothing and goes to the late
+    ticks (``late_ticks``).
     """
     spark = ticks.sparkSession
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        before = read_or_empty(spark, f"{target}/state-{(batch_id + 1) % 2}", _stored())
-        before = before.filter(F.col("batch") == batch_id - 1).drop("batch")
-        fresh = opening.join(before.select("rental_id"), "rental_id", "left_anti")
-        after = replay.fold_ticks(before.unionByName(fresh), batch, cfg)
-        after.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
-            f"{target}/state-{batch_id % 2}"
-        )
+        if batch_id == 0:
+            before = opening
+        else:
+            stored = read_or_empty(spark, f"{target}/state-{(batch_id + 1) % 2}", _stored())
+            before = stored.filter((F.col("batch") == batch_id - 1) & (F.col("state.status") == "ACTIVE")).drop("batch")
+            seen = before.select("rental_id", F.col("state.tick").alias("_seen"))
+            late = batch.join(seen, "rental_id").filter("tick <= _seen").drop("_seen")
+            late.write.mode("overwrite").parquet(f"{target}/late/batch={batch_id}")
+        after = replay.fold_ticks(before, batch, cfg)
+        here = f"{target}/state-{batch_id % 2}"
+        after.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(here)
+        ended = spark.read.schema(_stored()).parquet(here).filter("state.status <> 'ACTIVE'").drop("batch")
+        ended.write.mode("overwrite").parquet(f"{target}/ended/batch={batch_id}")
 
     drain_batches(ticks, target, handle)
     return current_states(opening, target)
 
 
 def current_states(opening: DataFrame, target: str) -> DataFrame:
-    """State after the newest finished batch; the opening state before any."""
+    """State after the newest finished batch, ended rentals included; the opening state before any."""
     spark = opening.sparkSession
     both = [read_or_empty(spark, f"{target}/state-{i}", _stored()) for i in (0, 1)]
     every = both[0].unionByName(both[1])
-    newest = every.filter(F.col("batch") == every.agg(F.max("batch")).scalar()).drop("batch")
-    return replay.flat_states(newest)
+    last = every.agg(F.max("batch")).first()[0]
+    if last is None:
+        return replay.flat_states(opening)
+    active = every.filter((F.col("batch") == last) & (F.col("state.status") == "ACTIVE")).drop("batch")
+    ended = spark.read.schema(_stored()).parquet(f"{target}/ended").select("rental_id", "state", F.col("batch").alias("_b"))
+    return replay.flat_states(active.unionByName(ended.filter(F.col("_b") <= last).drop("_b")))
+
+
+def late_ticks(spark, target: str, schema: T.StructType) -> DataFrame:
+    """Ticks that came after a later tick of their rental had been billed."""
+    return read_or_empty(spark, f"{target}/late", schema)
