@@ -48,7 +48,7 @@ def runs_by_hand(events, limits):
 @pytest.mark.parametrize("text, failures, opened", [("FF", [2], [1]), ("FFS", [2], [1]), ("FSF", [1, 1], [None, None]), ("SSS", [], [])])
 def test_failure_runs_literal(spark, text, failures, opened):
     df = spark.createDataFrame(series_of(text), EV)
-    got = rows(metrics.failure_runs(df, F.col("bad"), limits={"payment": 2}), "run")
+    got = rows(metrics.failure_runs(df, F.col("bad"), ["circuit"], limits={"payment": 2}), "run")
     assert [r[2] for r in got] == failures
     assert [r[5] for r in got] == [None if o is None else at(o) for o in opened]
 
@@ -65,17 +65,35 @@ def test_failure_runs_with_hot_circuit(spark, max_rows):
         events.append((i, circuit, at(t), bad))
     limits = {"payment": 3, "station": 5}
     df = spark.createDataFrame(events, EV)
-    got = rows(metrics.failure_runs(df, F.col("bad"), limits=limits, max_bucket_rows=max_rows), "circuit", "run")
+    got = rows(metrics.failure_runs(df, F.col("bad"), ["circuit"], limits=limits, max_bucket_rows=max_rows), "circuit", "run")
     assert got == runs_by_hand(events, limits)
     assert max(r[2] for r in got) > 20
 
 
 def test_outages(spark):
     df = spark.createDataFrame(series_of("FFFFS") + [(9, "payment", at(100), True)], EV)
-    got = rows(metrics.outages(metrics.failure_runs(df, F.col("bad"))))
+    got = rows(metrics.outages(metrics.failure_runs(df, F.col("bad"), ["circuit"]), ["circuit"]))
     assert got == [("payment", 0, 4, at(2), at(62), at(3), at(4))]
 
 
+def test_services_have_breakers_of_their_own(spark):
+    """Failures of one service in a row, with successes of another between them."""
+    ev = [(i, "core" if i % 2 else "worker", "payment", at(i), bool(i % 2)) for i in range(8)]
+    df = spark.createDataFrame(ev, "id bigint, service string, circuit string, ts timestamp, bad boolean")
+    runs = metrics.failure_runs(df, F.col("bad"), limits={"payment": 3})
+    assert rows(runs.select("service", "circuit", "run", "failures", "opened_at")) == [("core", "payment", 0, 4, at(5))]
+    assert metrics.outages(runs).first()["service"] == "core"
+
+
+def test_stream_of_failures_refuses_older_events(spark):
+    folder = scratch_path(spark, "events")
+    frames = [spark.createDataFrame([(n, "payment", at(n), True)], EV) for n in (5, 3)]
+    land(folder, *frames)
+    stream = folder_stream(spark, folder, frames[0].schema, files_per_trigger=1)
+    with pytest.raises(Exception, match="before events of an earlier batch"):
+        batches.detect_failures(stream, scratch_path(spark, "runs"), F.col("bad"), ["circuit"])
+
+
 def test_stream_of_failures_continues_runs(spark):
     """A run cut by two batch ends, one batch of failures only, one circuit missing in a batch."""
     texts = ["SFFSFF", "FFF", "FSFFF"]
@@ -93,7 +111,7 @@ def test_stream_of_failures_continues_runs(spark):
         events += part
     land(folder, *frames)
     stream = folder_stream(spark, folder, frames[0].schema, files_per_trigger=1)
-    got = batches.detect_failures(stream, scratch_path(spark, "runs"), F.col("bad"))
+    got = batches.detect_failures(stream, scratch_path(spark, "runs"), F.col("bad"), ["circuit"])
     assert rows(got, "circuit", "run") == runs_by_hand(events, limits)
 
 

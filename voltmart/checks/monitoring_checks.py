@@ -218,19 +218,19 @@ def _case(values: dict[str, int]) -> str:
 
 _RUNS = f"""
 numbered AS (
-  SELECT *, sum(CASE WHEN status = 'success' THEN 1 ELSE 0 END) OVER (PARTITION BY circuit ORDER BY ts, id)
+  SELECT *, sum(CASE WHEN status = 'success' THEN 1 ELSE 0 END) OVER (PARTITION BY service, circuit ORDER BY ts, id)
             - CASE WHEN status = 'success' THEN 1 ELSE 0 END AS run FROM api_events
 ),
-placed AS (SELECT *, row_number() OVER (PARTITION BY circuit, run ORDER BY ts, id) AS pos FROM numbered),
+placed AS (SELECT *, row_number() OVER (PARTITION BY service, circuit, run ORDER BY ts, id) AS pos FROM numbered),
 runs AS (
-  SELECT circuit, CAST(run AS BIGINT) AS run, count(*) FILTER (WHERE status = 'error') AS failures,
+  SELECT service, circuit, CAST(run AS BIGINT) AS run, count(*) FILTER (WHERE status = 'error') AS failures,
          min(ts) FILTER (WHERE status = 'error') AS first_failure, max(ts) FILTER (WHERE status = 'error') AS last_failure,
          min(ts) FILTER (WHERE status = 'error' AND pos = {_case(FAIL_MAX)}) AS opened_at,
          min(ts) FILTER (WHERE status = 'success') AS closed_at
-  FROM placed GROUP BY circuit, run HAVING count(*) FILTER (WHERE status = 'error') > 0
+  FROM placed GROUP BY service, circuit, run HAVING count(*) FILTER (WHERE status = 'error') > 0
 )"""
 _OUTAGES = f"""{_RUNS},
-outages AS (SELECT circuit, run, failures, opened_at, opened_at + to_seconds({_case(RESET_TIMEOUT_SEC)}) AS half_open_at, last_failure, closed_at
+outages AS (SELECT service, circuit, run, failures, opened_at, opened_at + to_seconds({_case(RESET_TIMEOUT_SEC)}) AS half_open_at, last_failure, closed_at
             FROM runs WHERE opened_at IS NOT NULL)"""
 
 
@@ -495,10 +495,10 @@ R12 = tuned("CircuitBreakerOpen", step_s=15, hold_s=60)
     "r12_circuit_open",
     sql(
         f"WITH {_OUTAGES.strip()},\nnewest AS (SELECT max(greatest(half_open_at, last_failure, closed_at)) AS m FROM outages),\n"
-        "pts AS (SELECT circuit, half_open_at, unnest(generate_series("
+        "pts AS (SELECT service, circuit, half_open_at, unnest(generate_series("
         "make_timestamp(epoch_us(opened_at) + (15000000 - epoch_us(opened_at) % 15000000) % 15000000), "
         "coalesce(closed_at, m) - INTERVAL 1 MICROSECOND, INTERVAL 15 SECOND)) AS t FROM outages, newest)"
-        + rule_sql(R12, "SELECT circuit, t, CASE WHEN t < half_open_at THEN 1 ELSE 2 END AS value FROM pts"),
+        + rule_sql(R12, "SELECT service, circuit, t, CASE WHEN t < half_open_at THEN 1 ELSE 2 END AS value FROM pts"),
         "api_events",
     ),
 )

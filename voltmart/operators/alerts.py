@@ -49,7 +49,7 @@ RULES: dict[str, Rule] = {
         Rule("HighDebtAmount", "gauge", "debt_gauge", ("service",), ">", 1_000_000, 300),
         Rule("HighPaymentFailureRate", "ratio", "payment_attempts", (), ">", 0.2, 180,
              extra={"top": "NOT success", "bottom": "TRUE"}),
-        Rule("CircuitBreakerOpen", "state", "outages", ("circuit",), ">", 0, 60),
+        Rule("CircuitBreakerOpen", "state", "outages", ("service", "circuit"), ">", 0, 60),
         Rule("BillingWorkerStuck", "absence", "billing_cycles", (), "==", 0, 600, 600, severity="critical"),
         Rule("HighDatabaseConnections", "gauge", "connections", ("service",), ">", 50, 300),
         Rule("SlowDatabaseQueries", "quantile", "query_durations", ("service",), ">", 1, 300,

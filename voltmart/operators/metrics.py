@@ -130,6 +130,8 @@ def breaker_state_code(state: Column | str) -> Column:
 
 # ----- consecutive failures
 
+BREAKER = ["service", "circuit"]
+
 
 def limit_of(circuit: Column, limits: dict[str, int]) -> Column:
     """Per-circuit limit as a CASE; NULL for a circuit without one."""
@@ -142,29 +144,30 @@ def limit_of(circuit: Column, limits: dict[str, int]) -> Column:
 def failure_runs(
     events: DataFrame,
     failed: Column,
-    key: str = "circuit",
+    keys: list[str] = BREAKER,
     ts: str = "ts",
     id_: str = "id",
     limits: dict[str, int] | None = None,
     max_bucket_rows: int | None = None,
 ) -> DataFrame:
-    """Runs of consecutive failures per circuit; a success ends a run.
+    """Runs of consecutive failures per breaker; a success ends a run.
 
-    There are few circuits, so each holds a large part of all rows. Positions are counted
+    Each service has breakers of its own, so a breaker is a service and a circuit; the last of
+    ``keys`` is the circuit that limits go by. There are few breakers, so each holds a large part of all rows. Positions are counted
     inside time buckets; each bucket then receives the successes before it and the run that
     was open when it began. The final grouping combines before its shuffle.
 
-    Returns ``key, run, failures, first_failure, last_failure, opened_at, closed_at``;
+    Returns ``keys, run, failures, first_failure, last_failure, opened_at, closed_at``;
     ``opened_at`` is the failure that reached the limit, ``closed_at`` the ending success.
     """
-    groups = run_groups(events, failed, key, ts, id_, limits, max_bucket_rows)
+    groups = run_groups(events, failed, keys, ts, id_, limits, max_bucket_rows)
     return groups.filter(F.col("failures") > 0)
 
 
 def run_groups(
     events: DataFrame,
     failed: Column,
-    key: str = "circuit",
+    keys: list[str] = BREAKER,
     ts: str = "ts",
     id_: str = "id",
     limits: dict[str, int] | None = None,
@@ -173,16 +176,16 @@ def run_groups(
 ) -> DataFrame:
     """All groups of ``failure_runs``, also those without a failure.
 
-    Group n holds what follows the n-th success up to the next one. ``carried(key, ok_total,
+    Group n holds what follows the n-th success up to the next one. ``carried(keys, ok_total,
     open_failures)`` continues an earlier batch: it enters as one more bucket before the rest.
     """
     limits = FAIL_MAX if limits is None else limits
     good = F.when(failed, F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("_good")
-    rows = events.select(key, F.col(ts).alias("_ts"), F.col(id_).alias("_id"), good)
+    rows = events.select(*keys, F.col(ts).alias("_ts"), F.col(id_).alias("_id"), good)
     extra = {} if max_bucket_rows is None else {"max_rows": max_bucket_rows}
-    rows = with_buckets(rows, [key], "_ts", **extra)
+    rows = with_buckets(rows, keys, "_ts", **extra)
 
-    w = in_bucket([key], ["_ts", "_id"])
+    w = in_bucket(keys, ["_ts", "_id"])
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     is_good = F.col("_good") == 1
     local = (
@@ -193,19 +196,19 @@ def run_groups(
 
     # Per bucket: successes, and failures after the last one. Same keys as the window, so this
     # grouping needs no shuffle of its own.
-    summary = local.groupBy(key, BUCKET).agg(
+    summary = local.groupBy(*keys, BUCKET).agg(
         F.sum("_good").alias("_n_ok"),
         (F.count(F.lit(1)) - F.coalesce(F.max(F.when(is_good, F.col("_rn"))), F.lit(0))).alias("_tail"),
     )
     if carried is not None:
         earlier = carried.select(
-            key,
+            *keys,
             F.lit("0001-01-01").cast("timestamp").alias(BUCKET),
             F.col("ok_total").alias("_n_ok"),
             F.col("open_failures").alias("_tail"),
         )
         summary = summary.unionByName(earlier)
-    order = over_buckets([key])
+    order = over_buckets(keys)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     up_to = order.rowsBetween(Window.unboundedPreceding, 0)
     carry = summary.withColumns(
@@ -215,15 +218,15 @@ def run_groups(
         }
     )
     open_after = F.sum("_tail").over(
-        Window.partitionBy(key, "_segment").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*keys, "_segment").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, 0)
     )
     carry = (
         carry.withColumn("_open", open_after)
         .withColumn("_open_before", F.coalesce(F.lag("_open").over(order), F.lit(0)))
-        .select(key, BUCKET, "_ok_before", "_open_before")
+        .select(*keys, BUCKET, "_ok_before", "_open_before")
     )
 
-    placed = local.join(carry, [key, BUCKET], "left")
+    placed = local.join(carry, [*keys, BUCKET], "left")
     position = (
         F.col("_rn")
         - F.coalesce("_last_ok", F.lit(0))
@@ -231,11 +234,11 @@ def run_groups(
     )
     run = F.col("_ok_before") + F.col("_ok") - F.col("_good")
     bad_ts = F.when(~is_good, F.col("_ts"))
-    at_limit = ~is_good & (position == limit_of(F.col(key), limits))
+    at_limit = ~is_good & (position == limit_of(F.col(keys[-1]), limits))
     return (
         placed.withColumn("run", run)
         .withColumn("_opens", F.when(at_limit, F.col("_ts")))
-        .groupBy(key, "run")
+        .groupBy(*keys, "run")
         .agg(
             F.count_if(~is_good).alias("failures"),
             F.min(bad_ts).alias("first_failure"),
@@ -247,7 +250,7 @@ def run_groups(
 
 
 def outages(
-    runs: DataFrame, key: str = "circuit", timeouts: dict[str, int] | None = None
+    runs: DataFrame, keys: list[str] = BREAKER, timeouts: dict[str, int] | None = None
 ) -> DataFrame:
     """Outage episodes: open at the limit, half-open after the reset timeout.
 
@@ -255,11 +258,11 @@ def outages(
     """
     timeouts = RESET_TIMEOUT_SEC if timeouts is None else timeouts
     return runs.filter(F.col("opened_at").isNotNull()).select(
-        key,
+        *keys,
         "run",
         "failures",
         "opened_at",
-        add_seconds("opened_at", limit_of(F.col(key), timeouts)).alias("half_open_at"),
+        add_seconds("opened_at", limit_of(F.col(keys[-1]), timeouts)).alias("half_open_at"),
         "last_failure",
         "closed_at",
     )

@@ -13,33 +13,44 @@ from voltmart.operators import mart, metrics
 from voltmart.sources.extract import read_or_empty
 from voltmart.streaming.run import drain_batches
 
-CARRY = "circuit string, ok_total bigint, open_failures bigint"
 
 
-def detect_failures(events: DataFrame, target: str, failed: Column) -> DataFrame:
-    """Runs of consecutive failures per circuit over a stream.
+def detect_failures(
+    events: DataFrame, target: str, failed: Column, keys: list[str] = metrics.BREAKER
+) -> DataFrame:
+    """Runs of consecutive failures per breaker over a stream.
 
-    There are few circuits, so keyed state would put all events into a few tasks. Each
-    micro-batch runs the bucketed batch operator instead, and only one row per circuit (number
-    of successes, length of the open run) goes from batch to batch. Events must not arrive
-    before events of an earlier batch.
+    There are few breakers, so keyed state would put all events into a few tasks. Each
+    micro-batch runs the bucketed batch operator instead, and only one row per breaker (number
+    of successes, length of the open run, newest event) goes from batch to batch. An event that
+    comes before one of an earlier batch of its breaker stops the stream: its place in the runs is
+    already counted.
     """
     spark = events.sparkSession
-    schema = spark.createDataFrame([], CARRY).schema
+    names = ", ".join(f"`{k}` string" for k in keys)
+    schema = spark.createDataFrame(
+        [], f"{names}, ok_total bigint, open_failures bigint, newest struct<ts:timestamp,id:bigint>"
+    ).schema
+    place = F.struct(F.col("ts").alias("ts"), F.col("id").cast("bigint").alias("id"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         carried = read_or_empty(spark, f"{target}/carry/batch={batch_id - 1}", schema)
-        groups = metrics.run_groups(batch, failed, carried=carried).persist()
-        last = groups.groupBy("circuit").agg(F.max_by(F.struct("run", "failures", "closed_at"), "run").alias("g"))
+        span = batch.groupBy(*keys).agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
+        early = carried.join(span, keys).filter(F.col("_first") <= F.col("newest"))
+        if not early.isEmpty():
+            raise ValueError("events arrived before events of an earlier batch")
+        groups = metrics.run_groups(batch, failed, keys, carried=carried).persist()
+        last = groups.groupBy(*keys).agg(F.max_by(F.struct("run", "failures", "closed_at"), "run").alias("g"))
         ended = F.col("g.closed_at").isNotNull()
         # An open run that began in an earlier batch goes on in group ``ok_total``.
         onward = F.when(F.col("g.run") == F.col("ok_total"), F.col("open_failures")).otherwise(0)
         after = (
-            carried.join(last, "circuit", "full_outer")
+            carried.join(last, keys, "full_outer")
+            .join(span, keys, "left")
             .withColumn("ok_total", F.coalesce("ok_total", F.lit(0)))
             .withColumn("open_failures", F.coalesce("open_failures", F.lit(0)))
             .select(
-                "circuit",
+                *keys,
                 F.when(F.col("g").isNull(), F.col("ok_total"))
                 .otherwise(F.col("g.run") + ended.cast("bigint"))
                 .alias("ok_total"),
@@ -47,26 +58,27 @@ def detect_failures(events: DataFrame, target: str, failed: Column) -> DataFrame
                 .when(ended, 0)
                 .otherwise(F.col("g.failures") + onward)
                 .alias("open_failures"),
+                F.coalesce("_last", "newest").alias("newest"),
             )
         )
         # Groups without failures matter only where they close a run of an earlier batch.
-        closing = carried.filter("open_failures > 0").select("circuit", F.col("ok_total").alias("run"))
+        closing = carried.filter("open_failures > 0").select(*keys, F.col("ok_total").alias("run"))
         parts = groups.filter("failures > 0").unionByName(
-            groups.filter("failures = 0").join(closing, ["circuit", "run"], "left_semi")
+            groups.filter("failures = 0").join(closing, [*keys, "run"], "left_semi")
         )
         parts.write.mode("overwrite").parquet(f"{target}/parts/batch={batch_id}")
         after.write.mode("overwrite").parquet(f"{target}/carry/batch={batch_id}")
         groups.unpersist()
 
     drain_batches(events, target, handle)
-    return merged_runs(spark, target)
+    return merged_runs(spark, target, keys)
 
 
-def merged_runs(spark: SparkSession, target: str) -> DataFrame:
+def merged_runs(spark: SparkSession, target: str, keys: list[str] = metrics.BREAKER) -> DataFrame:
     """Runs over all batches; a run cut by batch ends is put together again."""
     return (
         spark.read.parquet(f"{target}/parts")
-        .groupBy("circuit", "run")
+        .groupBy(*keys, "run")
         .agg(
             F.sum("failures").alias("failures"),
             F.min("first_failure").alias("first_failure"),
