@@ -96,6 +96,22 @@ def rental_changes(rentals: DataFrame) -> DataFrame:
     )
 
 
+def rental_increments(rentals: DataFrame) -> DataFrame:
+    """One counter increment per start (ACTIVE) and one per end, by its status.
+
+    A rental that has ended was counted as ACTIVE before; FAILED rentals never started.
+    """
+    steps = F.array(
+        F.struct(F.col("started_at").alias("ts"), F.lit("ACTIVE").alias("status")),
+        F.struct(F.col("finished_at").alias("ts"), F.col("status").alias("status")),
+    )
+    return (
+        rentals.filter(F.col("status") != "FAILED")
+        .select(F.lit("rental-core").alias("service"), F.inline(steps))
+        .filter(F.col("ts").isNotNull())
+    )
+
+
 def active_rentals_gauge(rentals: DataFrame) -> DataFrame:
     """Number of active rentals over time (M5)."""
     return gauge(rental_changes(rentals), ["service"], "ts", F.col("change"))
