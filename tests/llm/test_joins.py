@@ -174,8 +174,9 @@ def test_vector_edges(spark):
     assert vj.near_vectors(df.limit(0)).count() == 0
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("one_task", [0, 1000])
+def test_components_of_chains_and_stars(spark, one_task):
     links = [(k, k + 1) for k in range(1, 120)] + [(500, k) for k in range(501, 560)] + [(7, 7), (None, 3), (3, None)]
     df = spark.createDataFrame(links, "a long, b long")
-    got = {r.node: r.root for r in components(df, "a", "b").collect()}
+    got = {r.node: r.root for r in components(df, "a", "b", one_task).collect()}
     assert got == {**{k: 1 for k in range(1, 121)}, **{k: 500 for k in range(500, 560)}}

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltmart.llm.components import components
+from voltmart.llm.components import components, smallest_reachable
 from voltmart.llm.hashing import WordHashes, window_hashes
 from voltmart.llm.text import whole
 from voltmart.session import cut_lineage
@@ -186,15 +186,7 @@ def _compare(threshold: float):
         np.add.at(counts, p, times[q])
         np.add.at(counts, q, times[p])
         names, place = np.unique(ids, return_inverse=True)
-        label = names.copy()
-        while len(p):
-            low = np.minimum(label[place[p]], label[place[q]])
-            new = label.copy()
-            np.minimum.at(new, place[p], low)
-            np.minimum.at(new, place[q], low)
-            if (new == label).all():
-                break
-            label = new
+        label = smallest_reachable(names, place[p], place[q])
         used = np.flatnonzero(counts)
         return pa.table({"rep": ids[used], "cls": table["cls"].take(pa.array(used)), "links": counts[used], "root": label[place[used]]})
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltmart.llm.components import components
+from voltmart.llm.components import components, smallest_reachable
 from voltmart.session import cut_lineage
 
 BLOCK = 4096  # vectors on each side of a task's comparison
@@ -70,19 +70,6 @@ def _pivots(vectors: DataFrame, kind: str, wanted: int) -> np.ndarray:
     return x[chosen]
 
 
-def _forest(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest id each of ``ids`` reaches over the links (a[k], b[k]), given as positions."""
-    label = ids.copy()
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        if (new == label).all():
-            return label
-        label = new
-
-
 def _compare(threshold: float, kind: str):
     def run(table: pa.Table) -> pa.Table:
         home = table["home"].to_numpy()
@@ -109,7 +96,7 @@ def _compare(threshold: float, kind: str):
         b = np.concatenate(right) if right else np.zeros(0, int)
         # A vector can stand on both sides of a block; one position stands for it.
         names, place = np.unique(ids, return_inverse=True)
-        root = _forest(names, place[a], place[b])
+        root = smallest_reachable(names, place[a], place[b])
         used = np.unique(np.concatenate([place[a], place[b]]))
         used = used[root[used] != names[used]]
         n = len(mine)
