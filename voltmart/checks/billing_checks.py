@@ -338,31 +338,25 @@ def g18(v):
     )
 
 
-# Deltas for the ledger operators: failed payment lines, several per rental.
-_DELTAS = "deltas AS (SELECT rental_id, amount, created_at AS ts FROM payment_attempts WHERE NOT success)"
-_BASE_DEBTS = "old AS (SELECT * FROM debts WHERE last_attempt_at IS NOT NULL)"
+# Deltas for the ledger operators: all payment lines, several per rental. Rentals that only paid
+# have no debt yet.
+_DELTAS = "deltas AS (SELECT rental_id, amount, created_at AS ts FROM payment_attempts)"
 
 
 def _deltas(v):
-    return v.payment_attempts().filter(~F.col("success")).select(
-        "rental_id", "amount", F.col("created_at").alias("now")
-    )
-
-
-def _old_debts(v):
-    return v.debts().filter(F.col("last_attempt_at").isNotNull())
+    return v.payment_attempts().select("rental_id", "amount", F.col("created_at").alias("now"))
 
 
 def _upsert_sql(stamp: str) -> str:
     return sql(
         f"""
-        WITH {_DELTAS}, {_BASE_DEBTS},
+        WITH {_DELTAS},
         a AS (SELECT rental_id, sum(amount) AS amount, {stamp} AS at FROM deltas GROUP BY 1)
         SELECT coalesce(o.rental_id, a.rental_id) AS rental_id,
                CAST(coalesce(o.amount_total, 0) + coalesce(a.amount, 0) AS INTEGER) AS amount_total,
                coalesce(a.at, o.updated_at) AS updated_at, CAST(coalesce(o.attempts, 0) AS INTEGER) AS attempts,
                o.last_attempt_at
-        FROM old o FULL JOIN a ON a.rental_id = o.rental_id""",
+        FROM debts o FULL JOIN a ON a.rental_id = o.rental_id""",
         "payment_attempts",
         "debts",
     )
@@ -370,12 +364,12 @@ def _upsert_sql(stamp: str) -> str:
 
 @query("g19_add_debt", _upsert_sql(f"TIMESTAMP '{AS_OF}'"))
 def g19(v):
-    return ledger.add_debt(_old_debts(v), _deltas(v).drop("now"), now())
+    return ledger.add_debt(v.debts(), _deltas(v).drop("now"), now())
 
 
 @query("g20_attach_debt", _upsert_sql("max(ts)"))
 def g20(v):
-    return ledger.attach_debt(_old_debts(v), _deltas(v))
+    return ledger.attach_debt(v.debts(), _deltas(v))
 
 
 @query(
