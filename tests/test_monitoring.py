@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import random
 
 import numpy as np
@@ -236,3 +237,34 @@ def test_rule_table_with_reference_values(spark):
             "CircuitBreakerOpen", "LowRentalConversionRate"} <= firing
     assert not firing & {"HighDatabaseConnections", "HighErrorRate", "SlowDatabaseQueries"}
     assert set(alerts.RULES) >= firing and len(alerts.RULES) == 13
+
+
+def test_outlier_times_do_not_stretch_the_grid(spark):
+    """A sample in the year 9999: alerts keep one row per change, and the dense series is cut in pieces."""
+    ev = spark.createDataFrame(
+        [(1, "core", at(0), 80.0), (2, "core", at(60), 10.0), (3, "core", dt.datetime(9999, 1, 1), 90.0)],
+        "id bigint, service string, ts timestamp, value double",
+    ).withColumn("tie", F.col("id"))
+    got = rows(alerts.alert(alerts.RULES["HighDatabaseConnections"], ev), "pending_since")
+    assert [(r[2], r[3]) for r in got] == [(at(15), at(60)), (dt.datetime(9999, 1, 1, 0, 0, 15),) * 2]
+    down = alerts.alert(alerts.RULES["ServiceDown"], ev).collect()
+    assert len(down) == 2 and max(r["points"] for r in down) > 10**10
+    wide = rates.increase(ev, ["service"], "ts", 86_400 * 30, 86_400 * 30)
+    assert wide.count() > 90_000
+
+
+def test_stretches_equal_the_dense_series(spark):
+    rng = random.Random(11)
+    ev = [(i, rng.choice("ab"), at(rng.choice([0, 3, 900, 4000, 20000]) + rng.randrange(600))) for i in range(60)]
+    df = spark.createDataFrame(ev, "id bigint, service string, ts timestamp").withColumns(
+        {"tie": F.col("id"), "value": (F.col("id") % 5).cast("double")}
+    )
+    for window in (60, 300):
+        dense = rates.increase(df, ["service"], "ts", window, 60).filter("increase = 0")
+        got = rates.silent_stretches(df, ["service"], "ts", window, 60)
+        points = got.select("service", F.explode(F.expr("sequence(first, last, interval 60 second)")).alias("t"))
+        assert rows(points) == rows(dense.select("service", "t"))
+    dense = rates.gauge_at_grid(df, ["service"], "ts", "tie", "value", 60)
+    got = rates.gauge_stretches(df, ["service"], "ts", "tie", "value", 60)
+    points = got.select("service", F.explode(F.expr("sequence(first, last, interval 60 second)")).alias("t"), "value")
+    assert rows(points) == rows(dense.select("service", "t", "value"))

@@ -428,7 +428,7 @@ def r6(v):
     """Hours with any error per service, held for two hours."""
     errors = v.api_events().filter("status = 'error'")
     points = alerts.series(R6_RULE, errors).filter(alerts.breached(R6_RULE))
-    return alerts.hold(points, R6_RULE.step_s, R6_RULE.hold_s)
+    return alerts.hold_stretches(points, R6_RULE.step_s, R6_RULE.hold_s)
 
 
 R7 = tuned("HighErrorRate", threshold=0.0006, window_s=HOUR, step_s=HOUR // 2, hold_s=HOUR)

@@ -64,50 +64,60 @@ RULES: dict[str, Rule] = {
 }
 
 
+def _points(df: DataFrame) -> DataFrame:
+    """Single grid times as stretches."""
+    return df.withColumns({"first": F.col("t"), "last": F.col("t")})
+
+
 def _rate(events: DataFrame, rule: Rule) -> DataFrame:
     out = rates.rate(events, list(rule.labels), "ts", rule.window_s, rule.step_s)
-    return out.withColumn("value", F.col("per_second"))
+    return _points(out.withColumn("value", F.col("per_second")))
 
 
 def _quantile(events: DataFrame, rule: Rule) -> DataFrame:
-    return rates.quantile(
-        events, list(rule.labels), "ts", rule.extra["value"], rule.extra["bounds"], rule.window_s, rule.step_s
+    return _points(
+        rates.quantile(
+            events, list(rule.labels), "ts", rule.extra["value"], rule.extra["bounds"], rule.window_s, rule.step_s
+        )
     )
 
 
 def _ratio(events: DataFrame, rule: Rule) -> DataFrame:
     top, bottom = F.expr(rule.extra["top"]), F.expr(rule.extra["bottom"])
-    return rates.ratio(events, list(rule.labels), "ts", top, bottom, rule.window_s, rule.step_s)
+    return _points(rates.ratio(events, list(rule.labels), "ts", top, bottom, rule.window_s, rule.step_s))
 
 
 def _gauge(samples: DataFrame, rule: Rule) -> DataFrame:
-    return rates.gauge_at_grid(samples, list(rule.labels), "ts", "tie", "value", rule.step_s)
+    return rates.gauge_stretches(samples, list(rule.labels), "ts", "tie", "value", rule.step_s)
 
 
 def _absence(events: DataFrame, rule: Rule) -> DataFrame:
-    out = rates.increase(events, list(rule.labels), "ts", rule.window_s, rule.step_s)
-    return out.withColumn("value", F.col("increase"))
+    """Stretches without events; times with events have no row."""
+    return rates.silent_stretches(events, list(rule.labels), "ts", rule.window_s, rule.step_s)
 
 
 def _up(events: DataFrame, rule: Rule) -> DataFrame:
-    """1 when the label set sent anything in the last step, else 0."""
-    out = rates.increase(events, list(rule.labels), "ts", rule.step_s, rule.step_s)
-    return out.withColumn("value", (F.col("increase") > 0).cast("int"))
+    """0 where the label set sent nothing in the last step; other times have no row."""
+    return rates.silent_stretches(events, list(rule.labels), "ts", rule.step_s, rule.step_s)
 
 
 def _state(outages: DataFrame, rule: Rule) -> DataFrame:
-    """Breaker state at grid times inside an outage: 1 open, 2 half-open.
+    """Breaker state inside an outage: 1 open, 2 half-open.
 
     An outage that has not ended lasts until the newest time in the table, its last failure
     included.
     """
     newest = outages.agg(F.max(F.greatest("half_open_at", "last_failure", "closed_at"))).scalar()
-    points = rates.grid_points_between(F.col("opened_at"), F.coalesce(F.col("closed_at"), newest), rule.step_s)
-    return (
-        outages.withColumn("_m", F.explode(points))
-        .withColumn("t", F.timestamp_micros("_m"))
-        .withColumn("value", F.when(F.col("t") < F.col("half_open_at"), 1).otherwise(2))
+    end = F.coalesce(F.col("closed_at"), newest)
+    half = F.least(F.coalesce("half_open_at", end), end)
+    opened, halved = rates.grid_ends(F.col("opened_at"), half, rule.step_s), rates.grid_ends(half, end, rule.step_s)
+    states = F.array(
+        *[
+            F.struct(first.alias("first"), last.alias("last"), F.lit(code).alias("value"))
+            for (first, last), code in ((opened, 1), (halved, 2))
+        ]
     )
+    return outages.select(*rule.labels, F.inline(states)).filter("first <= last")
 
 
 SERIES: dict[str, Callable[[DataFrame, Rule], DataFrame]] = {
@@ -122,10 +132,13 @@ SERIES: dict[str, Callable[[DataFrame, Rule], DataFrame]] = {
 
 
 def series(rule: Rule, source: DataFrame) -> DataFrame:
-    """``(rule, series, t, value)`` of a rule; the label values are joined into one name."""
+    """``(rule, series, first, last, value)``: stretches of grid times with one value.
+
+    The label values are joined into one name.
+    """
     name = F.concat_ws("/", *[F.col(c) for c in rule.labels]) if rule.labels else F.lit("all")
     return SERIES[rule.kind](source, rule).select(
-        F.lit(rule.name).alias("rule"), name.alias("series"), "t", F.col("value").cast("double").alias("value")
+        F.lit(rule.name).alias("rule"), name.alias("series"), "first", "last", F.col("value").cast("double").alias("value")
     )
 
 
@@ -135,23 +148,29 @@ def breached(rule: Rule) -> Column:
 
 
 def hold(points: DataFrame, step_s: int, hold_s: int) -> DataFrame:
-    """Episodes of breaching grid points ``(rule, series, t, value)``.
+    """Episodes of breaching grid points ``(rule, series, t, value)``."""
+    return hold_stretches(_points(points).drop("t"), step_s, hold_s)
+
+
+def hold_stretches(stretches: DataFrame, step_s: int, hold_s: int) -> DataFrame:
+    """Episodes of breaching stretches ``(rule, series, first, last, value)``.
 
-    Consecutive grid times form an episode. It fires at the first grid time at least
-    ``hold_s`` after its start, if it lasts that long. Only breaching points come in: a
-    missing point breaks an episode just as a good one does, so no dense grid is needed. A
-    series has at most one row per grid time, which bounds what a task orders.
+    Stretches that follow each other without a missing grid time form an episode. It fires at the
+    first grid time at least ``hold_s`` after its start, if it lasts that long. A task orders the
+    stretches of a series: at most one per change of its value, however long they last.
     """
-    number = F.call_function("div", F.unix_micros("t"), F.lit(step_s * MICROS))
-    w = Window.partitionBy("rule", "series").orderBy("t")
+    w = Window.partitionBy("rule", "series").orderBy("first")
     wait = -(-hold_s // step_s) * step_s
+    width = F.lit(step_s * MICROS)
+    span = F.unix_micros("last") - F.unix_micros("first")
     episodes = (
-        points.withColumn("_island", number - F.row_number().over(w))
+        stretches.withColumn("_gap", F.unix_micros("first") - F.unix_micros(F.lag("last").over(w)) > width)
+        .withColumn("_island", F.sum(F.coalesce(F.col("_gap"), F.lit(True)).cast("int")).over(w))
         .groupBy("rule", "series", "_island")
         .agg(
-            F.min("t").alias("pending_since"),
-            F.max("t").alias("last_at"),
-            F.count(F.lit(1)).alias("points"),
+            F.min("first").alias("pending_since"),
+            F.max("last").alias("last_at"),
+            F.sum(F.call_function("div", span, width) + 1).alias("points"),
             F.max("value").alias("highest"),
         )
     )
@@ -161,7 +180,7 @@ def hold(points: DataFrame, step_s: int, hold_s: int) -> DataFrame:
 
 def alert(rule: Rule, source: DataFrame) -> DataFrame:
     """All episodes of one rule; ``firing_since`` is NULL for those that stayed pending."""
-    return hold(series(rule, source).filter(breached(rule)), rule.step_s, rule.hold_s)
+    return hold_stretches(series(rule, source).filter(breached(rule)), rule.step_s, rule.hold_s)
 
 
 def evaluate(rules: list[Rule], sources: dict[str, DataFrame]) -> DataFrame:

@@ -49,9 +49,13 @@ def grid(per_pane: DataFrame, labels: list[str], step_s: int, start=None, end=No
     """
     lo = F.lit(start).cast("timestamp") if start else per_pane.agg(F.min("pane")).scalar()
     hi = F.lit(end).cast("timestamp") if end else per_pane.agg(F.max("pane")).scalar()
-    step = F.expr(f"INTERVAL {step_s} SECOND")
+    # In pieces of a day or a step, so that no row holds a long sequence.
+    length = step_s * max(1, 86_400 // step_s)
+    step, piece = F.expr(f"INTERVAL {step_s} SECOND"), F.expr(f"INTERVAL {length} SECOND")
     sets = per_pane.select(*labels).distinct() if labels else per_pane.agg(F.count(F.lit(1)).alias("_n")).drop("_n")
-    return sets.select(*labels, F.explode(F.sequence(lo, hi, step)).alias("_p")).select(
+    pieces = sets.select(*labels, hi.alias("_hi"), F.explode(F.sequence(lo, hi, piece)).alias("_d"))
+    end_of_piece = F.least("_hi", add_seconds("_d", length - step_s))
+    return pieces.select(*labels, F.explode(F.sequence("_d", end_of_piece, step)).alias("_p")).select(
         *labels, add_seconds("_p", step_s).alias("t")
     )
 
@@ -201,9 +205,54 @@ def counter_increase(
     return slide(counted, series, ["increase"], window_s, step_s)
 
 
-def grid_points_between(start: Column, end: Column, step_s: int) -> Column:
-    """Grid times in ``[start, end)`` as an array, empty when there is none."""
+# ----- stretches: runs of grid times with one value, given by their first and last time
+
+
+def gauge_stretches(
+    samples: DataFrame, labels: list[str], ts: str, tie: str, value: str, step_s: int
+) -> DataFrame:
+    """The gauge of ``gauge_at_grid`` as ``labels, first, last, value``: one row per step with samples.
+
+    A sample shows from the end of its step until the next one does; the last one shows until the
+    newest step of all label sets.
+    """
+    newest = F.max_by(value, F.struct(ts, tie)).alias("value")
+    held = panes(samples, labels, ts, step_s, [newest])
+    end = add_seconds(held.agg(F.max("pane")).scalar(), step_s)
+    following = F.lead("pane").over(Window.partitionBy(*labels).orderBy("pane"))
+    return held.select(
+        *labels, add_seconds("pane", step_s).alias("first"), F.coalesce(following, end).alias("last"), "value"
+    )
+
+
+def silent_stretches(events: DataFrame, labels: list[str], ts: str, window_s: int, step_s: int) -> DataFrame:
+    """Where ``increase`` is 0, as ``labels, first, last, value``: one row per gap between events.
+
+    A step that begins at p counts for the grid times p + step to p + window. Gaps run between
+    such spans, from the first to the newest step of all label sets.
+    """
+    seen = panes(events, labels, ts, step_s, [F.count(F.lit(1)).alias("_n")])
+    low, high = seen.agg(F.min("pane")).scalar(), seen.agg(F.max("pane")).scalar()
+    order = Window.partitionBy(*labels).orderBy("pane")
+    gaps = seen.select(
+        *labels,
+        "pane",
+        F.lag("pane").over(order).alias("_before"),
+        F.lead("pane").over(order).alias("_after"),
+    )
+    over = add_seconds("pane", window_s + step_s)
+    spans = F.array(
+        F.struct(over.alias("first"), F.coalesce(F.col("_after"), add_seconds(high, step_s)).alias("last")),
+        F.struct(
+            F.when(F.col("_before").isNull(), add_seconds(low, step_s)).alias("first"), F.col("pane").alias("last")
+        ),
+    )
+    return gaps.select(*labels, F.inline(spans)).filter("first <= last").withColumn("value", F.lit(0))
+
+
+def grid_ends(start: Column, end: Column, step_s: int) -> tuple[Column, Column]:
+    """First and last grid time in ``[start, end)``; the first is later than the last if there is none."""
     width = F.lit(step_s * MICROS)
     first = F.unix_micros(start) + F.pmod(-F.unix_micros(start), width)
     last = F.unix_micros(end) - 1 - F.pmod(F.unix_micros(end) - 1, width)
-    return F.when(first <= last, F.sequence(first, last, width)).otherwise(F.array().cast("array<bigint>"))
+    return F.timestamp_micros(first), F.timestamp_micros(last)
