@@ -40,7 +40,8 @@ from voltmart.session import cut_lineage
 
 ORDER = 3
 HEAD = 8_000_000  # words in the head, at most
-KEPT = 24_000_000  # n-grams of one level, at most
+KEPT = 8_000_000  # n-grams of one level, at most
+CHUNK = 250_000  # n-grams whose probabilities are worked out together
 DISCOUNT = 0.75
 FLUSH = 4_000_000  # tokens counted together in a task
 SHARD_TOKENS = 4_000_000
@@ -145,14 +146,22 @@ class Trie:
                 context[1:] = gram[:-1]
                 context[first] = -1
 
+    def _mixed(self, level: int, context: np.ndarray, gram: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Probabilities at a level from those of the shorter contexts."""
+        _, _, codes, books = self.levels[level]
+        ok, kept = np.flatnonzero(context >= 0), np.flatnonzero(gram >= 0)
+        p[ok] *= books["rest"][codes["rest"][context[ok]]]
+        p[kept] = books["p"][codes["p"][gram[kept]]]
+        return p
+
+    def smoothed(self, level: int, context: np.ndarray, word: np.ndarray, p: np.ndarray) -> np.ndarray:
+        return self._mixed(level, context, self.step(level, context, word), p)
+
     def log10(self, doc: np.ndarray, ids: np.ndarray, unit: float) -> np.ndarray:
         """log10 of each token's probability; tokens of the other class get the class's."""
         p = np.append((self.counts + 1) * unit, self.head["other_mass"] * unit)[ids]
-        for (_, _, codes, books), (context, gram) in zip(self.levels, self.walk(doc, ids, len(self.levels))):
-            ok = np.flatnonzero(context >= 0)
-            p[ok] *= books["rest"][codes["rest"][context[ok]]]
-            kept = np.flatnonzero(gram >= 0)
-            p[kept] = books["p"][codes["p"][gram[kept]]]
+        for level, (context, gram) in enumerate(self.walk(doc, ids, len(self.levels))):
+            p = self._mixed(level, context, gram, p)
         return np.log10(p)
 
 
@@ -291,42 +300,51 @@ def build(training: DataFrame, words: DataFrame, n: int, v: int, order: int = OR
     width = len(c) + 2
     shards = max(12, -(-n // SHARD_TOKENS))
     keep = max(2, -(-n // KEPT))
+    before = np.zeros(0, np.int64)
     for level in range(order - 1):
         shared = out.share(training.sparkSession)
-        parts = _gram_counts(training, shared, level, shards, keep).toArrow()
-        keys = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(k.as_py(), np.int64) for k in parts["keys"]]])
-        counts = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(k.as_py(), np.int64) for k in parts["counts"]]])
+        keys, counts = _collected(_gram_counts(training, shared, level, shards, keep))
         shared.unpersist()
-        at = np.argsort(keys)
-        keys, counts = keys[at], counts[at]
-        owner, word = keys // width, keys % width
-        held = np.maximum(counts - DISCOUNT, 0) / context[owner]
-        rest = 1 - np.bincount(owner, held, len(context))
+        rest = np.ones(len(context))
+        for at in range(0, len(keys), CHUNK):
+            owner = keys[at : at + CHUNK] // width
+            np.subtract.at(rest, owner, np.maximum(counts[at : at + CHUNK] - DISCOUNT, 0) / context[owner])
         rest_codes, rest_book = quantise(np.clip(rest, 1e-12, 1.0))
-        # The next shorter context's probability of the same word, from the levels built so far.
-        trie = out.local()
-        below = lower[word]
-        if level:
-            previous = trie.levels[level - 1]
-            grams = previous[1].get(np.arange(previous[1].n)).astype(np.int64)
-            last = grams[owner] % width
-            gram = trie.step(0, last, word)
-            p = below * previous[3]["rest"][previous[2]["rest"][last]]
-            kept = gram >= 0
-            p[kept] = previous[3]["p"][previous[2]["p"][gram[kept]]]
-            below = p
-        codes, book = quantise(held + np.array(rest_book)[rest_codes[owner]] * below)
+        weight, trie = np.array(rest_book), out.local()
+        p = np.empty(len(keys), np.float32)
+        for at in range(0, len(keys), CHUNK):
+            part = slice(at, at + CHUNK)
+            owner, word = keys[part] // width, keys[part] % width
+            below = lower[word]
+            if level:
+                # The same word after the shorter context, by the level built before.
+                below = trie.smoothed(0, before[owner] % width, word, below)
+            p[part] = np.maximum(counts[part] - DISCOUNT, 0) / context[owner] + weight[rest_codes[owner]] * below
+        codes, book = quantise(p)
+        # Contexts without continuations have empty ranges.
+        pointers = np.searchsorted(keys, np.arange(len(context) + 1) * width)
         out.head["levels"].append(
             {
-                "pointers": out.sequence(np.searchsorted(owner, np.arange(len(context) + 1))),
-                "follow": out.sequence(keys),
+                "pointers": out.sequence(pointers), "follow": out.sequence(keys),
                 "p": out.add(codes), "p_book": book, "rest": out.add(rest_codes), "rest_book": rest_book,
             }
         )
-        context = counts.astype(np.float64)
+        context, before = counts.astype(np.float32), keys
     return out
 
 
+def _collected(parts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """All kept n-grams of a level, sorted by key; at most KEPT."""
+    keys, counts = [], []
+    table = parts.toArrow()
+    for k, c in zip(table["keys"], table["counts"]):
+        keys.append(np.frombuffer(k.as_buffer(), np.int64))
+        counts.append(np.frombuffer(c.as_buffer(), np.int64).astype(np.uint32))
+    keys, counts = np.concatenate([np.zeros(0, np.int64), *keys]), np.concatenate([np.zeros(0, np.uint32), *counts])
+    at = np.argsort(keys)
+    return keys[at], counts[at].astype(np.int64)
+
+
 def language_model(
     docs: DataFrame, folds: int = 7, held: int = 2, order: int = ORDER, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
