@@ -54,20 +54,23 @@ ev AS (SELECT created_at AS ts, 'quote' AS kind, 0 AS amount FROM quotes
                count(*) FILTER (WHERE kind IN ('paid', 'unpaid')) AS payments_attempts_cnt,
                count(*) FILTER (WHERE kind = 'paid') AS payments_success_cnt,
                CAST(sum(CASE WHEN kind = 'paid' THEN amount ELSE 0 END) AS BIGINT) AS revenue_amount
-        FROM ev GROUP BY ts::DATE
-        HAVING ts::DATE + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM ev)""",
+        FROM ev GROUP BY ts::DATE""",
         "quotes",
         "rentals_base",
         "payment_attempts",
     ),
 )
 def s1(v):
-    """Days closed by the watermark; the last day stays open."""
-    s = live(v)
-    events = windows.quote_events(s.quotes()).unionByName(windows.rental_events(s.rentals_base())).unionByName(
-        windows.payment_events(landed(v, v.payment_attempts()))
+    """Days closed by the watermark, and the open ones once the source is drained."""
+
+    def events(s: TestViews, payments: DataFrame) -> DataFrame:
+        parts = windows.quote_events(s.quotes()).unionByName(windows.rental_events(s.rentals_base()))
+        return parts.unionByName(windows.payment_events(payments))
+
+    closed = drain(
+        windows.daily_counts(events(live(v), landed(v, v.payment_attempts()))), scratch_path(v.spark, "s1")
     )
-    return drain(windows.daily_counts(events), scratch_path(v.spark, "s1"))
+    return windows.with_open_windows(closed, events(v, v.payment_attempts()), windows.daily_counts, "day", 86_400)
 
 
 @query(
@@ -75,13 +78,18 @@ def s1(v):
     sql(
         f"SELECT service, status, t, increase, increase / {3 * HOUR} AS per_second FROM ("
         + slide_sql("api_events", ["service", "status"], {"increase": "count(*)"}, 3 * HOUR, HOUR)
-        + ") WHERE t <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM api_events)",
+        + ")",
         "api_events",
     ),
 )
 def s2(v):
-    rate = windows.sliding_rate(live(v).api_events(), ["service", "status"], 3 * HOUR, HOUR)
-    return drain(rate, scratch_path(v.spark, "s2"))
+    """Ranges closed by the watermark, and the open ones once the source is drained."""
+
+    def rate(events: DataFrame) -> DataFrame:
+        return windows.sliding_rate(events, ["service", "status"], 3 * HOUR, HOUR)
+
+    closed = drain(rate(live(v).api_events()), scratch_path(v.spark, "s2"))
+    return windows.with_open_windows(closed, v.api_events(), rate, "t", 3 * HOUR)
 
 
 @query(

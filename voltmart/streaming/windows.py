@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,6 +73,23 @@ def sliding_rate(
     )
 
 
+def with_open_windows(
+    closed: DataFrame, events: DataFrame, build: Callable[[DataFrame], DataFrame], end: str, span_s: int
+) -> DataFrame:
+    """Windows a drained stream has emitted, and those its watermark left open.
+
+    ``closed`` is the stream's table, ``events`` the same source read as a table, ``build`` the
+    streamed expression; ``end`` orders the windows and ``span_s`` is their length. Everything up
+    to the newest emitted window is closed, so only later windows are built, from the last
+    ``span_s`` seconds before it on; the filter reaches the scan.
+    """
+    last = closed.agg(F.max(end)).first()[0]
+    if last is None:
+        return build(events)
+    recent = events.filter(F.col("ts") >= F.lit(last).cast("timestamp") - F.expr(f"INTERVAL {span_s} SECONDS"))
+    return closed.unionByName(build(recent).filter(F.col(end) > F.lit(last)))
+
+
 def first_per_key(requests: DataFrame, key: str, salt_on: str, salts: int = 16, lateness: str = LATENESS) -> DataFrame:
     """One request per key within the lateness (S3).
 
