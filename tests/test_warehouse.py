@@ -302,6 +302,23 @@ def test_backfill_builds_from_its_own_raw(spark):
     assert LayerStore(spark, root).read("core", "rentals").count() == 2
 
 
+def test_incremental_run_reads_from_its_bookmarks(spark):
+    root = scratch_path(spark, "increment")
+    src = few(spark, 4)
+    src["billing"]["debts"] = debts(spark, ("a", 1, at(0), 0, None), ("b", 2, at(5), 0, None))
+    warehouse.run_warehouse(spark, src, root, "run-1", NOW, incremental=True)
+    # A row before the bookmark, which must not be read; one at it, one changed, one new.
+    src["billing"]["debts"] = debts(
+        spark, ("a", 99, at(0), 0, None), ("c", 3, at(5), 0, None), ("b", 7, at(6), 1, None), ("d", 4, at(9), 0, None)
+    )
+    warehouse.run_warehouse(spark, src, root, "run-2", "2025-12-19 00:00:00", incremental=True)
+    got = LayerStore(spark, root).read("core", "debts").select("rental_id", "amount_total")
+    assert rows(got) == [("a", 1), ("b", 7), ("c", 3), ("d", 4)]
+    marks = {r["entity"]: r["watermark_value"] for r in LayerStore(spark, root).read("meta", "etl_watermark").collect()}
+    assert marks["raw_billing.debts"] == "2025-01-01 12:00:09.000000"
+    assert LayerStore(spark, root).read("core", "payment_attempts").count() == 41
+
+
 def test_run_with_export_twice(spark):
     root = scratch_path(spark, "twice")
     for n in (4, 2):
@@ -341,7 +358,7 @@ def test_merge_latest(spark):
     out = meta.merge_latest(old, new, "rental_id", "updated_at")
     assert rows(out, "rental_id") == [("a", 5, at(3), 1, None), ("b", 2, at(0), 0, None), ("c", 7, at(1), 0, at(1))]
     assert rows(meta.merge_latest(out, new, "rental_id", "updated_at"), "rental_id") == rows(out, "rental_id")
-    assert meta.rows_since(new, "updated_at", "2025-01-01 12:00:01").count() == 2
+    assert meta.rows_since(new, "updated_at", "2025-01-01 12:00:02").count() == 2
     assert meta.rows_since(new, "updated_at", None).count() == 3
 
 

@@ -30,8 +30,12 @@ def watermark_row(df: DataFrame, entity: str, ts: str, now: str) -> DataFrame:
 
 
 def rows_since(df: DataFrame, ts: str, watermark: str | None) -> DataFrame:
-    """Rows newer than the bookmark; everything when there is none. Pushed to the scan."""
-    return df if watermark is None else df.filter(F.col(ts) > as_ts(watermark))
+    """Rows at or after the bookmark; everything when there is none. Pushed to the scan.
+
+    Rows of the bookmark's own time are read again, as more of them may have come since; merging
+    them changes nothing.
+    """
+    return df if watermark is None else df.filter(F.col(ts) >= as_ts(watermark))
 
 
 def merge_latest(target: DataFrame, changes: DataFrame, key: str, ts: str) -> DataFrame:
