@@ -32,8 +32,8 @@ def _select(words: np.ndarray, before: np.ndarray, k: np.ndarray, flip: bool) ->
     left = (k - before[w]).astype(np.int64)
     bits = ~words[w] if flip else words[w]
     cell = np.ascontiguousarray(bits).view(np.uint8).reshape(-1, 8)
-    counts = np.cumsum(_BYTE_COUNT[cell], axis=1, dtype=np.int64)
-    byte = (counts <= left[:, None]).sum(1)
+    counts = np.cumsum(_BYTE_COUNT[cell], axis=1, dtype=np.uint8)
+    byte = np.count_nonzero(counts <= left.astype(np.uint8)[:, None], axis=1)
     rows = np.arange(len(k))
     left -= np.where(byte > 0, counts[rows, byte - 1], 0)
     return w * 64 + byte * 8 + _BYTE_SELECT[cell[rows, byte], left]

@@ -26,6 +26,7 @@ import os
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -85,14 +86,17 @@ class _Ids(dict):
         self.level, self.other = level, other
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        fresh = list({w for w in words if w not in self})
-        if fresh:
-            if len(self) + len(fresh) > 1_000_000:
+        ids = np.fromiter(map(self.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(ids < 0).tolist()
+        if unknown:
+            fresh = list({words[i] for i in unknown})
+            found = self.level.find(np.fromiter(map(xxhash.xxh64_intdigest, fresh, repeat(42)), np.uint64, len(fresh)))
+            new = dict(zip(fresh, np.where(found >= 0, found, self.other).tolist()))
+            ids[unknown] = [new[words[i]] for i in unknown]
+            if len(self) + len(new) > 1_000_000:
                 self.clear()
-                fresh = list(set(words))
-            found = self.level.find(np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in fresh), np.uint64, len(fresh)))
-            self.update(zip(fresh, np.where(found >= 0, found, self.other).tolist()))
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+            self.update(new)
+        return ids
 
 
 class Trie:
@@ -121,11 +125,18 @@ class Trie:
         """
         out = np.full(len(word), -1, np.int64)
         pointers, follow, _, _ = self.levels[level]
-        asked, place = np.unique(context[context >= 0], return_inverse=True)
-        begin, end = pointers.get(asked).astype(np.int64), pointers.get(asked + 1).astype(np.int64)
-        some = np.flatnonzero(context >= 0)[(end > begin)[place]]
-        place = place[(end > begin)[place]]
-        out[some] = follow.find(context[some] * self.width + word[some], begin[place], end[place])
+        some = np.flatnonzero(context >= 0)
+        # Each different question once, in order.
+        key, back = np.unique(context[some] * self.width + word[some], return_inverse=True)
+        owner = key // self.width
+        first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(key) else np.zeros(0, np.int64)
+        size = np.diff(np.append(first, len(key)))
+        begin, end = (pointers.get(owner[first] + k).astype(np.int64) for k in (0, 1))
+        begin, end = np.repeat(begin, size), np.repeat(end, size)
+        asked = np.flatnonzero(end > begin)
+        found = np.full(len(key), -1, np.int64)
+        found[asked] = follow.find(key[asked], begin[asked], end[asked])
+        out[some] = found[back]
         return out
 
     def walk(self, doc: np.ndarray, ids: np.ndarray, depth: int):
