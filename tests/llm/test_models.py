@@ -152,6 +152,8 @@ def test_lexicon_stems_and_quotes():
     quoted, _ = toxicity.features('he said "idiot" to them', lexicon, {})
     assert direct[0] > 0 and quoted[0] == 0 and quoted[2] > 0
     assert not toxicity.features("", lexicon, {})[0].any()
+    shouted, odd = toxicity.features("IDIOT!! *idiot* id!ot", lexicon, {})
+    assert shouted[0] == pytest.approx(np.log1p(2)) and odd == {"id!ot"}
 
 
 def test_toxicity_on_held_out_rows(spark):

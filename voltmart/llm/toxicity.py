@@ -34,7 +34,8 @@ REPORT = frozenset(
     "said says wrote quoted quote called word term says dit écrit cité mot sagte schrieb zitat wort dijo escribió cita palabra".split()
 )
 QUOTES = frozenset("\"'“”„«»‘’")
-TOKEN = re.compile(r"[\w@$*!|]+")
+# A token begins and ends with a letter, digit or mark; signs inside may stand for letters.
+TOKEN = re.compile(r"\w(?:[\w@$*!|]*\w)?")
 
 
 @dataclass
