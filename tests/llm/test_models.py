@@ -111,6 +111,31 @@ def test_language_model(spark, monkeypatch, order, head, kept):
             assert b[4] - 0.02 * a[0] - 1e-6 <= a[4] <= b[4] + 1e-6
 
 
+@pytest.mark.parametrize("order,shard_words", [(3, 3), (2, 10**6)])
+def test_language_model_keeps_everything_in_shards(spark, monkeypatch, order, shard_words):
+    monkeypatch.setattr(ngram_lm, "SHARD_WORDS", shard_words)
+    built = []
+    build = ngram_lm.build
+    monkeypatch.setattr(ngram_lm, "build", lambda *a: built.append(build(*a)) or built[-1])
+    rows = odd_rows() + [(2000 + i, f"the cat once saw thing{i} near place{i % 7}") for i in range(40)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    want = plain_model(rows, order, 1, 1)
+    got = {}
+    for r in ngram_lm.language_model(docs, order=order).collect():
+        got.setdefault(r.doc_id, []).append((r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score))
+    assert got.keys() == want.keys()
+    for i in want:
+        for a, b in zip(sorted(got[i]), sorted(want[i])):
+            assert a[:3] == b[:3]
+            assert a[3] == pytest.approx(b[3], abs=1e-9)
+            assert b[4] - 0.02 * a[0] - 1e-6 <= a[4] <= b[4] + 1e-6
+    # All n-grams of the training text, in several shards.
+    training = [["<s>", *lower(t)] for i, t in rows if brute.fold(i, 7) != 2]
+    for k, level in enumerate(built[0]["levels"], 2):
+        assert sum(level["sizes"]) == len({g for x in training for g in zip(*(x[j:] for j in range(k)))}) and len(level["sizes"]) > 3
+    assert (len(built[0]["word_sizes"]) > 3) == (shard_words == 3)
+
+
 def test_language_model_beats_unigrams(spark):
     got = ngram_lm.language_model(spark.read.parquet(f"{SF}/documents.parquet")).where("held_out")
     base, score = got.agg(F.sum("base_score"), F.sum("score")).first()

@@ -40,11 +40,27 @@ def _select(words: np.ndarray, before: np.ndarray, k: np.ndarray, flip: bool) ->
 
 
 class EliasFano:
-    def __init__(self, n: int, low_bits: int, top: int, low: np.ndarray, high: np.ndarray):
+    def __init__(
+        self, n: int, low_bits: int, top: int, low: np.ndarray, high: np.ndarray, ones: np.ndarray | None = None, zeros: np.ndarray | None = None
+    ):
         self.n, self.low_bits, self.top, self.low, self.high = n, low_bits, top, low, high
-        ones = np.bitwise_count(high).astype(np.int64)
-        self.ones = np.concatenate([[0], np.cumsum(ones)])[:-1]
-        self.zeros = np.arange(len(high), dtype=np.int64) * 64 - self.ones
+        if ones is None:
+            ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high).astype(np.int64))])[:-1]
+            zeros = np.arange(len(high), dtype=np.int64) * 64 - ones
+        self.ones, self.zeros = ones, zeros
+
+    @classmethod
+    def flat(cls, values: np.ndarray) -> np.ndarray:
+        """Header, sequence and directory in one array, which ``mapped`` reads without copies."""
+        header, buffer = cls.build(values)
+        e = cls.load(header, buffer)
+        return np.concatenate([np.array(header, np.uint64), buffer, e.ones.view(np.uint64), e.zeros.view(np.uint64)])
+
+    @classmethod
+    def mapped(cls, flat: np.ndarray) -> EliasFano:
+        n, bits, top, low, high = map(int, flat[:5])
+        low_part, high_part, ones, zeros = np.split(flat[5:], np.cumsum([low, high, high]))
+        return cls(n, bits, top, low_part, high_part, ones.view(np.int64), zeros.view(np.int64))
 
     @staticmethod
     def build(values: np.ndarray) -> tuple[list[int], np.ndarray]:

@@ -1,51 +1,55 @@
 """N-gram language model in an Elias-Fano trie, and scores of whole texts by it.
 
-Words with a count of at least N / HEAD form the head vocabulary, at most HEAD words; the others
-share one class. N-grams over the head are kept where their count is at least N / KEPT (and 2), at
-most KEPT per level, so the size of the model is bounded while all counts cover the whole training
-text. Probabilities are interpolated with absolute discounts, down to add-one unigrams:
+Every word and every n-gram of the training text is kept, whatever its count and whatever the size
+of the corpus. Probabilities are interpolated with absolute discounts, down to add-one unigrams:
 
     P(w | c) = max(count(c w) - D, 0) / count(c) + weight(c) * P(w | shorter c)
 
-where weight(c) is the mass that the kept continuations leave. Probabilities and weights are
-quantised downwards to 256 levels, so the mass of a context never exceeds one.
+where weight(c) is the mass that the continuations leave. Probabilities and weights are quantised
+downwards to 256 levels, so the mass of a context never exceeds one.
 
 A level of the trie has, for each context of the level above, a range of continuations. Ranges
-begin at monotone pointers; continuations are ids relative to the range, made monotone over the
-whole level by adding the context's number times the vocabulary's size. Both are Elias-Fano
-sequences, and a continuation is found by successor search inside its context's range. Levels are
-flat files, mapped into memory by each executor.
-
-Words outside the head are looked up exactly, by a join on the word with the table of all counts.
+begin at monotone pointers; continuations are made monotone over the whole level by adding the
+context's number times the vocabulary's size. Both are Elias-Fano sequences, and a continuation is
+found by successor search inside its context's range.
+
+Levels are cut into range shards by (context, word), words into shards by hash. The task that merges
+a shard's counts writes its sequences to the shared folder, and all workers map them from there. An
+index of the trie is the place in the shard plus the sizes of the shards before. The driver sees
+sizes, the sums of contexts that lie in several shards, and histograms. The folder must be one that
+executors can map (a mounted path), and is left there like other scratch folders.
 """
 
 from __future__ import annotations
 
-import hashlib
 import os
 import uuid
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltmart.llm.elias_fano import EliasFano
 from voltmart.llm.text import fold, whole
-from voltmart.session import cut_lineage
+from voltmart.session import cut_lineage, scratch_path
 
 ORDER = 3
-HEAD = 8_000_000  # words in the head, at most
-KEPT = 8_000_000  # n-grams of one level, at most
+# Off unless set: words below N / HEAD share one class, n-grams below max(2, N / KEPT) go.
+HEAD: int | None = None
+KEPT: int | None = None
 CHUNK = 250_000  # n-grams whose probabilities are worked out together
 DISCOUNT = 0.75
-FLUSH = 4_000_000  # tokens counted together in a task
-SHARD_TOKENS = 4_000_000
+FLUSH = 2_000_000  # tokens counted together in a task
+SHARD_TOKENS = 1_000_000
+SHARD_WORDS = 1_000_000
+BOUND_TOKENS = 4_000  # sampled per shard to place the bounds, which only balance the shards
+MOST_BOUND_TOKENS = 2_000_000
 END = b""  # the end of a text; no word is empty
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -79,18 +83,18 @@ def _word_counts(training: DataFrame) -> DataFrame:
 
 
 class _Ids(dict):
-    """Head id by word, looked up in the first level; forgets everything when it is full."""
+    """Head id by word, looked up in the table of words; forgets everything when it is full."""
 
-    def __init__(self, level: EliasFano, other: int):
+    def __init__(self, table: Words, other: int):
         super().__init__()
-        self.level, self.other = level, other
+        self.table, self.other = table, other
 
     def of(self, words: list[bytes]) -> np.ndarray:
         ids = np.fromiter(map(self.get, words, repeat(-1)), np.int64, len(words))
         unknown = np.flatnonzero(ids < 0).tolist()
         if unknown:
             fresh = list({words[i] for i in unknown})
-            found = self.level.find(np.fromiter(map(xxhash.xxh64_intdigest, fresh, repeat(42)), np.uint64, len(fresh)))
+            found = self.table.find(np.fromiter(map(xxhash.xxh64_intdigest, fresh, repeat(42)), np.uint64, len(fresh)))
             new = dict(zip(fresh, np.where(found >= 0, found, self.other).tolist()))
             ids[unknown] = [new[words[i]] for i in unknown]
             if len(self) + len(new) > 1_000_000:
@@ -99,44 +103,148 @@ class _Ids(dict):
         return ids
 
 
+def _load(path: str) -> np.ndarray:
+    return np.asarray(np.load(path, mmap_mode="r"))
+
+
+def _save(path: str, values: np.ndarray) -> None:
+    """Whole files only, also where a task runs twice."""
+    part = f"{path}.{uuid.uuid4().hex}"
+    with open(part, "wb") as out:
+        np.save(out, values)
+    os.replace(part, path)
+
+
+class _Parts:
+    """Arrays of the shards, mapped when they are asked for, as one long array."""
+
+    def __init__(self, begin: np.ndarray, load):
+        self.begin, self.load = begin, load
+        self.held: dict = {}
+
+    def __getitem__(self, s: int):
+        if s not in self.held:
+            self.held[s] = self.load(s)
+        return self.held[s]
+
+    def split(self, index: np.ndarray):
+        """(shard, which queries, places in the shard) of positions in the long array."""
+        shard = np.searchsorted(self.begin, index, side="right") - 1
+        order = np.argsort(shard.astype(np.uint16) if len(self.begin) < 1 << 16 else shard, kind="stable")
+        some, first = np.unique(shard[order], return_index=True)
+        for s, own in zip(some.tolist(), np.split(order, first[1:])):
+            yield s, own, index[own] - self.begin[s]
+
+    def take(self, index: np.ndarray, dtype) -> np.ndarray:
+        out = np.empty(len(index), dtype)
+        for s, own, place in self.split(index):
+            out[own] = self[s][place]
+        return out
+
+
+class Words:
+    """Hashes of the words in order, cut by their first bits; a word's id is its place."""
+
+    def __init__(self, head: dict):
+        self.bits, sizes = head["word_bits"], head["word_sizes"]
+        self.begin = np.cumsum([0, *sizes])
+        self.bounds = np.array([s << (64 - self.bits) for s in range(1, len(sizes))], np.uint64)
+        self.hashes = _Parts(self.begin[:-1], lambda s: EliasFano.mapped(_load(f"{head['root']}/words-{s}.npy")))
+        extra = np.array([head["rest_tokens"], head["ends"]], np.int64)  # of the class, of the beginning
+        self.counts = _Parts(self.begin, lambda s: extra if s == len(sizes) else _load(f"{head['root']}/word-counts-{s}.npy"))
+        self.sizes = sizes
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        order = np.argsort(hashes)
+        asked = hashes[order]
+        edges = [0, *np.searchsorted(asked, self.bounds), len(asked)]
+        out = np.full(len(hashes), -1, np.int64)
+        for s, (lo, hi) in enumerate(zip(edges, edges[1:])):
+            if lo < hi and self.sizes[s]:
+                base = self.bounds[s - 1] if s else np.uint64(0)
+                found = self.hashes[s].find(asked[lo:hi] - base)
+                out[order[lo:hi]] = np.where(found >= 0, found + self.begin[s], -1)
+        return out
+
+
+class Level:
+    """A level's range shards. Keys are context * width + word; shard s has keys from its bound on.
+
+    A context whose continuations lie in several shards has a range in each of them.
+    """
+
+    def __init__(self, root: str, number: int, info: dict, width: int):
+        self.width = width
+        self.bounds = np.array(info["bounds"], np.int64)  # first keys of all shards but the first
+        self.base = np.append(0, self.bounds)
+        self.low = self.base // width
+        self.high = np.append(self.bounds // width, info["contexts"] - 1)
+        self.begin = np.cumsum([0, *info["sizes"]])
+        self.sizes = info["sizes"]
+        name = f"{root}/level{number}-"
+        self.pointers = _Parts(self.low, lambda s: EliasFano.mapped(_load(f"{name}{s}.pointers.npy")))
+        self.follow = _Parts(self.begin[:-1], lambda s: EliasFano.mapped(_load(f"{name}{s}.follow.npy")))
+        self.counts = _Parts(self.begin[:-1], lambda s: _load(f"{name}{s}.counts.npy"))
+        self.p = _Parts(self.begin[:-1], lambda s: _load(f"{name}{s}.p.npy"))
+        self.rest = _Parts(self.low, lambda s: _load(f"{name}{s}.rest.npy"))
+        self.p_book, self.rest_book = (np.array(info.get(k, [])) for k in ("p_book", "rest_book"))
+
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """Index of each key, or -1; the keys are different and in order."""
+        out = np.full(len(key), -1, np.int64)
+        edges = np.concatenate([[0], np.searchsorted(key, self.bounds), [len(key)]])
+        for s in np.flatnonzero(np.diff(edges)).tolist():
+            if not self.sizes[s]:
+                continue
+            part = key[edges[s] : edges[s + 1]]
+            owner = part // self.width - self.low[s]
+            first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            size = np.diff(np.append(first, len(part)))
+            begin, end = (self.pointers[s].get(owner[first] + k).astype(np.int64) for k in (0, 1))
+            begin, end = np.repeat(begin, size), np.repeat(end, size)
+            asked = np.flatnonzero(end > begin)
+            found = self.follow[s].find(part[asked] - self.base[s], begin[asked], end[asked])
+            out[edges[s] + asked] = np.where(found >= 0, found + self.begin[s], -1)
+        return out
+
+    def keys(self, index: np.ndarray) -> np.ndarray:
+        out = np.empty(len(index), np.int64)
+        for s, own, place in self.follow.split(index):
+            out[own] = self.follow[s].get(place).astype(np.int64) + self.base[s]
+        return out
+
+
 class Trie:
-    """The levels, as views of one mapped buffer of 64-bit words."""
+    """The words and the levels, as maps of the shared folder's files."""
 
-    def __init__(self, head: dict, buffer: np.ndarray):
+    def __init__(self, head: dict):
         self.head = head
-        self.counts = buffer[slice(*head["counts"])].view(np.int64)
-        self.words = EliasFano.load(head["words"][0], buffer[slice(*head["words"][1])])
-        self.other = len(self.counts)  # id of the class of all other words
+        self.words = Words(head)
+        self.counts = self.words.counts
+        self.other = int(self.words.begin[-1])  # id of the class of all other words
         self.begin = self.other + 1  # id of the beginning of a text, only a context
         self.width = self.other + 2
-        self.levels = []
-        for level in head["levels"]:
-            pointers = EliasFano.load(level["pointers"][0], buffer[slice(*level["pointers"][1])])
-            follow = EliasFano.load(level["follow"][0], buffer[slice(*level["follow"][1])])
-            codes = {k: buffer[slice(*level[k])].view(np.uint8) for k in ("p", "rest")}
-            books = {k: np.array(level[k + "_book"]) for k in ("p", "rest")}
-            self.levels.append((pointers, follow, codes, books))
+        self.levels = [Level(head["root"], k, info, self.width) for k, info in enumerate(head["levels"])]
         self.ids = _Ids(self.words, self.other)
 
+    def unigrams(self, ids: np.ndarray) -> np.ndarray:
+        p = (self.counts.take(ids, np.int64) + 1) * self.head["unit"]
+        p[ids == self.other] = self.head["other_mass"] * self.head["unit"]
+        return p
+
+    def context_counts(self, level: int, index: np.ndarray) -> np.ndarray:
+        return (self.levels[level - 1].counts if level else self.counts).take(index, np.int64)
+
     def step(self, level: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Index of each continuation among its context's, or -1; a context of -1 has none.
 
         The pointers give the context's range, and the search stays inside it.
         """
         out = np.full(len(word), -1, np.int64)
-        pointers, follow, _, _ = self.levels[level]
         some = np.flatnonzero(context >= 0)
         # Each different question once, in order.
         key, back = np.unique(context[some] * self.width + word[some], return_inverse=True)
-        owner = key // self.width
-        first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(key) else np.zeros(0, np.int64)
-        size = np.diff(np.append(first, len(key)))
-        begin, end = (pointers.get(owner[first] + k).astype(np.int64) for k in (0, 1))
-        begin, end = np.repeat(begin, size), np.repeat(end, size)
-        asked = np.flatnonzero(end > begin)
-        found = np.full(len(key), -1, np.int64)
-        found[asked] = follow.find(key[asked], begin[asked], end[asked])
-        out[some] = found[back]
+        out[some] = self.levels[level].find(key)[back]
         return out
 
     def walk(self, doc: np.ndarray, ids: np.ndarray, depth: int):
@@ -159,18 +267,18 @@ class Trie:
 
     def _mixed(self, level: int, context: np.ndarray, gram: np.ndarray, p: np.ndarray) -> np.ndarray:
         """Probabilities at a level from those of the shorter contexts."""
-        _, _, codes, books = self.levels[level]
-        ok, kept = np.flatnonzero(context >= 0), np.flatnonzero(gram >= 0)
-        p[ok] *= books["rest"][codes["rest"][context[ok]]]
-        p[kept] = books["p"][codes["p"][gram[kept]]]
+        at = self.levels[level]
+        ok, kept = np.flatnonzero((context >= 0) & (gram < 0)), np.flatnonzero(gram >= 0)
+        p[ok] *= at.rest_book[at.rest.take(context[ok], np.uint8)]
+        p[kept] = at.p_book[at.p.take(gram[kept], np.uint8)]
         return p
 
     def smoothed(self, level: int, context: np.ndarray, word: np.ndarray, p: np.ndarray) -> np.ndarray:
         return self._mixed(level, context, self.step(level, context, word), p)
 
-    def log10(self, doc: np.ndarray, ids: np.ndarray, unit: float) -> np.ndarray:
+    def log10(self, doc: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """log10 of each token's probability; tokens of the other class get the class's."""
-        p = np.append((self.counts + 1) * unit, self.head["other_mass"] * unit)[ids]
+        p = self.unigrams(ids)
         for level, (context, gram) in enumerate(self.walk(doc, ids, len(self.levels))):
             p = self._mixed(level, context, gram, p)
         return np.log10(p)
@@ -185,89 +293,118 @@ def _flat(batches: Iterator[pa.RecordBatch], trie: Trie, column: int):
         yield batch, lists, ids, np.repeat(np.arange(len(lists)), size)
 
 
-_MAPPED: dict[str, Trie] = {}
+_MAPPED: dict[tuple, Trie] = {}
 
 
-def _open(shared) -> Trie:
-    """The trie of a broadcast, written once per executor and mapped by each of its workers."""
-    head, name = shared.value["head"], shared.value["name"]
+def _open(head: dict) -> Trie:
+    """The trie of a head, opened once per worker."""
+    name = head["root"], len(head["levels"]), [sorted(x) for x in head["levels"]].__repr__()
     if name not in _MAPPED:
-        path = os.path.join(SparkFiles.getRootDirectory(), f"lm-{name}.levels")
-        if not os.path.exists(path):
-            part = f"{path}.{uuid.uuid4().hex}"
-            with open(part, "wb") as out:
-                out.write(shared.value["levels"])
-            os.replace(part, path)
         _MAPPED.clear()
-        _MAPPED[name] = Trie(head, np.memmap(path, np.uint64, "r"))
+        _MAPPED[name] = Trie(head)
     return _MAPPED[name]
 
 
-class _Builder:
-    """Collects the arrays of a trie into one buffer."""
+def _folder(spark) -> str:
+    """A fresh folder that the driver and all executors see as a path."""
+    url = urlparse(scratch_path(spark, "lm"))
+    if url.scheme not in ("", "file"):
+        raise RuntimeError("spark.checkpoint.dir must be a mounted folder: the model is mapped from it")
+    os.makedirs(url.path)
+    return url.path
 
-    def __init__(self):
-        self.parts: list[np.ndarray] = []
-        self.at = 0
-        self.head: dict = {"levels": []}
 
-    def add(self, values: np.ndarray) -> list[int]:
-        raw = values.tobytes()
-        raw += b"\0" * (-len(raw) % 8)
-        self.parts.append(np.frombuffer(raw, np.uint64))
-        begin, self.at = self.at, self.at + len(self.parts[-1])
-        return [begin, self.at]
+def _grid(values: np.ndarray) -> np.ndarray:
+    """Cells of positive numbers, a thousandth wide; monotone."""
+    return (np.ascontiguousarray(values, np.float64).view(np.int64) >> 42).astype(np.int32)
 
-    def sequence(self, values: np.ndarray) -> list:
-        header, buffer = EliasFano.build(values)
-        return [header, self.add(buffer)]
 
-    def share(self, spark):
-        levels = np.concatenate(self.parts).tobytes() if self.parts else b""
-        name = hashlib.sha256(levels).hexdigest()[:24]
-        return spark.sparkContext.broadcast({"head": self.head, "levels": levels, "name": name})
+def _histogram(cells: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    cell, count = np.unique(np.concatenate([np.zeros(0, np.int32), *cells]), return_counts=True)
+    return cell.tolist(), count.tolist()
 
-    def local(self) -> Trie:
-        return Trie(self.head, np.concatenate(self.parts))
 
+def _book(histograms: list[tuple[list[int], list[int]]]) -> tuple[np.ndarray, list[float]]:
+    """Quantiles of a histogram, as cells and as the cells' lower ends; at most 256."""
+    total: Counter = Counter()
+    for cell, count in histograms:
+        total.update(dict(zip(cell, count)))
+    if not total:
+        return np.array([1023 << 10]), [1.0]
+    cells = np.array(sorted(total))
+    upto = np.cumsum([total[c] for c in cells.tolist()])
+    book = np.unique(cells[np.searchsorted(upto, (np.linspace(0, 1, 256) * (upto[-1] - 1)).astype(np.int64), side="right")])
+    return book, (book.astype(np.int64) << 42).view(np.float64).tolist()
 
-def quantise(values: np.ndarray) -> tuple[np.ndarray, list[float]]:
-    """Codes and book of at most 256 values, each value mapped to one that is not greater."""
-    if not len(values):
-        return np.zeros(0, np.uint8), [1.0]
-    book = np.unique(np.quantile(values, np.linspace(0, 1, 256), method="lower"))
-    return (np.searchsorted(book, values, side="right") - 1).astype(np.uint8), book.tolist()
 
+def _codes(cells: np.ndarray, book: np.ndarray) -> np.ndarray:
+    return (np.searchsorted(book, cells, side="right") - 1).astype(np.uint8)
 
-def _gram_counts(training: DataFrame, shared, level: int, shards: int, least: int) -> DataFrame:
-    """(keys, counts): kept n-grams of a level as sorted arrays; a key is context * width + word."""
+
+def _each(spark, n: int, work, schema: str) -> list:
+    """Rows of ``work(s)`` for every shard, one task each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_pylist([work(s)], schema=fields)
+
+    kinds = {"long": pa.int64(), "array<long>": pa.list_(pa.int64())}
+    fields = pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in schema.split(", ")])
+    return spark.range(0, n, 1, n).mapInArrow(run, schema).collect()
+
+
+def _keys(trie: Trie, ids: np.ndarray, doc: np.ndarray, level: int) -> np.ndarray:
+    *_, (context, _) = trie.walk(doc, ids, level + 1)
+    ok = context >= 0
+    return context[ok] * trie.width + ids[ok]
+
+
+def _bounds(training: DataFrame, shared, level: int, shards: int, n: int) -> list[int]:
+    """First keys of all shards but the first, from a sample of the texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = _open(shared.value)
+        for _, _, ids, doc in _flat(batches, trie, 0):
+            yield pa.RecordBatch.from_arrays([pa.array([np.unique(_keys(trie, ids, doc, level)).tobytes()], pa.binary())], names=["keys"])
+
+    part = min(1.0, min(BOUND_TOKENS * shards, MOST_BOUND_TOKENS) / max(n, 1))
+    rows = training.select("text").sample(part, 7).mapInArrow(run, "keys binary").collect()
+    keys = np.unique(np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(r["keys"], np.int64) for r in rows]]))
+    places = np.arange(1, shards) * len(keys) // shards
+    return np.unique(keys[places]).tolist() if len(keys) else []
+
+
+def _merged(training: DataFrame, shared, level: int, info: dict, least: int) -> list:
+    """Count a level and write each shard's sequences and counts.
+
+    Returns size, and count and number of the continuations of the shard's first and last context.
+    """
+    spark = training.sparkSession
+    bounds, shards = np.array(info["bounds"], np.int64), len(info["bounds"]) + 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = _open(shared)
+        trie = _open(shared.value)
         held: list[np.ndarray] = []
         n = 0
 
         def flush():
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            shard = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % shards
-            order = np.argsort(shard, kind="stable")
-            bounds = np.searchsorted(shard[order], np.arange(shards + 1))
-            sent = [order[bounds[s] : bounds[s + 1]] for s in range(shards)]
-            some = [s for s in range(shards) if len(sent[s])]
+            edges = np.concatenate([[0], np.searchsorted(keys, bounds), [len(keys)]])
+            some = np.flatnonzero(np.diff(edges)).tolist()
+            sent = [slice(edges[s], edges[s + 1]) for s in some]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(some, pa.int32()),
                     # Differences of sorted keys are small, and their empty bytes cost little.
-                    pa.array([np.diff(keys[sent[s]], prepend=0).tobytes() for s in some], pa.binary()),
-                    pa.array([counts[sent[s]].astype(np.uint32).tobytes() for s in some], pa.binary()),
+                    pa.array([np.diff(keys[x], prepend=0).tobytes() for x in sent], pa.binary()),
+                    pa.array([counts[x].astype(np.uint32).tobytes() for x in sent], pa.binary()),
                 ],
                 names=["shard", "keys", "counts"],
             )
 
         for _, _, ids, doc in _flat(batches, trie, 0):
-            *_, (context, _) = trie.walk(doc, ids, level + 1)
-            ok = context >= 0
-            held.append(context[ok] * trie.width + ids[ok])
+            held.append(_keys(trie, ids, doc, level))
             n += len(held[-1])
             if n > FLUSH:
                 yield flush()
@@ -275,85 +412,166 @@ def _gram_counts(training: DataFrame, shared, level: int, shards: int, least: in
         if n:
             yield flush()
 
+    fields = pa.schema([(k, pa.int64()) for k in ("shard", "n", "c_low", "n_low", "c_high", "n_high")])
+
     def merge(table: pa.Table) -> pa.Table:
+        s = table["shard"][0].as_py()
+        head = shared.value
+        width = sum(head["word_sizes"]) + 2
         keys = np.concatenate([np.cumsum(np.frombuffer(k.as_py(), np.int64)) for k in table["keys"]])
         counts = np.concatenate([np.frombuffer(c.as_py(), np.uint32) for c in table["counts"]]).astype(np.int64)
         order = np.argsort(keys, kind="stable")
         keys, counts = keys[order], counts[order]
-        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        keys, counts = keys[first], np.add.reduceat(counts, first)
-        kept = counts >= least
-        return pa.table({"keys": [keys[kept].tobytes()], "counts": [counts[kept].tobytes()]}, schema=pa.schema([("keys", pa.binary()), ("counts", pa.binary())]))
-
-    return (
-        training.select("text").mapInArrow(count, "shard int, keys binary, counts binary")
-        .groupBy("shard").applyInArrow(merge, "keys binary, counts binary")
-    )
-
-
-def build(training: DataFrame, words: DataFrame, n: int, v: int, order: int = ORDER):
-    """Builder of the trie; driver memory is bounded by HEAD words and KEPT n-grams per level."""
-    out = _Builder()
-    least = max(1, -(-n // HEAD))
-    head = words.where((F.col("c") >= least) | (F.octet_length("w") == 0)).select(F.xxhash64("w").alias("h"), "c").toArrow()
-    h, c = head["h"].to_numpy().view(np.uint64), head["c"].to_numpy()
-    rank = np.argsort(h)
-    h, c = h[rank], c[rank]
-    out.head["words"] = out.sequence(h)
-    out.head["counts"] = out.add(c.astype(np.int64))
-    rest_tokens, rest_words = n - int(c.sum()), v - len(c)
-    out.head["other_mass"] = rest_tokens + rest_words + 1
-    unit = 1 / (n + v + 1)
-    ends = int(c[h == np.uint64(xxhash.xxh64_intdigest(END, 42))].sum())
-    # Counts of the contexts of the next level, by index.
-    context = np.concatenate([c, [rest_tokens, ends]]).astype(np.float64)
-    lower = np.append((c + 1) * unit, out.head["other_mass"] * unit)
-    width = len(c) + 2
-    shards = max(12, -(-n // SHARD_TOKENS))
-    keep = max(2, -(-n // KEPT))
-    before = np.zeros(0, np.int64)
+        del order
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+        keys = keys[first]
+        counts = np.add.reduceat(counts, first) if len(first) else counts
+        if least > 1:
+            keys, counts = keys[counts >= least], counts[counts >= least]
+        base = int(bounds[s - 1]) if s else 0
+        low = base // width
+        high = int(bounds[s]) // width if s < len(bounds) else info["contexts"] - 1
+        # Contexts without continuations have empty ranges.
+        pointers = np.searchsorted(keys, np.arange(low, high + 2) * width)
+        name = f"{head['root']}/level{level}-{s}"
+        _save(f"{name}.pointers.npy", EliasFano.flat(pointers))
+        _save(f"{name}.follow.npy", EliasFano.flat(keys - base))
+        _save(f"{name}.counts.npy", counts.astype(np.min_scalar_type(int(counts.max()) if len(counts) else 0)))
+        ends = [counts[: pointers[1]], counts[pointers[-2] :]]
+        values = [s, len(keys), *(int(x) for e in ends for x in (e.sum(), len(e)))]
+        return pa.Table.from_arrays([pa.array([v]) for v in values], schema=fields)
+
+    schema = "shard int, keys binary, counts binary"
+    none = spark.range(shards).select(F.col("id").cast("int").alias("shard"), F.lit(b"").alias("keys"), F.lit(b"").alias("counts"))
+    counted = training.select("text").mapInArrow(count, schema)
+    return counted.union(none).groupBy("shard").applyInArrow(merge, ", ".join(f"{k} long" for k in fields.names)).collect()
+
+
+def _write_words(words: DataFrame, root: str, v: int, least: int) -> dict:
+    """Write the shards of the words; returns what the driver knows of them."""
+    bits = max(0, -(-v // SHARD_WORDS) - 1).bit_length()
+    shard = F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long")
+
+    def write(table: pa.Table) -> pa.Table:
+        s = table["s"][0].as_py()
+        h, c = table["h"].to_numpy().view(np.uint64), table["c"].to_numpy()
+        order = np.argsort(h)
+        base = np.uint64(s << (64 - bits)) if s else np.uint64(0)
+        _save(f"{root}/words-{s}.npy", EliasFano.flat(h[order] - base))
+        _save(f"{root}/word-counts-{s}.npy", c[order].astype(np.int64))
+        return pa.table({"s": [s], "n": [len(h)], "c": [int(c.sum())]})
+
+    kept = words.where((F.col("c") >= least) | (F.octet_length("w") == 0)) if least > 1 else words
+    rows = kept.select(F.xxhash64("w").alias("h"), "c").select(shard.alias("s"), "h", "c").groupBy("s").applyInArrow(write, "s long, n long, c long").collect()
+    sizes = [0] * (1 << bits)
+    for r in rows:
+        sizes[r["s"]] = r["n"]
+    for s in (s for s, size in enumerate(sizes) if not size):
+        _save(f"{root}/word-counts-{s}.npy", np.zeros(0, np.int64))
+    return {"word_bits": bits, "word_sizes": sizes, "head_tokens": sum(r["c"] for r in rows)}
+
+
+def build(training: DataFrame, words: DataFrame, n: int, v: int, order: int = ORDER) -> dict:
+    """Head of the trie, whose shards lie in the shared folder; the driver holds a few numbers per shard."""
+    spark = training.sparkSession
+    root = _folder(spark)
+    head = {"root": root, "levels": [], **_write_words(words, root, v, -(-n // HEAD) if HEAD else 1)}
+    size = sum(head["word_sizes"])
+    head["rest_tokens"] = n - head["head_tokens"]
+    head["other_mass"] = head["rest_tokens"] + v - size + 1
+    head["unit"] = 1 / (n + v + 1)
+    head["ends"] = words.where(F.octet_length("w") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    least = max(2, -(-n // KEPT)) if KEPT else 1
+    contexts = size + 2
     for level in range(order - 1):
-        shared = out.share(training.sparkSession)
-        keys, counts = _collected(_gram_counts(training, shared, level, shards, keep))
+        shared = spark.sparkContext.broadcast(head)
+        shards = max(12, -(-n // SHARD_TOKENS))
+        info = {"contexts": contexts, "bounds": _bounds(training, shared, level, shards, n)}
+        done = {r["shard"]: r for r in _merged(training, shared, level, info, least)}
         shared.unpersist()
-        rest = np.ones(len(context))
-        for at in range(0, len(keys), CHUNK):
-            owner = keys[at : at + CHUNK] // width
-            np.subtract.at(rest, owner, np.maximum(counts[at : at + CHUNK] - DISCOUNT, 0) / context[owner])
-        rest_codes, rest_book = quantise(np.clip(rest, 1e-12, 1.0))
-        weight, trie = np.array(rest_book), out.local()
-        p = np.empty(len(keys), np.float32)
-        for at in range(0, len(keys), CHUNK):
-            part = slice(at, at + CHUNK)
-            owner, word = keys[part] // width, keys[part] % width
-            below = lower[word]
+        info["sizes"] = [done[s]["n"] for s in range(len(done))]
+        _finish(spark, head, level, info, done)
+        head = {**head, "levels": [*head["levels"], info]}
+        contexts = sum(info["sizes"])
+        if not contexts:
+            break
+    for level, info in enumerate(head["levels"]):
+        for s in range(len(info["sizes"])):
+            os.remove(f"{root}/level{level}-{s}.counts.npy")
+    return head
+
+
+def _finish(spark, head: dict, level: int, info: dict, done: dict) -> None:
+    """Weights and probabilities of a level whose counts are written; adds the books to ``info``."""
+    shards = len(info["sizes"])
+    width = sum(head["word_sizes"]) + 2
+    edges = Level(head["root"], level, info, width)
+    # Counts and numbers of the continuations of contexts at the ends of shards.
+    totals: dict[int, list[int]] = {}
+    for s in range(shards):
+        r, low, high = done[s], int(edges.low[s]), int(edges.high[s])
+        for c, count, size in [(low, r["c_low"], r["n_low"])] + [(high, r["c_high"], r["n_high"])] * (high > low):
+            total = totals.setdefault(c, [0, 0])
+            total[0] += count
+            total[1] += size
+    plan = spark.sparkContext.broadcast((head, info, totals))
+    name = f"{head['root']}/level{level}-"
+
+    def rest_of(s: int, trie: Trie, own: Level) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(counts, mass left, pointers) of the contexts of a shard."""
+        low, high = int(own.low[s]), int(own.high[s])
+        pointers = own.pointers[s].get(np.arange(high - low + 2)).astype(np.int64)
+        upto = np.append(0, np.cumsum(own.counts[s], dtype=np.int64))
+        total, size = np.diff(upto[pointers]), np.diff(pointers)
+        for c in (low, high):
+            total[c - low], size[c - low] = plan.value[2][c]
+        count = trie.context_counts(level, np.arange(low, high + 1)).astype(np.float64)
+        rest = 1 - (total - DISCOUNT * size) / np.maximum(count, 1)
+        return count, np.clip(rest, 1e-12, 1.0), pointers
+
+    def levels() -> tuple[Trie, Level]:
+        head, info, _ = plan.value
+        return _open(head), Level(head["root"], level, info, width)
+
+    def weigh(s: int) -> dict:
+        cell, count = _histogram([_grid(rest_of(s, *levels())[1])])
+        return {"cell": cell, "count": count}
+
+    histogram = "cell array<long>, count array<long>"
+    cells, info["rest_book"] = _book([(r["cell"], r["count"]) for r in _each(spark, shards, weigh, histogram)])
+    weights = np.array(info["rest_book"])
+
+    def rate(s: int) -> dict:
+        trie, own = levels()
+        count, rest, pointers = rest_of(s, trie, own)
+        codes = _codes(_grid(rest), cells)
+        _save(f"{name}{s}.rest.npy", codes)
+        low, n, found = int(own.low[s]), own.sizes[s], []
+        for at in range(0, n, CHUNK):
+            index = np.arange(at, min(n, at + CHUNK))
+            key = own.follow[s].get(index).astype(np.int64) + own.base[s]
+            owner, word = key // width, key % width
+            below = trie.unigrams(word)
             if level:
                 # The same word after the shorter context, by the level built before.
-                below = trie.smoothed(0, before[owner] % width, word, below)
-            p[part] = np.maximum(counts[part] - DISCOUNT, 0) / context[owner] + weight[rest_codes[owner]] * below
-        codes, book = quantise(p)
-        # Contexts without continuations have empty ranges.
-        pointers = np.searchsorted(keys, np.arange(len(context) + 1) * width)
-        out.head["levels"].append(
-            {
-                "pointers": out.sequence(pointers), "follow": out.sequence(keys),
-                "p": out.add(codes), "p_book": book, "rest": out.add(rest_codes), "rest_book": rest_book,
-            }
-        )
-        context, before = counts.astype(np.float32), keys
-    return out
+                different, back = np.unique(owner, return_inverse=True)
+                below = trie.smoothed(0, (trie.levels[0].keys(different) % width)[back], word, below)
+            own_counts = own.counts[s][at : at + CHUNK].astype(np.float64)
+            found.append(_grid((own_counts - DISCOUNT) / count[owner - low] + weights[codes[owner - low]] * below))
+        _save(f"{name}{s}.cells.npy", np.concatenate([np.zeros(0, np.int32), *found]))
+        cell, times = _histogram(found)
+        return {"cell": cell, "count": times}
+
+    p_cells, info["p_book"] = _book([(r["cell"], r["count"]) for r in _each(spark, shards, rate, histogram)])
 
+    def encode(s: int) -> dict:
+        _save(f"{name}{s}.p.npy", _codes(_load(f"{name}{s}.cells.npy"), p_cells))
+        return {"s": s}
 
-def _collected(parts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """All kept n-grams of a level, sorted by key; at most KEPT."""
-    keys, counts = [], []
-    table = parts.toArrow()
-    for k, c in zip(table["keys"], table["counts"]):
-        keys.append(np.frombuffer(k.as_buffer(), np.int64))
-        counts.append(np.frombuffer(c.as_buffer(), np.int64).astype(np.uint32))
-    keys, counts = np.concatenate([np.zeros(0, np.int64), *keys]), np.concatenate([np.zeros(0, np.uint32), *counts])
-    at = np.argsort(keys)
-    return keys[at], counts[at].astype(np.int64)
+    _each(spark, shards, encode, "s long")
+    for s in range(shards):
+        os.remove(f"{name}{s}.cells.npy")
+    plan.unpersist()
 
 
 def language_model(
@@ -374,17 +592,17 @@ def language_model(
     words = cut_lineage(_word_counts(training))
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     built = build(training, words, n, v, order)
-    shared = built.share(spark)
-    unit, other_mass = 1 / (n + v + 1), built.head["other_mass"]
+    shared = spark.sparkContext.broadcast(built)
+    unit, other_mass = built["unit"], built["other_mass"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = _open(shared)
+        trie = _open(shared.value)
         for batch, lists, ids, doc in _flat(batches, trie, 1):
             k = len(lists)
             inside = ids < trie.other
             base = np.zeros(len(ids))
-            base[inside] = np.log10((trie.counts[ids[inside]] + 1) * unit)
-            score = trie.log10(doc, ids, unit)
+            base[inside] = np.log10((trie.counts.take(ids[inside], np.int64) + 1) * unit)
+            score = trie.log10(doc, ids)
             outside = np.flatnonzero(~inside)
             flat = [w for x in lists for w in x]
             names: list[Counter] = [Counter() for _ in range(k)]
