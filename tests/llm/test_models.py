@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from voltmart.llm import ngram_lm, site_quality, toxicity
+from voltmart.llm import ngram_lm, quality_rules, site_quality, toxicity
 from voltmart.llm.elias_fano import EliasFano
 
 SF = "/root/testdata/sf0.01"
@@ -234,3 +234,10 @@ def test_site_quality_without_labels(spark):
     labels = spark.createDataFrame([], LABELS)
     assert [(r.evidence, r.kept) for r in site_quality.site_quality(docs, labels).collect()] == [(0.5, True)]
     assert site_quality.site_quality(docs.limit(0), labels).count() == 0
+
+
+def test_quality_target_counts_every_trusted_text(spark):
+    docs = spark.range(21_000).selectExpr("id AS doc_id", "concat('word', id % 7) AS text")
+    labels = spark.range(21_000).selectExpr("id AS doc_id", "1 AS quality")
+    # Target and raw counts are the same if no trusted text is left out.
+    assert {r.ratio for r in quality_rules.ratio_model(docs, labels).collect()} == {0.0}

@@ -11,11 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltmart.llm.text import labelled_sample, whole, words
+from voltmart.llm.text import whole, words
 from voltmart.session import cut_lineage
 
 BUCKETS = 1 << 16  # rows of the model, which bounds its broadcast (about 1 MB)
-TRUSTED = 20_000  # most labelled texts that make up the target; their ids are broadcast
 SMOOTHING = 1.0
 THRESHOLD = -0.2  # nats per n-gram
 WINDOW = 5
@@ -111,16 +110,18 @@ def ratio_model(
 ) -> DataFrame:
     """(bucket, ratio): log of target probability over raw probability, one row per bucket seen.
 
-    The raw counts cover every text. The target are the texts of at most TRUSTED ids labelled
-    quality 1; without any, all ratios are 0.
+    The raw counts cover every text, the target every text of an id labelled quality 1; without
+    any, all ratios are 0. Where the ids are too many for a broadcast, the join exchanges the texts
+    once; the ids are checkpointed so that AQE can split repeated and null ids of the texts.
     """
-    trusted = labelled_sample(labels.where("quality = 1"), "quality", TRUSTED).select(
-        F.col("doc_id").alias("trusted_id")
+    trusted = cut_lineage(
+        labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("trusted_id"))
+        .where("trusted_id IS NOT NULL").distinct()
     )
     grams = (
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), words(F.col(text_col)).alias("words"))
-        .join(F.broadcast(trusted), F.col("doc_id") == F.col("trusted_id"), "left")
-        .select(F.col("trusted_id").isNotNull().cast("long").alias("t"), "words")
+        docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(F.col(text_col)).alias("text"))
+        .join(trusted, F.col("doc_id") == F.col("trusted_id"), "left")
+        .select(F.col("trusted_id").isNotNull().cast("long").alias("t"), words(F.col("text")).alias("words"))
         .select("t", F.explode(_let(F.col("words"), _buckets)).alias("g"))
     )
     counts = (
