@@ -241,3 +241,25 @@ def test_quality_target_counts_every_trusted_text(spark):
     labels = spark.range(21_000).selectExpr("id AS doc_id", "1 AS quality")
     # Target and raw counts are the same if no trusted text is left out.
     assert {r.ratio for r in quality_rules.ratio_model(docs, labels).collect()} == {0.0}
+
+
+def letters(k):
+    return "".join("abcdefghij"[int(c)] for c in f"{k:05d}")
+
+
+def test_toxic_terms_beside_a_copied_text(spark):
+    copied = " ".join(f"rare{letters(k)}" for k in range(5000))
+    texts = [(copied, 1)] * 40 + [(f"you vilest {letters(k)}", 1) for k in range(12)] + [(f"fine day {letters(k)}", 0) for k in range(40)]
+    ids = [i for i in range(1000) if brute.fold(i, 5) != 0]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in zip(ids, texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in zip(ids, texts)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    found = toxicity.Lexicon(model.terms).find("vilest")
+    assert found and found[1] == 0
+    assert not any(t.startswith("rare") for t, _ in model.terms)
+
+
+def test_all_toxic_terms_enter_the_lexicon():
+    rows = [(letters(k), False, 3, 0) for k in range(260)]
+    holders = {letters(k): {3 * k, 3 * k + 1, 3 * k + 2} for k in range(260)}
+    assert sorted(toxicity.choose_terms(rows, holders, 780)) == [(letters(k), False) for k in range(260)]

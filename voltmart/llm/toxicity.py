@@ -9,8 +9,10 @@ counts less than a direct one. The document's score is a logistic function of it
 
 from __future__ import annotations
 
+import heapq
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -22,8 +24,6 @@ from voltmart.llm.text import fold, labelled_sample, words
 from voltmart.session import cut_lineage
 
 SAMPLE = 20_000  # labelled rows to learn from, at most
-CANDIDATES = 4_000  # terms the greedy choice looks at, at most
-TERMS = 256  # terms of the lexicon, at most
 STEM = (4, 5, 6, 7, 8)  # lengths of stems
 CACHED_WORDS = 400_000
 MOST_STATES = 200_000  # of the product that are remembered
@@ -228,25 +228,41 @@ def features(text: str, lexicon: Lexicon, strange: dict[str, float]) -> tuple[np
     return np.array([np.log1p(direct), np.log1p(fuzzy), np.log1p(quoted), len(kinds) ** 0.5, np.sqrt((direct + fuzzy) / max(n, 1))]), odd
 
 
-def choose_terms(rows: list[tuple[str, bool, int, int]], holders: dict[str, set[int]], positives: int) -> list[tuple[str, bool]]:
+def least_gain(positives: int) -> int:
+    """Toxic texts, less four times the clean ones, that a term must add."""
+    return max(3, positives // 200)
+
+
+def choose_terms(rows: list[tuple[str, bool, int, int]], holders: dict[str, Sequence[int]], positives: int) -> list[tuple[str, bool]]:
     """Greedy cover: the term in most toxic texts not yet covered, less its clean texts, comes next.
 
     Copies of one toxic text are covered together, so words that are frequent only because a text
-    was copied are not chosen. Ties go to whole words, then longer terms, then by name.
+    was copied are not chosen. Ties go to whole words, then longer terms, then by name. All terms
+    take part, until none adds ``least_gain``. Gains only fall, so a term whose gain is still the
+    same when its turn comes is the best.
     """
-    open_texts = set().union(*holders.values()) if holders else set()
-    least = max(3, positives // 200)
+    least = least_gain(positives)
     clean = {(t, s): b for t, s, _, b in rows}
-    left = {(t, s) for t, s, _, _ in rows}
+    held = {k: np.array(sorted(holders.get(_key(*k), ())), np.int64) for k in clean}
+    texts, places = np.unique(np.concatenate([np.zeros(0, np.int64), *held.values()]), return_inverse=True)
+    held = dict(zip(held, np.split(places.astype(np.int32), np.cumsum([len(x) for x in held.values()])[:-1]))) if held else {}
+    uncovered = np.ones(len(texts), bool)
+    # Later in the order of (stem, length, name) wins a tie.
+    rank = {k: i for i, k in enumerate(sorted(clean, key=lambda k: (not k[1], len(k[0]), k[0])))}
+    queue = [(4 * clean[k] - len(held[k]), -rank[k], k) for k in clean]
+    heapq.heapify(queue)
     chosen: list[tuple[str, bool]] = []
-    while left and open_texts and len(chosen) < TERMS:
-        gain = {k: len(holders[_key(*k)] & open_texts) - 4 * clean[k] for k in left}
-        best = max(gain, key=lambda k: (gain[k], not k[1], len(k[0]), k[0]))
-        if gain[best] < least:
-            break
-        chosen.append(best)
-        open_texts -= holders[_key(*best)]
-        left = {k for k in left if k != best and gain[k] >= least}
+    while queue and -queue[0][0] >= least:
+        before, place, k = queue[0]
+        gain = int(np.count_nonzero(uncovered[held[k]])) - 4 * clean[k]
+        if gain < least:
+            heapq.heappop(queue)
+        elif gain < -before:
+            heapq.heapreplace(queue, (-gain, place, k))
+        else:
+            heapq.heappop(queue)
+            chosen.append(k)
+            uncovered[held[k]] = False
     return chosen
 
 
@@ -257,8 +273,9 @@ def _key(term: str, stem: bool) -> str:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held: int = 0) -> Model | None:
     """Learn from at most SAMPLE labelled rows outside the held-out fold; None without both classes.
 
-    The sample's texts stay distributed. The driver gets at most CANDIDATES terms, which toxic
-    texts of the sample hold them, and five numbers per sampled text.
+    The sample's texts stay distributed. Evidence for terms is counted over different texts, not
+    rows. The driver gets the terms that pass the evidence test, which toxic texts of the sample
+    hold those that can still be chosen, and five numbers per sampled text; SAMPLE bounds them all.
     """
     ids = labelled_sample(labels.where(fold(F.col(id_col), folds) != held), "toxic", SAMPLE)
     sample = cut_lineage(
@@ -270,7 +287,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if set(sizes) != {0, 1}:
         return None
     forms = sample.select(
-        F.xxhash64("doc_id", "text").alias("row"),
+        F.xxhash64("text").alias("row"),
         "label",
         F.explode(F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}\p{M}]+"), lambda w: F.length(w) >= 3))).alias("w"),
     )
@@ -285,16 +302,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         terms.groupBy("term")
         .agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
         .where("a >= 3 AND a >= 9 * b")
-        .orderBy(F.desc(F.col("a") - 9 * F.col("b")), F.desc(F.length("term")), "term")
-        .limit(CANDIDATES)
     )
     rows = cut_lineage(rows)
     listed = [(r["term"].rstrip("*"), r["term"].endswith("*"), r["a"], r["b"]) for r in rows.collect()]
-    holders: dict[str, set[int]] = {}
-    for r in terms.where("label = 1").join(F.broadcast(rows.select("term")), "term").groupBy("row").agg(F.collect_list("term").alias("t")).toLocalIterator():
+    positives = sample.where("label = 1").select(F.xxhash64("text")).distinct().count()
+    # Others never add enough.
+    able = f"a - 4 * b >= {least_gain(positives)}"
+    holders: dict[str, array] = {}
+    toxic = terms.where("label = 1").join(rows.where(able).select("term"), "term").groupBy("row").agg(F.collect_list("term").alias("t"))
+    for number, r in enumerate(toxic.toLocalIterator()):
         for t in r["t"]:
-            holders.setdefault(t, set()).add(r["row"])
-    chosen = choose_terms(listed, holders, sizes[1])
+            holders.setdefault(t, array("l")).append(number)
+    chosen = choose_terms([x for x in listed if _key(*x[:2]) in holders], holders, positives)
     first = Model(chosen, np.zeros(6), {})
 
     def measure(model: Model):
