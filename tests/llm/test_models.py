@@ -263,3 +263,19 @@ def test_all_toxic_terms_enter_the_lexicon():
     rows = [(letters(k), False, 3, 0) for k in range(260)]
     holders = {letters(k): {3 * k, 3 * k + 1, 3 * k + 2} for k in range(260)}
     assert sorted(toxicity.choose_terms(rows, holders, 780)) == [(letters(k), False) for k in range(260)]
+
+
+def test_misspellings_of_words_that_a_stem_covers(spark):
+    forms = ["idiot", "idiot", "idiot", "idiotic", "idiotic", "idiotic", "idiots", "idiots", "idiots"]
+    texts = [(f"you {w} {letters(k)}", 1) for k, w in enumerate(forms)] + [(f"you fine {letters(k)}", 0) for k in range(40)]
+    ids = [i for i in range(1000) if brute.fold(i, 5) != 0]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in zip(ids, texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in zip(ids, texts)], "doc_id long, toxic int")
+    terms = toxicity.fit(docs, labels).terms
+    lexicon = toxicity.Lexicon(terms)
+    assert any(stem for _, stem in terms)
+    for word, near in (("idiot", "idoit"), ("idiotic", "idoitic")):
+        found = lexicon.find(near)
+        assert found and found[1] == 1 and terms[found[0]][0].startswith("idiot")
+        # Beside its stem, a whole word is no kind of its own.
+        assert lexicon.kinds[lexicon.find(word)[0]] == lexicon.kinds[found[0]]

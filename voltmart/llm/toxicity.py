@@ -1,7 +1,8 @@
 """Toxicity: a learned lexicon, misspellings by Levenshtein automaton, quotation by context.
 
 The lexicon is learned from labelled texts: whole words, and stems (beginnings of words) for terms
-that occur with many endings. It is kept as a trie. A word is looked up by walking the trie and the
+that occur with many endings. The whole words that a stem covers are kept beside it, as only whole
+words are searched with edits. The lexicon is a trie. A word is looked up by walking the trie and the
 Levenshtein automaton of the word side by side, so all terms within the allowed distance are found
 without comparing the word with each term. A hit inside quotation marks, or near a word of report,
 counts less than a direct one. The document's score is a logistic function of its hits.
@@ -75,11 +76,21 @@ class Lexicon:
             else:
                 node.word = k
                 node.bound = allowed(term)
+        # A word that begins with a stem of the lexicon is of the stem's kind.
+        self.kinds = [self._kind(term, k) for k, (term, _) in enumerate(terms)]
         self.nodes: list[Node] = []
         self._number(self.root)
         self.seen: dict[str, tuple[int, int] | None] = {}
         self._reset()
 
+    def _kind(self, term: str, k: int) -> int:
+        node = self.root
+        for c in term:
+            node = node.next[c]
+            if node.stem >= 0:
+                return node.stem
+        return k
+
     def _number(self, node: Node) -> int:
         """Give the node a number, and the edits that any whole term below it tolerates."""
         node.number = len(self.nodes)
@@ -224,7 +235,7 @@ def features(text: str, lexicon: Lexicon, strange: dict[str, float]) -> tuple[np
         else:
             direct += weight
         if weight >= 0.5:
-            kinds.add(term)
+            kinds.add(lexicon.kinds[term])
     return np.array([np.log1p(direct), np.log1p(fuzzy), np.log1p(quoted), len(kinds) ** 0.5, np.sqrt((direct + fuzzy) / max(n, 1))]), odd
 
 
@@ -266,6 +277,18 @@ def choose_terms(rows: list[tuple[str, bool, int, int]], holders: dict[str, Sequ
     return chosen
 
 
+def stem_words(rows: list[tuple[str, bool, int, int]], chosen: list[tuple[str, bool]]) -> list[tuple[str, bool]]:
+    """The whole words among the rows that a chosen stem covers and that are not chosen themselves.
+
+    Only whole words are searched with edits, so without these the misspellings of a stem's words
+    would be missed.
+    """
+    stems = {t for t, stem in chosen if stem}
+    have = set(chosen)
+    words = sorted(t for t, stem, _, _ in rows if not stem and (t, False) not in have)
+    return [(t, False) for t in words if any(t[:n] in stems for n in STEM)]
+
+
 def _key(term: str, stem: bool) -> str:
     return term + "*" if stem else term
 
@@ -314,6 +337,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for t in r["t"]:
             holders.setdefault(t, array("l")).append(number)
     chosen = choose_terms([x for x in listed if _key(*x[:2]) in holders], holders, positives)
+    chosen += stem_words(listed, chosen)
     first = Model(chosen, np.zeros(6), {})
 
     def measure(model: Model):
