@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from voltmart.llm import merkle
+from voltmart.llm.best_fit import pack_documents
 from voltmart.llm.byte_bpe import token_digests
 from voltmart.llm.jaccard_join import jaccard_join
 from voltmart.llm.ngram_lm import language_model
@@ -19,11 +21,13 @@ from voltmart.llm.text import prepare, table
 from voltmart.llm.token_counts import token_counts
 from voltmart.llm.toxicity import toxicity
 from voltmart.llm.vector_join import near_vectors
+from voltmart.llm.whitening import whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 BPE_FILE = "byte_bpe_multi_50k.tiktoken"
+PACKED_FILE = "byte_bpe_50k.json"
 END_OF_DOCUMENT = 50_256  # the first id the vocabulary leaves free
 
 
@@ -93,6 +97,22 @@ def _site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op11_merkle_manifest", merkle.SQL)
+def _merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.merkle_manifest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_best_fit")
+def _best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = str(public_tokenizers.path(PACKED_FILE))
+    return pack_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+@query("op13_whitening")
+def _whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening(table(spark, sf_dir, "embeddings"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
