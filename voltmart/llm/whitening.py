@@ -122,7 +122,7 @@ def scatter(gridded: DataFrame) -> tuple[int, list[int], np.ndarray]:
 
 
 def is_prime(n: int) -> bool:
-    """Exact for n below 2^32."""
+    """Exact for n below 3,215,031,751, beyond all primes used here."""
     if n < 2 or any(n % p == 0 for p in (2, 3, 5, 7) if n != p):
         return False
     odd, twos = n - 1, 0
