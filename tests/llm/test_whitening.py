@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import decimal
 import math
-from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -142,22 +141,17 @@ def test_no_variance_no_rows(spark):
 
 
 def test_close_roots_are_told_apart(spark):
-    """Two eigenvalues that differ by 1e-15: a dense solver mixes their vectors."""
-    q, _ = np.linalg.qr(np.random.default_rng(5).normal(size=(5, 5)))
-    scale = 10**18
-    m = np.zeros((5, 5), object)
-    for value, u in zip((10**20, 10**20 + 10**5, 10**19, 10**18, 10**17), q.T):
-        f = [Fraction(x) for x in u.tolist()]
-        m += np.array([[int(a * b * value) for b in f] for a in f], object)
-    m = (m + m.T) // 2 + np.eye(5, dtype=int).astype(object) * scale // 10**6
+    """Roots that agree to 20 digits and a basis known exactly: a dense solver mixes their vectors."""
+    v = np.array([1, 2, 3, 4, 5], object)
+    size = int(v.dot(v))
+    basis = size * np.eye(5, dtype=int).astype(object) - 2 * np.outer(v, v)  # orthogonal, of norm ``size``
+    wanted = [10**20 + 1, 10**20, 10**10, 7, 0]
+    m = sum(value * np.outer(u, u) for value, u in zip(wanted, basis))
     values, vectors = w.spectrum(spark, m, 5)
-    for value, u in zip(values, vectors):
-        f = [Fraction(x) for x in u.tolist()]
-        image = [sum(int(a) * b for a, b in zip(row, f)) for row in m]
-        top = max(abs(a - Fraction(value) * b) for a, b in zip(image, f))
-        assert top < Fraction(value) * Fraction(1, 10**14)
-    gram = vectors @ vectors.T
-    assert np.abs(gram - np.eye(5)).max() < 1e-14
+    assert values == [float(value * size**2) for value in wanted[:4]]
+    for got, u in zip(vectors, basis):
+        exact = (u / size).astype(float)
+        assert min(np.abs(got - exact).max(), np.abs(got + exact).max()) < 1e-15
 
 
 def test_large_values_have_null_deviation(spark):
