@@ -421,11 +421,12 @@ def g22(v):
     "g23_finish_rentals",
     sql(
         """
+        WITH stops AS (SELECT order_id, min(stopped_at) AS stopped_at FROM stop_requests GROUP BY order_id)
         SELECT r.* EXCLUDE (status, finished_at),
                CASE WHEN r.status = 'ACTIVE' AND s.order_id IS NOT NULL THEN 'FINISHED' ELSE r.status END AS status,
                CASE WHEN r.status = 'ACTIVE' AND s.order_id IS NOT NULL THEN s.stopped_at ELSE r.finished_at END AS finished_at,
                r.status = 'ACTIVE' AND s.order_id IS NOT NULL AS changed
-        FROM rentals r LEFT JOIN stop_requests s ON s.order_id = r.id""",
+        FROM rentals r LEFT JOIN stops s ON s.order_id = r.id""",
         "rentals",
         "stop_requests",
     ),

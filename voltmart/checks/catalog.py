@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from voltmart.checks import (  # noqa: F401
     billing_checks,
+    capture_checks,
     monitoring_checks,
     rental_checks,
     streaming_checks,

@@ -9,7 +9,7 @@ from voltmart.checks.billing_checks import CFG, REPLAY_SQL
 from voltmart.checks.monitoring_checks import _RUNS, HOUR, slide_sql
 from voltmart.checks.registry import query
 from voltmart.checks.sqlviews import sql
-from voltmart.checks.warehouse_checks import _KPI_ROWS, kpi_sql
+from voltmart.checks.warehouse_checks import KPI_ROWS, kpi_sql
 from voltmart.operators import mart
 from voltmart.plans.replay import opening_state
 from voltmart.session import scratch_path
@@ -132,7 +132,7 @@ def s6(v):
     return batches.detect_failures(live(v).api_events(), scratch_path(v.spark, "s6"), F.col("status") == "error")
 
 
-@query("s7_mart_refresh", kpi_sql(_KPI_ROWS))
+@query("s7_mart_refresh", kpi_sql(KPI_ROWS))
 def s7(v):
     s = live(v)
     parts = mart.quote_parts(s.quotes()).unionByName(mart.rental_parts(s.rentals_base())).unionByName(

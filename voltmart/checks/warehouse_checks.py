@@ -131,8 +131,8 @@ def sorted_write(v):
     """Date-range read of a table written in time order: the scan prunes by row-group statistics."""
     store = LayerStore(v.spark, scratch_path(v.spark, "sorted"))
     store.bootstrap()
-    loads = {"payment_attempts": extract.full_load(v.payment_attempts(), TABLES["payment_attempts"].schema, AS_OF)}
-    store.publish("raw_billing", "v1", loads, AS_OF, {"payment_attempts": "created_at"})
+    loads = {t: extract.full_load(getattr(v, t)(), TABLES[t].schema, AS_OF) for t in EXTRACTS["billing"]}
+    store.publish("raw_billing", "v1", loads, AS_OF, warehouse.ORDER["raw_billing"])
     back = store.read("raw_billing", "payment_attempts")
     return back.filter(F.col("created_at") >= F.lit("2000-06-15").cast("timestamp")).select(
         "id", "rental_id", "created_at"
@@ -280,7 +280,12 @@ kpi AS (
 )"""
 _KPI_NEEDS = ("quotes", "rentals", "payment_attempts")
 _MEASURES = "quotes_cnt, rentals_started_cnt, rentals_finished_cnt, payments_attempts_cnt, payments_success_cnt, revenue_amount"
-_KPI_ROWS = f"SELECT CAST(day AS VARCHAR) AS day, {_MEASURES}, avg_hundredths / 100 AS avg_rental_duration_min FROM kpi"
+KPI_ROWS = f"SELECT CAST(day AS VARCHAR) AS day, {_MEASURES}, avg_hundredths / 100 AS avg_rental_duration_min FROM kpi"
+
+
+def kpi_text(rentals: str = "rentals", payments: str = "payment_attempts") -> str:
+    """The KPI's clauses over other tables of rentals and payments."""
+    return _KPI.strip().replace("FROM rentals", f"FROM {rentals}").replace("FROM payment_attempts", f"FROM {payments}")
 
 
 def kpi_sql(body: str) -> str:
@@ -368,7 +373,7 @@ def c8(v):
     return mart.payments_per_day(v.payment_attempts())
 
 
-@query("c9_calendar_join", kpi_sql(_KPI_ROWS))
+@query("c9_calendar_join", kpi_sql(KPI_ROWS))
 def c9(v):
     rentals, payments = v.rentals(), v.payment_attempts()
     return mart.join_daily(
@@ -380,12 +385,12 @@ def c9(v):
     )
 
 
-@query("c10_kpi_in_order", kpi_sql(_KPI_ROWS + " ORDER BY day"))
+@query("c10_kpi_in_order", kpi_sql(KPI_ROWS + " ORDER BY day"))
 def c10(v):
     return mart.kpi_in_order(kpi(v))
 
 
-@query("c11_kpi_daily", kpi_sql(_KPI_ROWS))
+@query("c11_kpi_daily", kpi_sql(KPI_ROWS))
 def c11(v):
     return kpi(v)
 
@@ -437,14 +442,15 @@ _TENTHS = (
     "CASE WHEN sum(payments_attempts_cnt) > 0 THEN CAST((2000 * sum(payments_success_cnt) + "
     "sum(payments_attempts_cnt)) // (2 * sum(payments_attempts_cnt)) AS BIGINT) / 10 ELSE 0 END"
 )
+SUCCESS_RATE = (
+    f"SELECT value, CASE WHEN value < 50 THEN 'red' WHEN value < 80 THEN 'yellow' ELSE 'green' END AS band "
+    f"FROM (SELECT {_TENTHS} AS value FROM kpi)"
+)
 
 
 @query(
     "d7_success_rate",
-    kpi_sql(
-        f"SELECT value, CASE WHEN value < 50 THEN 'red' WHEN value < 80 THEN 'yellow' ELSE 'green' END AS band "
-        f"FROM (SELECT {_TENTHS} AS value FROM kpi)"
-    ),
+    kpi_sql(SUCCESS_RATE),
 )
 def d7(v):
     return bi.success_rate(kpi(v)).withColumn("band", bi.success_band(F.col("value")))
@@ -461,13 +467,13 @@ def d8(v):
     return bi.daily_series(kpi(v))
 
 
-@query(
-    "d9_detail_table",
-    kpi_sql(
-        f"SELECT CAST(day AS VARCHAR) AS day, {_MEASURES}, "
-        "coalesce(((2 * avg_hundredths + 10) // 20) / 10, 0) AS avg_rental_duration_min FROM kpi ORDER BY 1 DESC"
-    ),
+KPI_DETAIL = (
+    f"SELECT CAST(day AS VARCHAR) AS day, {_MEASURES}, "
+    "coalesce(((2 * avg_hundredths + 10) // 20) / 10, 0) AS avg_rental_duration_min FROM kpi ORDER BY 1 DESC"
 )
+
+
+@query("d9_detail_table", kpi_sql(KPI_DETAIL))
 def d9(v):
     return bi.detail_table(kpi(v))
 
@@ -523,7 +529,7 @@ def d17(v):
 
 @query(
     "d18_last_30_days",
-    kpi_sql(_KPI_ROWS + f" WHERE day BETWEEN DATE '{DAY}' - 30 AND DATE '{DAY}'"),
+    kpi_sql(KPI_ROWS + f" WHERE day BETWEEN DATE '{DAY}' - 30 AND DATE '{DAY}'"),
 )
 def d18(v):
     return bi.last_days(kpi(v), DAY, 30)
@@ -569,7 +575,7 @@ def d20(v):
     return bi.latest_rounded(kpi(v), 5)
 
 
-@query("d21_latest_10_days", kpi_sql(_KPI_ROWS + " ORDER BY 1 DESC LIMIT 10"))
+@query("d21_latest_10_days", kpi_sql(KPI_ROWS + " ORDER BY 1 DESC LIMIT 10"))
 def d21(v):
     return bi.latest(kpi(v), 10)
 
@@ -657,7 +663,7 @@ def f3(v):
     )
 
 
-@query("f4_run_order", kpi_sql(_KPI_ROWS))
+@query("f4_run_order", kpi_sql(KPI_ROWS))
 def f4(v):
     """Extract, core, mart and export in order; the KPI is read back from its CSV export."""
     root = _run(v, with_export=True)

@@ -145,6 +145,11 @@ def payment_parts(payments: DataFrame) -> DataFrame:
     return payments.select(F.inline(F.array(entry)))
 
 
+def negated(parts: DataFrame) -> DataFrame:
+    """Entries that take their share off again: of rows that were changed or deleted."""
+    return parts.select("day", *[(-F.col(c)).cast(parts.schema[c].dataType).alias(c) for c in PARTIALS])
+
+
 def daily_partials(parts: DataFrame) -> DataFrame:
     """Partial counts summed per day; sums of sums stay exact, so batches can be merged."""
     return parts.filter(F.col("day").isNotNull()).groupBy("day").agg(*[F.sum(c).alias(c) for c in PARTIALS])

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from voltmart.functions.time import as_ts
 from voltmart.schemas import LAYERS
+from voltmart.session import configure
 from voltmart.sources.extract import conform
 
 COMMITS = "version string, folder string, seq long, rows string, committed_at timestamp"
@@ -33,7 +34,7 @@ class LayerStore:
     """Tables of all layers below one folder that every executor can reach."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
+        self.spark = configure(spark)
         self.root = root.rstrip("/")
 
     def _folder(self, layer: str, version: str, table: str) -> str:
