@@ -225,7 +225,8 @@ def test_rule_table_with_reference_values(spark):
     beats = [(i, "rental-core", at(i * 15)) for i in range(80)] + [(900, "billing-worker", at(0)), (901, "billing-worker", at(1185))]
     ev = spark.createDataFrame(beats, "id bigint, service string, ts timestamp").withColumns(
         {"duration_s": F.lit(9.0), "circuit": F.lit("payment"), "error_type": F.lit("x"), "success": F.lit(False),
-         "kind": F.lit("quote"), "tie": F.col("id"), "value": F.lit(0.0)}
+         "kind": F.lit("quote"), "tie": F.col("id"), "value": F.lit(0.0),
+         **{c: F.lit("x") for c in ("handler", "database", "operation", "api_service", "endpoint")}}
     )
     runs = metrics.failure_runs(ev, F.lit(True))
     sources = {r.source: ev for r in alerts.RULES.values()} | {
@@ -244,7 +245,7 @@ def test_outlier_times_do_not_stretch_the_grid(spark):
     ev = spark.createDataFrame(
         [(1, "core", at(0), 80.0), (2, "core", at(60), 10.0), (3, "core", dt.datetime(9999, 1, 1), 90.0)],
         "id bigint, service string, ts timestamp, value double",
-    ).withColumn("tie", F.col("id"))
+    ).withColumns({"tie": F.col("id"), "database": F.lit("main")})
     got = rows(alerts.alert(alerts.RULES["HighDatabaseConnections"], ev), "pending_since")
     assert [(r[2], r[3]) for r in got] == [(at(15), at(60)), (dt.datetime(9999, 1, 1, 0, 0, 15),) * 2]
     down = alerts.alert(alerts.RULES["ServiceDown"], ev).collect()

@@ -111,6 +111,37 @@ def m5(v):
     return metrics.active_rentals_gauge(v.rentals_base())
 
 
+@query(
+    "m4_debt_changes",
+    sql(
+        """
+        SELECT service, ts, id, CAST(delta AS BIGINT) AS delta,
+               CAST(sum(delta) OVER (PARTITION BY service ORDER BY ts, id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS value
+        FROM (SELECT *, CASE operation WHEN 'add' THEN amount WHEN 'reduce' THEN -amount ELSE 0 END AS delta FROM debt_operations)""",
+        "debt_operations",
+    ),
+)
+def m4_changes(v):
+    """Debt after every single operation, those of one second included."""
+    return metrics.debt_changes(v.debt_operations())
+
+
+@query(
+    "m5_active_rental_changes",
+    sql(
+        """
+        SELECT 'rental-core' AS service, ts, id, CAST(delta AS BIGINT) AS delta,
+               CAST(sum(delta) OVER (ORDER BY ts, id, delta ROWS UNBOUNDED PRECEDING) AS BIGINT) AS value
+        FROM (SELECT id, started_at AS ts, 1 AS delta FROM rentals_base WHERE status <> 'FAILED'
+              UNION ALL SELECT id, finished_at, -1 FROM rentals_base WHERE status <> 'FAILED' AND finished_at IS NOT NULL)""",
+        "rentals_base",
+    ),
+)
+def m5_changes(v):
+    """Active rentals after every single start and end."""
+    return metrics.active_rental_changes(v.rentals_base())
+
+
 @query(
     "m6_last_cycle",
     sql(
@@ -417,7 +448,7 @@ def gauge_values(rule: alerts.Rule, source: str) -> str:
 
 ERRORS = "src AS (SELECT * FROM api_events WHERE status = 'error')"
 
-R6_RULE = tuned("HighErrorRate", threshold=0, window_s=HOUR, step_s=HOUR, hold_s=2 * HOUR)
+R6_RULE = tuned("HighErrorRate", labels=("service",), threshold=0, window_s=HOUR, step_s=HOUR, hold_s=2 * HOUR)
 
 
 @query(
@@ -431,7 +462,7 @@ def r6(v):
     return alerts.hold_stretches(points, R6_RULE.step_s, R6_RULE.hold_s)
 
 
-R7 = tuned("HighErrorRate", threshold=0.0006, window_s=HOUR, step_s=HOUR // 2, hold_s=HOUR)
+R7 = tuned("HighErrorRate", labels=("service",), threshold=0.0006, window_s=HOUR, step_s=HOUR // 2, hold_s=HOUR)
 
 
 @query("r7_high_error_rate", sql("WITH " + ERRORS + rule_sql(R7, rate_values(R7, "src")), "api_events"))
@@ -444,9 +475,9 @@ def _quantile_rule(name: str, rule: alerts.Rule) -> None:
     query(name, sql(rule_sql(rule, values), "api_events"))(lambda v: alerts.alert(rule, v.api_events()))
 
 
-_quantile_rule("r8_high_response_time", tuned("HighResponseTime", window_s=HOUR, step_s=HOUR // 2, hold_s=HOUR, threshold=1))
-_quantile_rule("r15_slow_queries", tuned("SlowDatabaseQueries", window_s=HOUR, step_s=HOUR // 2, hold_s=HOUR, threshold=0.9))
-_quantile_rule("r18_api_latency", tuned("ExternalAPIHighLatency", window_s=HOUR, step_s=HOUR // 2, hold_s=HOUR, threshold=1.5))
+_quantile_rule("r8_high_response_time", tuned("HighResponseTime", labels=("service",), window_s=HOUR, step_s=HOUR // 2, hold_s=HOUR, threshold=1))
+_quantile_rule("r15_slow_queries", tuned("SlowDatabaseQueries", labels=("service",), window_s=HOUR, step_s=HOUR // 2, hold_s=HOUR, threshold=0.9))
+_quantile_rule("r18_api_latency", tuned("ExternalAPIHighLatency", labels=("service", "circuit"), window_s=HOUR, step_s=HOUR // 2, hold_s=HOUR, threshold=1.5))
 
 R9 = tuned("ServiceDown", step_s=300, hold_s=600)
 
@@ -476,7 +507,7 @@ def r10(v):
     return alerts.alert(R10, metrics.debt_gauge(v.debt_operations()).withColumn("tie", F.col("ts")))
 
 
-R11 = tuned("HighPaymentFailureRate", window_s=2 * DAY, step_s=DAY, hold_s=3 * DAY)
+R11 = tuned("HighPaymentFailureRate", labels=(), window_s=2 * DAY, step_s=DAY, hold_s=3 * DAY)
 
 
 @query(
@@ -508,7 +539,7 @@ def r12(v):
     return alerts.alert(R12, metrics.outages(runs(v)))
 
 
-R13 = tuned("BillingWorkerStuck", window_s=HOUR, step_s=HOUR // 4, hold_s=HOUR)
+R13 = tuned("BillingWorkerStuck", labels=(), window_s=HOUR, step_s=HOUR // 4, hold_s=HOUR)
 
 
 @query(
@@ -524,7 +555,7 @@ def r13(v):
     return alerts.alert(R13, v.api_events().filter("kind = 'view'"))
 
 
-R14 = tuned("HighDatabaseConnections", step_s=HOUR, hold_s=HOUR)
+R14 = tuned("HighDatabaseConnections", labels=("service",), step_s=HOUR, hold_s=HOUR)
 
 
 @query(
@@ -600,3 +631,155 @@ def r19(v):
 )
 def r20(v):
     return rates.last_in_window(v.api_events(), ["service", "circuit"], "ts", "id", "value_c", HOUR)
+
+
+# ----- the rules as they are written: their own labels, ranges, grid, thresholds and holds
+
+
+def as_written(rule_id: str, name: str, needs: tuple[str, ...], source: str, values):
+    """Register a rule unchanged; ``source`` is SQL that yields its labels, ts and what it counts."""
+    rule = alerts.RULES[name]
+    text = sql(f"WITH src AS ({source})" + rule_sql(rule, values(rule, "src")), *needs)
+    return query(f"{rule_id}_as_written", text)
+
+
+def quantile_values(rule: alerts.Rule, source: str) -> str:
+    return quantile_sql(source, list(rule.labels), rule.extra["bounds"], rule.window_s, rule.step_s)
+
+
+def quiet_values(rule: alerts.Rule, source: str) -> str:
+    """0 at grid times whose range has no event; an ``up`` rule looks one step back."""
+    window = rule.step_s if rule.kind == "up" else rule.window_s
+    return f"SELECT *, increase AS value FROM ({increase_sql(source, list(rule.labels), window, rule.step_s)})"
+
+
+def held_values(rule: alerts.Rule, source: str) -> str:
+    """The last sample of a step shows from the step's end until the next one with samples has ended."""
+    cols = "".join(f"{c}, " for c in rule.labels)
+    step = f"to_seconds({rule.step_s})"
+    return f"""
+SELECT {cols}value, unnest(generate_series(p + {step}, coalesce(lead(p) OVER (PARTITION BY {cols[:-2]} ORDER BY p), newest + {step}), {step})) AS t
+FROM (SELECT {cols}{floor_sql("ts", rule.step_s)} AS p, arg_max(value, (ts, tie)) AS value FROM {source} GROUP BY {cols}p),
+     (SELECT max({floor_sql("ts", rule.step_s)}) AS newest FROM {source})"""
+
+
+def held_breaches(rule: alerts.Rule, source: str) -> str:
+    """Episodes from stretches, for gauges whose grid of all times would be too long for SQL."""
+    cols = ", ".join(rule.labels)
+    step = f"to_seconds({rule.step_s})"
+    op = {"==": "="}.get(rule.op, rule.op)
+    wait = -(-rule.hold_s // rule.step_s) * rule.step_s
+    return f"""
+SELECT '{rule.name}' AS rule, series, min(a) AS pending_since, max(b) AS last_at,
+       CAST(sum(epoch_us(b - a) // {rule.step_s * 1_000_000} + 1) AS BIGINT) AS points, CAST(max(value) AS DOUBLE) AS highest,
+       CASE WHEN min(a) + to_seconds({wait}) <= max(b) THEN min(a) + to_seconds({wait}) END AS firing_since
+FROM (
+  SELECT *, sum(CASE WHEN a - before <= {step} THEN 0 ELSE 1 END) OVER (PARTITION BY series ORDER BY a) AS island
+  FROM (
+    SELECT *, lag(b) OVER (PARTITION BY series ORDER BY a) AS before
+    FROM (
+      SELECT {" || '/' || ".join(rule.labels)} AS series, value, p + {step} AS a,
+             coalesce(lead(p) OVER (PARTITION BY {cols} ORDER BY p), newest + {step}) AS b
+      FROM (SELECT {cols}, {floor_sql("ts", rule.step_s)} AS p, arg_max(value, (ts, tie)) AS value FROM {source} GROUP BY {cols}, 2),
+           (SELECT max({floor_sql("ts", rule.step_s)}) AS newest FROM {source})
+    )
+    WHERE value {op} {rule.threshold}
+  )
+)
+GROUP BY series, island"""
+
+
+_API = ("api_events",)
+
+
+@as_written("r7", "HighErrorRate", _API, "SELECT service, circuit AS handler, ts FROM api_events WHERE status = 'error'", rate_values)
+def r7_written(v):
+    return alerts.alert(alerts.RULES["HighErrorRate"], v.api_events().filter("status = 'error'").withColumn("handler", F.col("circuit")))
+
+
+@as_written("r8", "HighResponseTime", _API, "SELECT service, circuit AS handler, ts, duration_s FROM api_events", quantile_values)
+def r8_written(v):
+    return alerts.alert(alerts.RULES["HighResponseTime"], v.api_events().withColumn("handler", F.col("circuit")))
+
+
+@as_written("r9", "ServiceDown", _API, "SELECT service, ts FROM api_events", quiet_values)
+def r9_written(v):
+    return alerts.alert(alerts.RULES["ServiceDown"], v.api_events())
+
+
+_DEBT_RULE = alerts.RULES["HighDebtAmount"]
+_CHANGES = """
+SELECT service, ts, id AS tie, sum(delta) OVER (PARTITION BY service ORDER BY ts, id ROWS UNBOUNDED PRECEDING) AS value
+FROM (SELECT *, CASE operation WHEN 'add' THEN amount WHEN 'reduce' THEN -amount ELSE 0 END AS delta FROM debt_operations)"""
+
+
+@query("r10_as_written", sql(f"WITH src AS ({_CHANGES})" + held_breaches(_DEBT_RULE, "src"), "debt_operations"))
+def r10_written(v):
+    return alerts.alert(_DEBT_RULE, metrics.debt_changes(v.debt_operations()).withColumnRenamed("id", "tie"))
+
+
+@as_written("r11", "HighPaymentFailureRate", ("payment_attempts",), "SELECT 'billing-worker' AS service, created_at AS ts, success FROM payment_attempts", ratio_values)
+def r11_written(v):
+    attempts = v.payment_attempts().withColumns({"ts": F.col("created_at"), "service": F.lit("billing-worker")})
+    return alerts.alert(alerts.RULES["HighPaymentFailureRate"], attempts)
+
+
+@as_written("r13", "BillingWorkerStuck", _API, "SELECT service, ts FROM api_events WHERE kind = 'view'", quiet_values)
+def r13_written(v):
+    """Views stand for finished billing cycles."""
+    return alerts.alert(alerts.RULES["BillingWorkerStuck"], v.api_events().filter("kind = 'view'"))
+
+
+@as_written("r14", "HighDatabaseConnections", _API, "SELECT service, circuit AS database, ts, id AS tie, value_c / 100 AS value FROM api_events", held_values)
+def r14_written(v):
+    samples = v.api_events().select(
+        "service", F.col("circuit").alias("database"), "ts", F.col("id").alias("tie"), (F.col("value_c") / 100).alias("value")
+    )
+    return alerts.alert(alerts.RULES["HighDatabaseConnections"], samples)
+
+
+@as_written("r15", "SlowDatabaseQueries", _API, "SELECT service, circuit AS database, kind AS operation, ts, duration_s FROM api_events", quantile_values)
+def r15_written(v):
+    named = v.api_events().withColumns({"database": F.col("circuit"), "operation": F.col("kind")})
+    return alerts.alert(alerts.RULES["SlowDatabaseQueries"], named)
+
+
+@as_written(
+    "r16",
+    "LowRentalConversionRate",
+    ("rentals_base", "quotes"),
+    "SELECT started_at AS ts, 'start' AS kind FROM rentals_base WHERE status <> 'FAILED' UNION ALL SELECT created_at, 'quote' FROM quotes",
+    ratio_values,
+)
+def r16_written(v):
+    started = metrics.rental_increments(v.rentals_base()).filter("status = 'ACTIVE'")
+    starts = started.select("ts", F.lit("start").alias("kind"))
+    made = v.quotes().select(F.col("created_at").alias("ts"), F.lit("quote").alias("kind"))
+    return alerts.alert(alerts.RULES["LowRentalConversionRate"], starts.unionByName(made))
+
+
+@as_written("r17", "HighWorkerErrorRate", _API, "SELECT service, circuit AS error_type, ts FROM api_events WHERE status = 'error'", rate_values)
+def r17_written(v):
+    errors = v.api_events().filter("status = 'error'").withColumn("error_type", F.col("circuit"))
+    return alerts.alert(alerts.RULES["HighWorkerErrorRate"], errors)
+
+
+@as_written(
+    "r18", "ExternalAPIHighLatency", _API,
+    "SELECT service, circuit AS api_service, kind AS endpoint, ts, duration_s FROM api_events", quantile_values,
+)
+def r18_written(v):
+    named = v.api_events().withColumns({"api_service": F.col("circuit"), "endpoint": F.col("kind")})
+    return alerts.alert(alerts.RULES["ExternalAPIHighLatency"], named)
+
+
+_IDLE_RULE = alerts.RULES["NoActiveRentals"]
+_ACTIVE = """
+SELECT 'rental-core' AS service, ts, id AS tie, sum(delta) OVER (ORDER BY ts, id, delta ROWS UNBOUNDED PRECEDING) AS value
+FROM (SELECT id, started_at AS ts, 1 AS delta FROM rentals_base WHERE status <> 'FAILED'
+      UNION ALL SELECT id, finished_at, -1 FROM rentals_base WHERE status <> 'FAILED' AND finished_at IS NOT NULL)"""
+
+
+@query("r19_as_written", sql(f"WITH src AS ({_ACTIVE})" + held_breaches(_IDLE_RULE, "src"), "rentals_base"))
+def r19_written(v):
+    return alerts.alert(_IDLE_RULE, metrics.active_rental_changes(v.rentals_base()).withColumnRenamed("id", "tie"))

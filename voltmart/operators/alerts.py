@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltmart.functions.buckets import API_DURATION_BOUNDS, DB_QUERY_BOUNDS
+from voltmart.functions.ordered import PLACE, in_bucket, over_buckets, with_buckets
 from voltmart.functions.time import MICROS, add_seconds
 from voltmart.operators import rates
 
@@ -42,22 +43,22 @@ class Rule:
 RULES: dict[str, Rule] = {
     r.name: r
     for r in [
-        Rule("HighErrorRate", "rate", "http_errors", ("service",), ">", 0.1, 120),
-        Rule("HighResponseTime", "quantile", "http_durations", ("service",), ">", 2, 300,
+        Rule("HighErrorRate", "rate", "http_errors", ("service", "handler"), ">", 0.1, 120),
+        Rule("HighResponseTime", "quantile", "http_durations", ("service", "handler"), ">", 2, 300,
              extra={"bounds": API_DURATION_BOUNDS, "value": "duration_s"}),
         Rule("ServiceDown", "up", "heartbeats", ("service",), "==", 0, 60, severity="critical"),
         Rule("HighDebtAmount", "gauge", "debt_gauge", ("service",), ">", 1_000_000, 300),
-        Rule("HighPaymentFailureRate", "ratio", "payment_attempts", (), ">", 0.2, 180,
+        Rule("HighPaymentFailureRate", "ratio", "payment_attempts", ("service",), ">", 0.2, 180,
              extra={"top": "NOT success", "bottom": "TRUE"}),
         Rule("CircuitBreakerOpen", "state", "outages", ("service", "circuit"), ">", 0, 60),
-        Rule("BillingWorkerStuck", "absence", "billing_cycles", (), "==", 0, 600, 600, severity="critical"),
-        Rule("HighDatabaseConnections", "gauge", "connections", ("service",), ">", 50, 300),
-        Rule("SlowDatabaseQueries", "quantile", "query_durations", ("service",), ">", 1, 300,
+        Rule("BillingWorkerStuck", "absence", "billing_cycles", ("service",), "==", 0, 600, 600, severity="critical"),
+        Rule("HighDatabaseConnections", "gauge", "connections", ("service", "database"), ">", 50, 300),
+        Rule("SlowDatabaseQueries", "quantile", "query_durations", ("service", "database", "operation"), ">", 1, 300,
              extra={"bounds": DB_QUERY_BOUNDS, "value": "duration_s"}),
         Rule("LowRentalConversionRate", "ratio", "quotes_and_starts", (), "<", 0.1, 600, 3600,
              extra={"top": "kind = 'start'", "bottom": "kind = 'quote'"}),
         Rule("HighWorkerErrorRate", "rate", "worker_errors", ("service", "error_type"), ">", 0.1, 300),
-        Rule("ExternalAPIHighLatency", "quantile", "api_durations", ("service", "circuit"), ">", 5, 300,
+        Rule("ExternalAPIHighLatency", "quantile", "api_durations", ("service", "api_service", "endpoint"), ">", 5, 300,
              extra={"bounds": API_DURATION_BOUNDS, "value": "duration_s"}),
         Rule("NoActiveRentals", "gauge", "active_rentals_gauge", ("service",), "==", 0, 1800),
     ]
@@ -70,21 +71,19 @@ def _points(df: DataFrame) -> DataFrame:
 
 
 def _rate(events: DataFrame, rule: Rule) -> DataFrame:
-    out = rates.rate(events, list(rule.labels), "ts", rule.window_s, rule.step_s)
-    return _points(out.withColumn("value", F.col("per_second")))
+    out = rates.rate_stretches(events, list(rule.labels), "ts", rule.window_s, rule.step_s)
+    return out.withColumn("value", F.col("per_second"))
 
 
 def _quantile(events: DataFrame, rule: Rule) -> DataFrame:
-    return _points(
-        rates.quantile(
-            events, list(rule.labels), "ts", rule.extra["value"], rule.extra["bounds"], rule.window_s, rule.step_s
-        )
+    return rates.quantile_stretches(
+        events, list(rule.labels), "ts", rule.extra["value"], rule.extra["bounds"], rule.window_s, rule.step_s
     )
 
 
 def _ratio(events: DataFrame, rule: Rule) -> DataFrame:
     top, bottom = F.expr(rule.extra["top"]), F.expr(rule.extra["bottom"])
-    return _points(rates.ratio(events, list(rule.labels), "ts", top, bottom, rule.window_s, rule.step_s))
+    return rates.ratio_stretches(events, list(rule.labels), "ts", top, bottom, rule.window_s, rule.step_s)
 
 
 def _gauge(samples: DataFrame, rule: Rule) -> DataFrame:
@@ -156,17 +155,35 @@ def hold_stretches(stretches: DataFrame, step_s: int, hold_s: int) -> DataFrame:
     """Episodes of breaching stretches ``(rule, series, first, last, value)``.
 
     Stretches that follow each other without a missing grid time form an episode. It fires at the
-    first grid time at least ``hold_s`` after its start, if it lasts that long. A task orders the
-    stretches of a series: at most one per change of its value, however long they last.
+    first grid time at least ``hold_s`` after its start, if it lasts that long. Stretches are put in
+    order inside days, one carry per day and series joins them, so a series that breaches all
+    the time is spread over tasks.
     """
-    w = Window.partitionBy("rule", "series").orderBy("first")
+    keys, order = ["rule", "series"], ["first"]
     wait = -(-hold_s // step_s) * step_s
     width = F.lit(step_s * MICROS)
     span = F.unix_micros("last") - F.unix_micros("first")
+    rows = with_buckets(stretches, keys, "first", widths_s=(86_400,))
+
+    def apart(first: str, before: Column) -> Column:
+        return F.coalesce(F.unix_micros(first) - F.unix_micros(before) > width, F.lit(True)).cast("int")
+
+    # Inside a day all rows but its first know whether they begin an episode; the carry tells the first.
+    w = in_bucket(keys, order)
+    local = rows.withColumns({"_rn": F.row_number().over(w), "_prev": F.lag("last").over(w)})
+    local = local.withColumn("_begins", F.when(F.col("_rn") > 1, apart("first", F.col("_prev"))).otherwise(0))
+    local = local.withColumn("_inside", F.sum("_begins").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    days = local.groupBy(*keys, *PLACE).agg(
+        F.min("first").alias("_first"), F.max_by("last", "_rn").alias("_end"), F.sum("_begins").alias("_n")
+    )
+    each = over_buckets(keys)
+    days = days.withColumn("_begun", apart("_first", F.lag("_end").over(each)))
+    earlier = F.sum(F.col("_n") + F.col("_begun")).over(each.rowsBetween(Window.unboundedPreceding, -1))
+    carry = days.select(*keys, *PLACE, (F.coalesce(earlier, F.lit(0)) + F.col("_begun")).alias("_earlier"))
     episodes = (
-        stretches.withColumn("_gap", F.unix_micros("first") - F.unix_micros(F.lag("last").over(w)) > width)
-        .withColumn("_island", F.sum(F.coalesce(F.col("_gap"), F.lit(True)).cast("int")).over(w))
-        .groupBy("rule", "series", "_island")
+        local.join(carry, [*keys, *PLACE], "left")
+        .withColumn("_island", F.col("_earlier") + F.col("_inside"))
+        .groupBy(*keys, "_island")
         .agg(
             F.min("first").alias("pending_since"),
             F.max("last").alias("last_at"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltmart.functions.buckets import bucket_names, cumulative_counts
-from voltmart.functions.ordered import BUCKET, filled_labels, in_bucket, over_buckets, sure, with_buckets
+from voltmart.functions.ordered import BUCKET, CUT, PLACE, filled_labels, in_bucket, over_buckets, scan, sure, with_buckets
 from voltmart.functions.time import add_seconds, col, floor_to
 
 # Failures that open a circuit, and seconds until it is tried again.
@@ -75,12 +75,34 @@ def gauge(deltas: DataFrame, labels: list[str], ts: str, delta: Column) -> DataF
     )
 
 
-def debt_gauge(operations: DataFrame) -> DataFrame:
-    """Current debt: up on add, down on reduce, unchanged on retry (M4)."""
-    signed = F.when(F.col("operation") == "add", F.col("amount")).when(
+def gauge_changes(
+    deltas: DataFrame, labels: list[str], ts: str, ties: list[str], delta: Column, max_bucket_rows: int | None = None
+) -> DataFrame:
+    """Running total per label set after every single change, in the order of time and ties.
+
+    Nothing is summed up first, so what happens inside a second shows. Buckets of the whole order
+    and one carry per bucket keep a crowded second spread (see ``functions.ordered``).
+    """
+    extra = {} if max_bucket_rows is None else {"max_rows": max_bucket_rows}
+    changes = deltas.select(*labels, F.col(ts).alias("ts"), *ties, delta.cast("bigint").alias("delta"))
+    rows = with_buckets(changes, labels, "ts", ties[0], **extra)
+    return scan(rows, labels, ["ts", *ties], {"value": F.col("delta")}).drop(*PLACE)
+
+
+def _debt_change() -> Column:
+    return F.when(F.col("operation") == "add", F.col("amount")).when(
         F.col("operation") == "reduce", -F.col("amount")
     ).otherwise(F.lit(0).cast("bigint"))
-    return gauge(operations, ["service"], "ts", signed)
+
+
+def debt_gauge(operations: DataFrame) -> DataFrame:
+    """Current debt: up on add, down on reduce, unchanged on retry (M4)."""
+    return gauge(operations, ["service"], "ts", _debt_change())
+
+
+def debt_changes(operations: DataFrame, max_bucket_rows: int | None = None) -> DataFrame:
+    """Current debt after every operation (M4)."""
+    return gauge_changes(operations, ["service"], "ts", ["id"], _debt_change(), max_bucket_rows)
 
 
 def rental_changes(rentals: DataFrame) -> DataFrame:
@@ -91,7 +113,7 @@ def rental_changes(rentals: DataFrame) -> DataFrame:
     )
     return (
         rentals.filter(F.col("status") != "FAILED")
-        .select(F.lit("rental-core").alias("service"), F.inline(change))
+        .select("id", F.lit("rental-core").alias("service"), F.inline(change))
         .filter(F.col("ts").isNotNull())
     )
 
@@ -117,6 +139,11 @@ def active_rentals_gauge(rentals: DataFrame) -> DataFrame:
     return gauge(rental_changes(rentals), ["service"], "ts", F.col("change"))
 
 
+def active_rental_changes(rentals: DataFrame, max_bucket_rows: int | None = None) -> DataFrame:
+    """Number of active rentals after every start and end (M5); ends of a moment come first per rental id."""
+    return gauge_changes(rental_changes(rentals), ["service"], "ts", ["id", "change"], F.col("change"), max_bucket_rows).drop("change")
+
+
 def last_value(samples: DataFrame, labels: list[str], value: str, ts: str, tie: str) -> DataFrame:
     """Newest value per label set (M6)."""
     return samples.groupBy(*labels).agg(F.max_by(value, F.struct(ts, tie)).alias("value"))
@@ -199,7 +226,7 @@ def run_groups(
     good = F.when(failed, F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("_good")
     rows = events.select(*keys, F.col(ts).alias("_ts"), F.col(id_).alias("_id"), good)
     extra = {} if max_bucket_rows is None else {"max_rows": max_bucket_rows}
-    rows = with_buckets(rows, keys, "_ts", **extra)
+    rows = with_buckets(rows, keys, "_ts", "_id", **extra)
 
     w = in_bucket(keys, ["_ts", "_id"])
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -212,7 +239,7 @@ def run_groups(
 
     # Per bucket: successes, and failures after the last one. Same keys as the window, so this
     # grouping needs no shuffle of its own.
-    summary = local.groupBy(*keys, BUCKET).agg(
+    summary = local.groupBy(*keys, *PLACE).agg(
         F.sum("_good").alias("_n_ok"),
         (F.count(F.lit(1)) - F.coalesce(F.max(F.when(is_good, F.col("_rn"))), F.lit(0))).alias("_tail"),
     )
@@ -220,6 +247,7 @@ def run_groups(
         earlier = carried.select(
             *keys,
             F.lit("0001-01-01").cast("timestamp").alias(BUCKET),
+            F.lit(0).alias(CUT),
             F.col("ok_total").alias("_n_ok"),
             F.col("open_failures").alias("_tail"),
         )
@@ -234,15 +262,15 @@ def run_groups(
         }
     )
     open_after = F.sum("_tail").over(
-        Window.partitionBy(*keys, "_segment").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*keys, "_segment").orderBy(*PLACE).rowsBetween(Window.unboundedPreceding, 0)
     )
     carry = (
         carry.withColumn("_open", open_after)
         .withColumn("_open_before", F.coalesce(F.lag("_open").over(order), F.lit(0)))
-        .select(*keys, BUCKET, "_ok_before", "_open_before")
+        .select(*keys, *PLACE, "_ok_before", "_open_before")
     )
 
-    placed = local.join(carry, [*keys, BUCKET], "left")
+    placed = local.join(carry, [*keys, *PLACE], "left")
     position = (
         F.col("_rn")
         - F.coalesce("_last_ok", F.lit(0))

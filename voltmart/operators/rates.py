@@ -4,8 +4,9 @@ Definitions: the grid is the multiples of ``step_s``; the range of grid time t i
 ``[t - window, t)``; increase is the count (or sum) in the range and rate is increase per
 second. Nothing is extrapolated. The window must be a multiple of the step.
 
-Events are reduced to one row per label set and step before anything slides, so only those
-panes are copied into the windows that contain them, never the events.
+Events are reduced to one row per label set and step. Such a pane counts from the end of its step
+until the window has passed, so it enters as +n and leaves as -n, and running sums of these two rows
+give stretches of grid times with one value, whatever the ratio of window and step.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltmart.functions.buckets import bucket_names, bucket_quantile, cumulative_counts
-from voltmart.functions.ordered import BUCKET, filled_labels, in_bucket, over_buckets, sure, with_buckets
+from voltmart.functions.ordered import filled_labels, scan, sure, with_buckets
 from voltmart.functions.time import MICROS, add_seconds, floor_to
 
 
@@ -23,24 +24,63 @@ def panes(events: DataFrame, labels: list[str], ts: str, step_s: int, aggs: list
     return events.groupBy(*labels, floor_to(ts, step_s).alias("pane")).agg(*aggs)
 
 
-def slide(per_pane: DataFrame, labels: list[str], measures: list[str], window_s: int, step_s: int) -> DataFrame:
-    """Sum panes into every range that contains them; one row per label set and grid time."""
+def range_stretches(per_pane: DataFrame, labels: list[str], measures: list[str], window_s: int, step_s: int) -> DataFrame:
+    """``labels, first, last, measures``: sums over the range, one row per change of any of them.
+
+    Two rows per pane, however many grid times a pane counts for. The running sums work inside days
+    and hand one carry on per day, so no task orders more than a day's grid times of a label set.
+    Only grid times whose range holds a pane are covered. Measures must be integers or decimals:
+    what enters as a floating number does not leave without a rest.
+    """
     if window_s % step_s:
         raise ValueError("the window must be a multiple of the step")
-    steps = F.sequence(F.lit(1), F.lit(window_s // step_s))
-    out = per_pane.withColumn("_i", F.explode(steps)).withColumn("t", add_seconds("pane", F.col("_i") * step_s))
-    return out.groupBy(*labels, "t").agg(*[F.sum(m).alias(m) for m in measures])
+    inexact = [m for m in measures if per_pane.schema[m].dataType.typeName() in ("float", "double")]
+    if inexact:
+        raise ValueError(f"no exact sums of {', '.join(inexact)}")
+    ends = F.array(
+        *[
+            F.struct(
+                add_seconds("pane", after).alias("t"),
+                F.lit(sign).cast("bigint").alias("_panes"),
+                *[(F.col(m) * F.lit(sign)).alias(m) for m in measures],
+            )
+            for after, sign in ((step_s, 1), (window_s + step_s, -1))
+        ]
+    )
+    names = ["_panes", *measures]
+    steps = per_pane.select(*labels, F.inline(ends)).groupBy(*labels, "t").agg(*[F.sum(m).alias(m) for m in names])
+    rows = with_buckets(steps, labels, "t", widths_s=(86_400,))
+    lasting = scan(rows, labels, ["t"], {f"_{m}": F.col(m) for m in names}, after={"_until": "t"})
+    return lasting.filter(F.col("__panes") > 0).select(
+        *labels, F.col("t").alias("first"), add_seconds("_until", -step_s).alias("last"), *[F.col(f"_{m}").alias(m) for m in measures]
+    )
 
 
-def rate(events: DataFrame, labels: list[str], ts: str, window_s: int, step_s: int) -> DataFrame:
-    """Events per second over the range, and per minute (R1). No row without events."""
+def grid_points(stretches: DataFrame, step_s: int) -> DataFrame:
+    """One row per grid time ``t`` of each stretch."""
+    times = F.sequence("first", "last", F.expr(f"INTERVAL {step_s} SECOND"))
+    return stretches.withColumn("t", F.explode(times)).drop("first", "last")
+
+
+def slide(per_pane: DataFrame, labels: list[str], measures: list[str], window_s: int, step_s: int) -> DataFrame:
+    """Sum panes into every range that contains them; one row per label set and grid time."""
+    return grid_points(range_stretches(per_pane, labels, measures, window_s, step_s), step_s)
+
+
+def rate_stretches(events: DataFrame, labels: list[str], ts: str, window_s: int, step_s: int) -> DataFrame:
+    """``rate`` as stretches."""
     counted = panes(events, labels, ts, step_s, [F.count(F.lit(1)).alias("increase")])
     n = F.col("increase")
-    return slide(counted, labels, ["increase"], window_s, step_s).withColumns(
+    return range_stretches(counted, labels, ["increase"], window_s, step_s).withColumns(
         {"per_second": n / F.lit(window_s), "per_minute": n * F.lit(60) / F.lit(window_s)}
     )
 
 
+def rate(events: DataFrame, labels: list[str], ts: str, window_s: int, step_s: int) -> DataFrame:
+    """Events per second over the range, and per minute (R1). No row without events."""
+    return grid_points(rate_stretches(events, labels, ts, window_s, step_s), step_s)
+
+
 def grid(per_pane: DataFrame, labels: list[str], step_s: int, start=None, end=None) -> DataFrame:
     """Every grid time for every label set.
 
@@ -71,7 +111,7 @@ def increase(
     )
 
 
-def ratio(
+def ratio_stretches(
     events: DataFrame, labels: list[str], ts: str, top: Column, bottom: Column, window_s: int, step_s: int
 ) -> DataFrame:
     """Counted events of one kind per event of another, over the range.
@@ -79,11 +119,18 @@ def ratio(
     No value where the denominator is 0, like a division of absent series.
     """
     counted = panes(events, labels, ts, step_s, [F.count_if(top).alias("a"), F.count_if(bottom).alias("b")])
-    slid = slide(counted, labels, ["a", "b"], window_s, step_s)
-    return slid.filter(F.col("b") > 0).withColumn("value", F.col("a") / F.col("b"))
+    held = range_stretches(counted, labels, ["a", "b"], window_s, step_s)
+    return held.filter(F.col("b") > 0).withColumn("value", F.col("a") / F.col("b"))
 
 
-def quantile(
+def ratio(
+    events: DataFrame, labels: list[str], ts: str, top: Column, bottom: Column, window_s: int, step_s: int
+) -> DataFrame:
+    """``ratio_stretches`` with one row per grid time."""
+    return grid_points(ratio_stretches(events, labels, ts, top, bottom, window_s, step_s), step_s)
+
+
+def quantile_stretches(
     events: DataFrame,
     labels: list[str],
     ts: str,
@@ -93,11 +140,25 @@ def quantile(
     step_s: int,
     q: float = 0.95,
 ) -> DataFrame:
-    """Bucket quantile over the range."""
+    """Bucket quantile over the range, as stretches."""
     names = bucket_names(bounds)
     counted = panes(events, labels, ts, step_s, cumulative_counts(value, bounds))
-    slid = slide(counted, labels, names, window_s, step_s)
-    return slid.withColumn("value", bucket_quantile(q, F.array(*names), bounds))
+    held = range_stretches(counted, labels, names, window_s, step_s)
+    return held.withColumn("value", bucket_quantile(q, F.array(*names), bounds))
+
+
+def quantile(
+    events: DataFrame,
+    labels: list[str],
+    ts: str,
+    value: str,
+    bounds: list[float],
+    window_s: int,
+    step_s: int,
+    q: float = 0.95,
+) -> DataFrame:
+    """Bucket quantile over the range."""
+    return grid_points(quantile_stretches(events, labels, ts, value, bounds, window_s, step_s, q), step_s)
 
 
 def exact_quantile(events: DataFrame, labels: list[str], value: str, q: float = 0.95) -> DataFrame:
@@ -184,23 +245,20 @@ def counter_increase(
 
     A sample below its predecessor is a restart from zero and counts whole; the first sample
     of a series adds nothing. A difference belongs to the range of its later sample. Few
-    series hold many samples each, so predecessors are found inside time buckets and only the
-    last sample of each bucket is passed on.
+    series hold many samples each, so predecessors are found inside buckets and only the
+    last sample of each bucket is passed on. Values must be integers or decimals.
     """
     extra = {} if max_bucket_rows is None else {"max_rows": max_bucket_rows}
     rows = with_buckets(
         samples.select(*series, F.col(ts).alias("_ts"), F.col(tie).alias("_id"), F.col(value).alias("_v")),
         series,
         "_ts",
+        "_id",
         **extra,
     )
-    w = in_bucket(series, ["_ts", "_id"])
-    local = rows.withColumn("_rn", F.row_number().over(w)).withColumn("_prev", F.lag("_v").over(w))
-    ends = local.groupBy(*series, BUCKET).agg(F.max_by("_v", "_rn").alias("_end"))
-    carry = ends.select(*series, BUCKET, F.lag("_end").over(over_buckets(series)).alias("_carry"))
-    prev = F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_prev"))
-    step = F.when(prev.isNull(), F.lit(0)).when(F.col("_v") < prev, F.col("_v")).otherwise(F.col("_v") - prev)
-    stepped = local.join(carry, [*series, BUCKET], "left").withColumn("_step", step)
+    prev, now = F.col("_before"), F.col("_v")
+    step = F.when(prev.isNull(), F.lit(0)).when(now < prev, now).otherwise(now - prev)
+    stepped = scan(rows, series, ["_ts", "_id"], before={"_before": "_v"}).withColumn("_step", step)
     counted = panes(stepped, series, "_ts", step_s, [F.sum("_step").alias("increase")])
     return slide(counted, series, ["increase"], window_s, step_s)
 
