@@ -136,6 +136,36 @@ def test_chain_needs_several_rounds(spark):
     assert got == in_time_order(chain) == {"000", "002", "004", "006"}
 
 
+def claim_rows(spark, chain):
+    df = spark.createDataFrame(
+        [(k, q, at(int(t)), t, t) for t, k, q in chain],
+        "key string, quote_id string, requested_at timestamp, request_id string, order_id string",
+    )
+    return df.select("key", "quote_id", F.struct("requested_at", "request_id").alias("turn"), "order_id")
+
+
+def test_a_long_chain_takes_few_rounds(spark):
+    """A thousand requests that each wait for the one before, and some that wait for two."""
+    chain = [(f"{i:04d}", f"k{i // 2}", f"q{(i + 1) // 2}") for i in range(1000)]
+    chain += [("2000", "k10", "q900"), ("2001", "k499", "q499"), ("2002", "k500", "q500"), ("2003", "new", "q500")]
+    took = []
+    got = {r["order_id"] for r in claims.first_claims(claim_rows(spark, chain), took).collect()}
+    assert got == in_time_order(chain)
+    assert len(took) + sum(took) + 1 <= 25
+
+
+def test_chains_that_meet(spark):
+    """Falling and rising stretches: requests that wait for two chains at once."""
+    rng = random.Random(2)
+    turns = list(range(120))
+    rng.shuffle(turns)
+    path = [(f"{t:04d}", f"k{i // 2}", f"q{(i + 1) // 2}") for i, t in enumerate(turns)]
+    ring = [(f"{200 + t:04d}", f"rk{i // 2}", f"rq{(i + 1) // 2 % 20}") for i, t in enumerate(rng.sample(range(40), 40))]
+    took = []
+    got = {r["order_id"] for r in claims.first_claims(claim_rows(spark, path + ring), took).collect()}
+    assert got == in_time_order(path + ring) and len(took) <= 4
+
+
 def test_no_requests(spark):
     out = claims.decide_starts(requests(spark), quote_rows(spark), ejects(spark))
     assert out.count() == 0

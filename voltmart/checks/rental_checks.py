@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from voltmart.checks.registry import query
 from voltmart.checks.sqlviews import sql
+from voltmart.functions import ordered
 from voltmart.functions.text import parse_start_response
 from voltmart.operators import quotes, rentals
 from voltmart.plans import claims
@@ -162,6 +163,64 @@ def h8(v):
     return decided(v).select("request_id", "outcome", "http_code", "response_order_id")
 
 
+@query(
+    "h8_claim_chains",
+    sql(
+        """
+        SELECT id AS request_id
+        FROM (SELECT id, row_number() OVER (PARTITION BY service, circuit ORDER BY ts, id) - 1 AS n FROM api_events)
+        WHERE n % 2 = 0""",
+        "api_events",
+    ),
+)
+def h8_chains(v):
+    """Every event of a circuit wants the key that the one before wants, or its quote: chains of thousands."""
+    keys = ["service", "circuit"]
+    rows = ordered.with_buckets(v.api_events(), keys, "ts", "id")
+    n = ordered.scan(rows, keys, ["ts", "id"], {"n": F.lit(1)}).withColumn("n", F.col("n") - 1)
+
+    def part(kind: str, number):
+        return F.concat_ws("/", *keys, F.lit(kind), number.cast("string"))
+
+    wanted = n.select(
+        part("key", F.floor(F.col("n") / 2)).alias("key"),
+        part("quote", F.floor((F.col("n") + 1) / 2)).alias("quote_id"),
+        F.struct(F.col("ts").alias("requested_at"), F.col("id").alias("request_id")).alias("turn"),
+        F.col("id").alias("order_id"),
+    )
+    return claims.first_claims(wanted).select(F.col("order_id").alias("request_id"))
+
+
+@query(
+    "h8_contested_starts",
+    """
+    WITH RECURSIVE asked AS (
+      SELECT id, k, q, row_number() OVER (ORDER BY ts, id) AS turn
+      FROM (SELECT l_orderkey * 10 + l_linenumber AS id, min(l_shipdate) AS ts, min(l_orderkey) AS k, min(l_partkey) AS q FROM lineitem GROUP BY 1)
+    ),
+    open(id, k, q, turn, won) AS (
+      SELECT id, k, q, turn, FALSE FROM asked
+      UNION ALL
+      SELECT id, k, q, turn, first
+      FROM (
+        SELECT *, bool_or(first) OVER (PARTITION BY k) OR bool_or(first) OVER (PARTITION BY q) AS settled
+        FROM (SELECT *, turn = min(turn) OVER (PARTITION BY k) AND turn = min(turn) OVER (PARTITION BY q) AS first
+              FROM open WHERE NOT won)
+      )
+      WHERE first OR NOT settled
+    )
+    SELECT id AS request_id FROM open WHERE won""",
+)
+def h8_contested(v):
+    """Order lines in time order, each wanting its order (as a key) and its part (as a quote)."""
+    line = v.table("lineitem").groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id")).agg(
+        F.min("l_shipdate").cast("timestamp").alias("ts"), F.min("l_orderkey").alias("key"), F.min("l_partkey").alias("quote_id")
+    )
+    turn = F.struct(F.col("ts").alias("requested_at"), F.col("id").alias("request_id")).alias("turn")
+    wanted = line.select("key", "quote_id", turn, F.col("id").alias("order_id"))
+    return claims.first_claims(wanted).select(F.col("order_id").alias("request_id"))
+
+
 @query(
     "h9_new_rentals",
     starts_sql(

@@ -77,7 +77,16 @@ def outcomes(checked: DataFrame, winners: DataFrame, stored: DataFrame | None =
         F.col("order_id").alias("cached_order"),
     )
     by_quote = winners.select("quote_id", F.col("turn").alias("quote_turn"))
-    out = checked.join(by_key, "idempotency_key", "left").join(by_quote, "quote_id", "left")
+    # Requests without a key are settled; in a join on it they would all meet in one task.
+    keyless = checked.filter(~F.col("has_key")).withColumns(
+        {
+            "key_turn": F.lit(None).cast(by_key.schema["key_turn"].dataType),
+            "quote_turn": F.lit(None).cast(by_quote.schema["quote_turn"].dataType),
+            "cached_order": F.lit(None).cast("string"),
+            "stored_order": F.lit(None).cast("string"),
+        }
+    )
+    out = checked.filter("has_key").join(by_key, "idempotency_key", "left").join(by_quote, "quote_id", "left")
     if stored is None:
         out = out.withColumn("stored_order", F.lit(None).cast("string"))
     else:
@@ -86,6 +95,7 @@ def outcomes(checked: DataFrame, winners: DataFrame, stored: DataFrame | None =
             F.get_json_object("response_json", "$.order_id").alias("stored_order"),
         )
         out = out.join(old, "idempotency_key", "left")
+    out = out.unionByName(keyless)
     replay = F.col("stored_order").isNotNull() | (F.col("key_turn") < F.col("turn"))
     used = F.col("quote_turn") < F.col("turn")
     outcome = (

@@ -2,9 +2,16 @@
 
 A start claims its idempotency key and consumes its quote, so requests interact: taken in
 time order, a request starts if neither its key nor its quote is taken. That is computed in
-rounds. A request that is first both among the open requests of its key and of its quote
-starts; then every open request with that key or quote is settled. What remains goes to the
-next round, until nothing is open. Usually one round settles all.
+rounds over the open requests, each of three steps:
+
+* a request that is first both of its key and of its quote starts;
+* whatever comes later in a key than a request that is first of its quote (or later in a quote than
+  one that is first of its key) cannot start: that one or an earlier one takes the key;
+* a request that only one earlier open request stands in the way of starts if and only if that one
+  does not. Such requests form chains, and pointer jumping finds the head of a chain and the
+  parity of the distance to it: a chain of n requests takes log2(n) jumps instead of n rounds.
+
+Every open request with the key or quote of a start is then settled. Usually one round settles all.
 """
 
 from __future__ import annotations
@@ -17,33 +24,96 @@ from pyspark.sql import functions as F
 from voltmart.operators import rentals
 from voltmart.session import cut_lineage
 
+CLAIM = ["key", "quote_id", "turn", "order_id"]
+SIDES = ("key", "quote_id")
 
-def first_claims(eligible: DataFrame) -> DataFrame:
-    """Winners among ``eligible(key, quote_id, turn, order_id)``; turns are unique and ordered.
 
-    Each side of a round is a minimum per key that combines before its shuffle, and winners
-    are found by joining the two lists of minima, so no key with very many requests is ever
-    gathered. Every round settles at least the earliest open request. The open requests and
-    the winners are read several times, so each is checkpointed once, narrow.
+def _firsts(open_: DataFrame, side: str) -> DataFrame:
+    """The earliest request of every key (or quote): a minimum that combines before its shuffle."""
+    return open_.groupBy(side).agg(F.min(F.struct("turn", *CLAIM[:2], "order_id")).alias("c")).select("c.*")
+
+
+def _plain_starts(open_: DataFrame) -> DataFrame:
+    """Requests that are first of their key and of their quote."""
+    per_quote = _firsts(open_, "quote_id").select("turn")
+    return _firsts(open_, "key").join(per_quote, "turn", "left_semi").select(*CLAIM)
+
+
+def _pruned(open_: DataFrame) -> DataFrame:
+    """Without requests that come after one which settles their key or quote either way."""
+    out = open_
+    for side, other in (SIDES, SIDES[::-1]):
+        settling = _firsts(open_, other).groupBy(side).agg(F.min("turn").alias("_until"))
+        out = out.join(settling, side, "left").filter(F.col("_until").isNull() | (F.col("turn") <= F.col("_until"))).drop("_until")
+    return out
+
+
+def _chained(open_: DataFrame) -> DataFrame:
+    """(turn, parent, odd): requests with one earlier request in their way, and heads, which have none.
+
+    A request has just one in its way if it is first on one side and second on the other.
     """
-    open_ = cut_lineage(eligible.select("key", "quote_id", "turn", "order_id"))
-    rounds = []
+    first = {side: _firsts(open_, side) for side in SIDES}
+    heads = first["key"].join(first["quote_id"].select("turn"), "turn", "left_semi")
+    parts = [heads.select("turn", F.col("turn").alias("parent"), F.lit(False).alias("odd"))]
+    for side, other in (SIDES, SIDES[::-1]):
+        leader = first[side].select(side, F.col("turn").alias("parent"))
+        later = open_.join(leader, side).filter(F.col("turn") > F.col("parent"))
+        # The second of each key (or quote), with the first.
+        second = later.groupBy(side).agg(F.min(F.struct("turn", "parent")).alias("c")).select("c.*")
+        parts.append(second.join(first[other].select("turn"), "turn", "left_semi").select("turn", "parent", F.lit(True).alias("odd")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _chain_starts(open_: DataFrame) -> tuple[DataFrame, int]:
+    """Starts among the requests of chains whose head starts, and the jumps it took."""
+    links = cut_lineage(_chained(open_))
+    jumps = 0
     while True:
-        claim = F.struct("turn", "key", "quote_id", "order_id")
-        per_key = open_.groupBy("key").agg(F.min(claim).alias("c")).select("c.*")
-        per_quote = open_.groupBy("quote_id").agg(F.min(claim).alias("c")).select("c.turn.request_id")
-        won = cut_lineage(
-            per_key.join(per_quote, per_key.turn["request_id"] == per_quote.request_id, "left_semi")
+        up = links.select(F.col("turn").alias("parent"), F.col("parent").alias("_up"), F.col("odd").alias("_odd"))
+        moving = links.join(up.filter(F.col("parent") != F.col("_up")), "parent", "left_semi")
+        if moving.isEmpty():
+            break
+        # A parent outside the chains keeps its child where it is.
+        met = links.join(up, "parent", "left")
+        links = cut_lineage(
+            met.select("turn", F.coalesce("_up", "parent").alias("parent"), F.col("odd").eqNullSafe(F.coalesce("_odd", F.lit(False))).alias("_same")).select(
+                "turn", "parent", (~F.col("_same")).alias("odd")
+            )
         )
-        rest = open_.join(won.select("key"), "key", "left_anti").join(
-            won.select("quote_id"), "quote_id", "left_anti"
-        )
-        rounds.append(won)
+        jumps += 1
+    heads = links.filter(F.col("turn") == F.col("parent")).select("parent")
+    even = links.filter(~F.col("odd")).join(heads, "parent", "left_semi").select("turn")
+    return open_.join(even, "turn", "left_semi").select(*CLAIM), jumps
+
+
+def _settled(open_: DataFrame, won: DataFrame) -> DataFrame:
+    rest = open_.join(won.select("key"), "key", "left_anti")
+    return rest.join(won.select("quote_id"), "quote_id", "left_anti").select(*CLAIM)
+
+
+def first_claims(eligible: DataFrame, took: list[int] | None = None) -> DataFrame:
+    """Winners among ``eligible(key, quote_id, turn, order_id)``; turns are unique and ordered.
+
+    All steps are minima per key that combine before their shuffle and joins with lists of minima,
+    so no key with very many requests is ever gathered. The open requests and the winners are read
+    several times, so each is checkpointed once, narrow. ``took`` receives the jumps of every
+    round after the first, which has none.
+    """
+    open_ = cut_lineage(eligible.select(*CLAIM))
+    won = cut_lineage(_plain_starts(open_))
+    rounds = [won]
+    while True:
         # Usually empty after the first round; later rounds work on this small remainder.
-        rest = cut_lineage(rest)
-        if rest.isEmpty():
+        open_ = cut_lineage(_settled(open_, won))
+        if open_.isEmpty():
             return reduce(DataFrame.unionByName, rounds)
-        open_ = rest.select("key", "quote_id", "turn", "order_id")
+        open_ = cut_lineage(_pruned(open_))
+        starts, jumps = _chain_starts(open_)
+        won = cut_lineage(starts)
+        rounds.append(won)
+        if took is not None:
+            took.append(jumps)
 
 
 def decide_starts(
