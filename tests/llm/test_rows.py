@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import struct
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -133,7 +134,8 @@ def base(text):
     t = text or ""
     lines = [x for x in t.split("\n") if brute.words(x)]
     windows = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
-    twice = {x for x in windows if windows.count(x) > 1} if len(windows) < 3000 else set()
+    counts = Counter(windows)
+    twice = {x for x in windows if counts[x] > 1}
     covered = {i + k for i, x in enumerate(windows) if x in twice for k in range(5)}
     n = len(w)
     failed = n < 10 or 100 * len(covered) > 20 * n
@@ -148,6 +150,8 @@ def grams(text):
 
 
 def test_quality_rules_match_brute_force(spark, texts):
+    r = random.Random(8)
+    texts = [*texts, " ".join(f"w{r.randrange(40)} w{k}" if k % 9 else "one two three four five six" for k in range(4000))]
     labels = spark.createDataFrame([(i, i % 3 and 1, 0) for i in range(0, len(texts), 2)] + [(None, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
     got = {r.doc_id: r for r in quality_rules.quality_rules(make(spark, texts), labels).collect()}
     raw, target = {}, {}
@@ -156,6 +160,7 @@ def test_quality_rules_match_brute_force(spark, texts):
             raw[g] = raw.get(g, 0) + 1
             if i % 2 == 0 and i % 3:
                 target[g] = target.get(g, 0) + 1
+    assert max(len(brute.words(t)) for t in texts) > 3000
     all_raw, all_target, m = sum(raw.values()), sum(target.values()), quality_rules.BUCKETS
     for i, t in enumerate(texts):
         r, g = got[i], grams(t)

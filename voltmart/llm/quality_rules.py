@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from voltmart.llm.text import whole, words
 from voltmart.session import cut_lineage
 
-BUCKETS = 1 << 16  # rows of the model, which bounds its broadcast (about 1 MB)
+BUCKETS = 1 << 16  # rows of the model and length of its array (half a megabyte)
+# Bits of the filter that keeps texts without a trusted id from being exchanged (2 MB).
+FILTER_BITS = 1 << 24
 SMOOTHING = 1.0
 THRESHOLD = -0.2  # nats per n-gram
 WINDOW = 5
@@ -26,13 +28,18 @@ def _let(value: Column, body) -> Column:
 
 
 def _window_hashes(w: Column) -> Column:
-    last = F.size(w) - WINDOW
-    return F.when(
-        last >= 0,
-        F.transform(
-            F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(WINDOW)])
-        ),
-    ).otherwise(F.array().cast("array<bigint>"))
+    """One hash for every window of words, of the hashes of its words."""
+
+    def of(h: Column) -> Column:
+        last = F.size(h) - WINDOW
+        return F.when(
+            last >= 0,
+            F.transform(
+                F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(WINDOW)])
+            ),
+        ).otherwise(F.array().cast("array<bigint>"))
+
+    return _let(F.transform(w, lambda x: F.xxhash64(x)), of)
 
 
 def _covered(hashes: Column) -> Column:
@@ -64,18 +71,13 @@ def _covered(hashes: Column) -> Column:
 
 
 def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: row_id, doc_id, the base counts, base_failed, and the word array.
-
-    ``row_id`` tells rows apart whose ids are null or repeated.
-    """
+    """One row per input row: doc_id, the base counts, base_failed, and the word array."""
     df = docs.select(
-        F.monotonically_increasing_id().alias("row_id"),
         F.col(id_col).alias("doc_id"),
         whole(F.col(text_col)).alias("text"),
     ).select("*", words(F.col("text")).alias("words"))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     df = df.select(
-        "row_id",
         "doc_id",
         "words",
         F.size("words").cast("long").alias("n_words"),
@@ -88,17 +90,57 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return df.withColumn("base_failed", failed)
 
 
-def _buckets(w: Column) -> Column:
-    """Buckets of all words and of all pairs of neighbours (the first word has a blank before it)."""
+def _bucket(*words_: Column) -> Column:
+    """Bucket of a word, or of a word and the one before it."""
+    return F.pmod(F.xxhash64(*words_), F.lit(BUCKETS)).cast("int")
 
-    def pair(x: Column, i: Column) -> Column:
-        before = F.coalesce(F.get(w, i - 1), F.lit(" "))
-        return F.struct(
-            F.pmod(F.xxhash64(x), F.lit(BUCKETS)).cast("int").alias("a"),
-            F.pmod(F.xxhash64(before, x), F.lit(BUCKETS)).cast("int").alias("b"),
-        )
 
-    return F.transform(w, pair)
+def _in_order(parts: DataFrame, place: str, value: str, size: int, nothing) -> Column:
+    """The values of (place, value) rows as one array of ``size`` entries, a scalar subquery.
+
+    At most ``size`` rows meet in one task, whatever the input holds.
+    """
+    here = parts.select(F.col(place).cast("int").alias(place), value)
+    empty = F.lit(nothing).cast(here.schema[value].dataType)
+    every = parts.sparkSession.range(size).select(F.col("id").cast("int").alias(place))
+    dense = every.join(here, place, "left").select(place, F.coalesce(value, empty).alias(value))
+    ordered = F.array_sort(F.collect_list(F.struct(place, value)))
+    return dense.agg(F.transform(ordered, lambda p: p[value]).alias("values")).scalar()
+
+
+def bucket_counts(texts: DataFrame) -> DataFrame:
+    """(bucket, n): n-grams of all rows of ``words`` by bucket, combined in the task that reads them."""
+    before = F.concat(F.array(F.lit(" ")), F.col("words"))
+    # Words beside those before them; the longer array's last entry has no word.
+    pairs = texts.select(F.inline(F.arrays_zip(F.col("words").alias("x"), before.alias("y")))).toDF("x", "y").where("x IS NOT NULL")
+    grams = pairs.select(_bucket(F.col("x")).alias("a"), _bucket(F.col("y"), F.col("x")).alias("b"))
+    return grams.select(F.explode(F.array("a", "b")).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
+
+
+def trusted_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``words`` of all texts of an id labelled quality 1.
+
+    A filter of FILTER_BITS hashed bits drops nearly all other texts where they are read; it lets some
+    pass when there are millions of trusted ids, never drops one, and the join by id decides. The join
+    exchanges what has passed at every size, so the plan does not depend on the number of ids.
+    """
+    trusted = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("trusted_id")).where("trusted_id IS NOT NULL").distinct()
+    trusted = cut_lineage(trusted)
+
+    def at(id_: Column) -> tuple[Column, Column]:
+        bit = F.pmod(F.xxhash64(id_), F.lit(FILTER_BITS))
+        return F.shiftright(bit, 6).cast("int"), F.pmod(bit, F.lit(64)).cast("int")
+
+    word, bit = at(F.col("trusted_id"))
+    words_set = trusted.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("one"))
+    words_set = words_set.groupBy("word").agg(F.bit_or("one").alias("bits"))
+    filled = _in_order(words_set, "word", "bits", FILTER_BITS // 64, 0)
+    word, bit = at(F.col("doc_id"))
+    held = F.get(F.col("filter"), word)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(F.col(text_col)).alias("text"))
+    may = texts.withColumn("filter", filled).where(F.call_function("shiftright", held, bit).bitwiseAND(F.lit(1).cast("long")) == 1).drop("filter")
+    known = may.join(trusted.hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left_semi")
+    return known.select(words(F.col("text")).alias("words"))
 
 
 def ratio_model(
@@ -111,35 +153,32 @@ def ratio_model(
     """(bucket, ratio): log of target probability over raw probability, one row per bucket seen.
 
     The raw counts cover every text, the target every text of an id labelled quality 1; without
-    any, all ratios are 0. Where the ids are too many for a broadcast, the join exchanges the texts
-    once; the ids are checkpointed so that AQE can split repeated and null ids of the texts.
+    any, all ratios are 0. Raw texts are counted where they are read, without a join.
     """
-    trusted = cut_lineage(
-        labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("trusted_id"))
-        .where("trusted_id IS NOT NULL").distinct()
-    )
-    grams = (
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(F.col(text_col)).alias("text"))
-        .join(trusted, F.col("doc_id") == F.col("trusted_id"), "left")
-        .select(F.col("trusted_id").isNotNull().cast("long").alias("t"), words(F.col("text")).alias("words"))
-        .select("t", F.explode(_let(F.col("words"), _buckets)).alias("g"))
-    )
-    counts = (
-        grams.select("t", F.explode(F.array("g.a", "g.b")).alias("bucket"))
-        .groupBy("bucket")
-        .agg(F.count("*").alias("raw"), F.sum("t").alias("target"))
-    )
-    counts = cut_lineage(counts)
-    raw, target = counts.agg(F.sum("raw"), F.sum("target")).first()
-    if not target:
+    raw = bucket_counts(docs.select(words(F.col(text_col)).alias("words"))).select("bucket", F.col("n").alias("raw"), F.lit(0).cast("long").alias("target"))
+    target = bucket_counts(trusted_texts(docs, labels, id_col, text_col)).select("bucket", F.lit(0).cast("long").alias("raw"), F.col("n").alias("target"))
+    counts = cut_lineage(raw.unionByName(target).groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")))
+    all_raw, all_target = counts.agg(F.sum("raw"), F.sum("target")).first()
+    if not all_target:
         return counts.select("bucket", F.lit(0.0).alias("ratio"))
     spread = smoothing * BUCKETS
-    ratio = F.log((F.col("target") + smoothing) / (target + spread)) - F.log(
-        (F.col("raw") + smoothing) / (raw + spread)
+    ratio = F.log((F.col("target") + smoothing) / (all_target + spread)) - F.log(
+        (F.col("raw") + smoothing) / (all_raw + spread)
     )
     return counts.select("bucket", ratio.alias("ratio"))
 
 
+def mean_ratio(ratios: Column, w: Column) -> Column:
+    """Mean of the ratios of a text's n-grams; 0 without words."""
+
+    def both(x: Column, i: Column) -> Column:
+        before = F.coalesce(F.get(w, i - 1), F.lit(" "))
+        return F.get(ratios, _bucket(x)) + F.get(ratios, _bucket(before, x))
+
+    total = F.aggregate(F.transform(w, both), F.lit(0.0), lambda a, v: a + v)
+    return F.when(F.size(w) > 0, total / (2 * F.size(w))).otherwise(F.lit(0.0))
+
+
 def quality_rules(
     docs: DataFrame,
     labels: DataFrame,
@@ -153,24 +192,12 @@ def quality_rules(
     repeated ids are judged one by one. Other columns of the input, whatever their names, are not
     read. An empty table gives an empty result. Ties with the threshold are kept.
 
-    Texts are never shuffled: words are exploded in the task that reads them, meet the bucket
-    table (at most BUCKETS rows) by a broadcast join, and fold back to one row before the only
-    exchange.
+    The model is one array of BUCKETS ratios, and a row's words are looked up in it inside the
+    row: scoring exchanges nothing.
     """
     model = ratio_model(docs, labels, id_col, text_col)
-    base = base_counts(docs, id_col, text_col)
-    keys = [c for c in base.columns if c != "words"]
-    exploded = base.select(*keys, F.explode_outer(_let(F.col("words"), _buckets)).alias("g")).select(
-        *keys, F.explode(F.array("g.a", "g.b")).alias("bucket")
-    )
-    scored = (
-        exploded.join(F.broadcast(model), "bucket", "left")
-        .groupBy("row_id")
-        .agg(
-            *[F.first(c).alias(c) for c in keys if c != "row_id"],
-            F.coalesce(F.sum("ratio") / F.count("bucket"), F.lit(0.0)).alias("score"),
-        )
-    )
+    base = base_counts(docs, id_col, text_col).withColumn("ratios", _in_order(model, "bucket", "ratio", BUCKETS, None))
+    scored = base.withColumn("score", mean_ratio(F.col("ratios"), F.col("words")))
     kept = ~F.col("base_failed") & (F.col("score") >= threshold)
     return scored.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
