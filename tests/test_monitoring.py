@@ -86,13 +86,23 @@ def test_services_have_breakers_of_their_own(spark):
     assert metrics.outages(runs).first()["service"] == "core"
 
 
-def test_stream_of_failures_refuses_older_events(spark):
+@pytest.mark.parametrize("fold_every", [50, 1])
+def test_stream_of_failures_takes_late_events(spark, fold_every):
+    """Five micro-batches over days: late successes cut runs, late failures lengthen them, over day ends too."""
+    limits = {"payment": 3, "station": 5}
+    day = 86_400
+    batches_ = [
+        [(i, "payment", at(i * day // 3), True) for i in range(12)],  # one run over four days
+        [(100, "station", at(0), True), (101, "payment", at(20 * day), True)],
+        [(102, "payment", at(day + 5), False), (103, "station", at(-3 * day), True)],  # cuts the run two days back
+        [(104 + i, "station", at(-day + i), True) for i in range(4)] + [(120, "payment", at(day + 4), True)],
+        [(130, "payment", at(30 * day), False), (131, "station", at(-3 * day + 1), False)],
+    ]
     folder = scratch_path(spark, "events")
-    frames = [spark.createDataFrame([(n, "payment", at(n), True)], EV) for n in (5, 3)]
-    land(folder, *frames)
-    stream = folder_stream(spark, folder, frames[0].schema, files_per_trigger=1)
-    with pytest.raises(Exception, match="before events of an earlier batch"):
-        batches.detect_failures(stream, scratch_path(spark, "runs"), F.col("bad"), ["circuit"])
+    land(folder, *[spark.createDataFrame(part, EV) for part in batches_])
+    stream = folder_stream(spark, folder, spark.createDataFrame([], EV).schema, files_per_trigger=1)
+    got = batches.detect_failures(stream, scratch_path(spark, "runs"), F.col("bad"), ["circuit"], fold_every)
+    assert rows(got, "circuit", "run") == runs_by_hand(sum(batches_, []), limits)
 
 
 def test_stream_of_failures_continues_runs(spark):

@@ -3,20 +3,27 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tests.helpers import QUOTE_COLS, at, land, rental, rentals
 from voltmart.operators import mart
 from voltmart.session import scratch_path
-from voltmart.streaming import batches, windows
-from voltmart.streaming.run import drain, folder_stream
+from voltmart.streaming import batches, starts, windows
+from voltmart.streaming.run import BatchTable, drain, folder_stream
 
 EV = "ts timestamp, kind string, amount int"
 DAY = 86400
 
 
+def derived(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 def stream_of(spark, schema, *parts):
     """One file and one micro-batch per part."""
     folder = scratch_path(spark, "in")
@@ -95,5 +102,53 @@ def test_mart_refresh_over_batches_and_again(spark):
     wanted = rows(mart.kpi_daily(none, rentals(spark, *items), no_payments))
     assert rows(kpi) == wanted and len(wanted) == 4
     again = mart.daily_partials(mart.rental_parts(rentals(spark, *items[1:3])))
-    again.coalesce(1).write.mode("overwrite").parquet(f"{target}/parts/batch=1")
-    assert rows(batches.current_kpi(spark, target)) == wanted
+    batches.kept_sums(mart.rental_parts(stream), target, 50).write(batches._wide(again), 1)
+    assert rows(batches.current_kpi(mart.rental_parts(stream), target)) == wanted
+    folding = batches.refresh_mart(mart.rental_parts(stream), scratch_path(spark, "mart"), fold_every=1)
+    assert rows(folding) == wanted
+
+
+@pytest.mark.parametrize("fold_every", [50, 1])
+def test_starts_are_answered_for_good(spark, fold_every):
+    """Three micro-batches: late repeats get the first response, a failed start leaves its key free."""
+    quote_rows = [(f"q{i}", "u", "st" if i < 8 else "empty", 60, 5, 300, at(10**7), at(0)) for i in range(10)]
+    quotes = spark.createDataFrame(quote_rows, QUOTE_COLS)
+    ejects = spark.createDataFrame([("st", True, "pb-1"), ("empty", False, "")], "station_id string, success boolean, powerbank_id string")
+    holds = spark.createDataFrame([("a2", False)], "request_id string, success boolean")
+    ask = "request_id string, quote_id string, idempotency_key string, requested_at timestamp"
+    parts = [
+        [("a1", "q9", "ka", at(10)), ("b1", "q1", "kb", at(11)), ("b2", "q2", "kb", at(12)), ("n1", "q3", None, at(13))],
+        # ka failed at an empty station, so it is free; kb is taken, and so is q1.
+        [("a2", "q4", "ka", at(50)), ("b3", "q5", "kb", at(51)), ("c1", "q1", "kc", at(52)), ("n2", "q3", "", at(53))],
+        # Hours later, one of them with a time long before, one request given twice.
+        [("a3", "q6", "ka", at(50_000)), ("b4", "q6", "kb", at(2)), ("c2", "q7", "kc", at(60_000)), ("b1", "q1", "kb", at(11))],
+    ]
+    stream = stream_of(spark, ask, *parts)
+    out = starts.answer_starts(stream, quotes, ejects, holds, scratch_path(spark, "starts"), fold_every)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.request_id, []).append((r.outcome, r.response_order_id, json.loads(r.response_json)["order_id"] if r.response_json else None))
+    ids = {x: derived(f"rental:{x}") for x in ("b1", "a2", "c2")}
+    own = lambda outcome, x: (outcome, ids[x], ids[x])
+    assert sorted(got.pop("b1")) == [own("cached", "b1"), own("started", "b1")]
+    assert {k: v for k, [v] in got.items()} == {
+        "a1": ("eject_failed", None, None), "b2": own("cached", "b1"), "n1": ("key_missing", None, None),
+        "a2": own("started", "a2"), "b3": own("cached", "b1"), "c1": ("quote_not_found", None, None), "n2": ("key_missing", None, None),
+        "a3": own("cached", "a2"), "b4": own("cached", "b1"), "c2": own("started", "c2"),
+    }
+
+
+def test_batch_tables_fold_and_miss_what_is_lost(spark):
+    table = BatchTable(spark, scratch_path(spark, "table"), spark.range(0).schema, lambda rows: rows.distinct(), every=2)
+    for batch in range(5):
+        table.begin(batch)
+        assert sorted(r["id"] for r in table.before(batch).collect()) == list(range(batch))
+        table.write(spark.range(batch, batch + 1), batch)
+    assert table.before(5).count() == 5 and table.of(3).first()["id"] == 3
+    # The same batch again.
+    table.begin(4)
+    table.write(spark.range(4, 5), 4)
+    assert table.before(5).count() == 5
+    lost = BatchTable(spark, table.path, spark.range(0).schema, every=2)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        lost.before(9).count()

@@ -211,10 +211,38 @@ def test_late_ticks_of_a_stream_are_reported(spark):
     on_time = [t for t in ticks if t[1] != 2]
     wanted = replay.replay_ticks(r, p, d, spark.createDataFrame(on_time, TICKS))
     assert rows(got, "rental_id") == rows(wanted, "rental_id")
-    late = {(x["rental_id"], x["tick"]) for x in stream_billing.late_ticks(spark, target, frames[0].schema).collect()}
+    late = {(x["rental_id"], x["tick"]) for x in stream_billing.late_ticks(stream, target).collect()}
     assert late and late <= {(t[0], 2) for t in ticks}
 
 
+def test_a_batch_writes_the_rentals_it_ticks(spark):
+    base, paid, owed, ticks = scenario(spark)
+    r, p, d = rentals(spark, *base), payments(spark, *paid), debts(spark, *owed)
+    one_id = ticks[0][0]
+    folder, target = scratch_path(spark, "ticks"), scratch_path(spark, "state")
+    parts = [[t for t in ticks if t[1] == 1], [t for t in ticks if t[1] == 2 and t[0] == one_id], [t for t in ticks if t[1] == 3]]
+    frames = [spark.createDataFrame(part, TICKS) for part in parts]
+    land(folder, *frames)
+    stream = folder_stream(spark, folder, frames[0].schema, files_per_trigger=1)
+    got = stream_billing.bill_ticks(stream, replay.opening_state(r, p, d), target, fold_every=2)
+    wanted = replay.replay_ticks(r, p, d, spark.createDataFrame(sum(parts, []), TICKS))
+    assert rows(got, "rental_id") == rows(wanted, "rental_id")
+    tables = stream_billing.StateTables(stream, target, 2)
+    assert [x["rental_id"] for x in tables.states.of(1).collect()] == [one_id]
+
+
+def test_ticks_are_folded_in_pieces(spark):
+    """Pieces of three ticks, and none for the empty stretch between ticks 6 and 1000."""
+    base, paid, owed, ticks = scenario(spark)
+    r, p, d = rentals(spark, *base), payments(spark, *paid), debts(spark, *owed)
+    later = [(t[0], t[1] + 1000, *t[2:]) for t in ticks]
+    frame = spark.createDataFrame(ticks + later, TICKS)
+    opening = replay.opening_state(r, p, d)
+    whole = replay.flat_states(replay.fold_ticks(opening, frame, BillingConfig(), piece=10**6))
+    pieces = replay.flat_states(replay.fold_ticks(opening, frame, BillingConfig(), piece=3))
+    assert rows(pieces, "rental_id") == rows(whole, "rental_id")
+
+
 def test_overflow_is_rejected_and_others_are_billed(spark):
     big = rental("big", price=2_000_000_000, free=0, total=2_000_000_000, started=at(-36_000))
     tick = billing_tick.run_tick(

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from voltmart.checks.billing_checks import CFG, REPLAY_SQL
 from voltmart.checks.monitoring_checks import _RUNS, HOUR, slide_sql
 from voltmart.checks.registry import query
+from voltmart.checks.rental_checks import starts_sql
 from voltmart.checks.sqlviews import sql
 from voltmart.checks.warehouse_checks import KPI_ROWS, kpi_sql
-from voltmart.operators import mart
+from voltmart.operators import mart, quotes
 from voltmart.plans.replay import opening_state
 from voltmart.session import scratch_path
 from voltmart.sources.testviews import TestViews
-from voltmart.streaming import batches, billing, windows
+from voltmart.streaming import batches, billing, starts, windows
 from voltmart.streaming.run import drain, folder_stream
 
 
@@ -106,6 +107,18 @@ def s3(v):
     return drain(once, scratch_path(v.spark, "s3")).select("idempotency_key")
 
 
+@query(
+    "s3_answered_starts",
+    starts_sql("SELECT request_id, outcome, CASE outcome WHEN 'started' THEN order_id WHEN 'cached' THEN cached_order END AS response_order_id FROM started"),
+)
+def s3_answered(v):
+    """Every start request with its outcome; keys that have started are kept for all later batches."""
+    out = starts.answer_starts(
+        live(v).start_requests(), v.quotes(), quotes.eject_responses(v.stations()), v.holds(), scratch_path(v.spark, "s3")
+    )
+    return out.select("request_id", "outcome", "response_order_id")
+
+
 @query(
     "s4_starts_with_quotes",
     sql(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltmart.functions.buckets import bucket_names, cumulative_counts
-from voltmart.functions.ordered import BUCKET, CUT, PLACE, filled_labels, in_bucket, over_buckets, scan, sure, with_buckets
+from voltmart.functions.ordered import PLACE, filled_labels, in_bucket, scan, sure, with_buckets
 from voltmart.functions.time import add_seconds, col, floor_to
 
 # Failures that open a circuit, and seconds until it is tried again.
@@ -215,12 +215,13 @@ def run_groups(
     id_: str = "id",
     limits: dict[str, int] | None = None,
     max_bucket_rows: int | None = None,
-    carried: DataFrame | None = None,
+    leading: bool = False,
 ) -> DataFrame:
     """All groups of ``failure_runs``, also those without a failure.
 
-    Group n holds what follows the n-th success up to the next one. ``carried(keys, ok_total,
-    open_failures)`` continues an earlier batch: it enters as one more bucket before the rest.
+    Group n holds what follows the n-th success up to the next one. With ``leading``, group 0 also
+    lists its first failures up to the largest limit (``lead``): of rows that follow others, they
+    tell where a run that began before reaches its limit.
     """
     limits = FAIL_MAX if limits is None else limits
     good = F.when(failed, F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("_good")
@@ -243,33 +244,7 @@ def run_groups(
         F.sum("_good").alias("_n_ok"),
         (F.count(F.lit(1)) - F.coalesce(F.max(F.when(is_good, F.col("_rn"))), F.lit(0))).alias("_tail"),
     )
-    if carried is not None:
-        earlier = carried.select(
-            *keys,
-            F.lit("0001-01-01").cast("timestamp").alias(BUCKET),
-            F.lit(0).alias(CUT),
-            F.col("ok_total").alias("_n_ok"),
-            F.col("open_failures").alias("_tail"),
-        )
-        summary = summary.unionByName(earlier)
-    order = over_buckets(keys)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    up_to = order.rowsBetween(Window.unboundedPreceding, 0)
-    carry = summary.withColumns(
-        {
-            "_ok_before": F.coalesce(F.sum("_n_ok").over(before), F.lit(0)),
-            "_segment": F.sum((F.col("_n_ok") > 0).cast("int")).over(up_to),
-        }
-    )
-    open_after = F.sum("_tail").over(
-        Window.partitionBy(*keys, "_segment").orderBy(*PLACE).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    carry = (
-        carry.withColumn("_open", open_after)
-        .withColumn("_open_before", F.coalesce(F.lag("_open").over(order), F.lit(0)))
-        .select(*keys, *PLACE, "_ok_before", "_open_before")
-    )
-
+    carry = open_runs(summary, keys, PLACE)
     placed = local.join(carry, [*keys, *PLACE], "left")
     position = (
         F.col("_rn")
@@ -279,6 +254,8 @@ def run_groups(
     run = F.col("_ok_before") + F.col("_ok") - F.col("_good")
     bad_ts = F.when(~is_good, F.col("_ts"))
     at_limit = ~is_good & (position == limit_of(F.col(keys[-1]), limits))
+    first_ones = [F.max(F.when(~is_good & (run == 0) & (position == i), F.col("_ts"))) for i in range(1, max(limits.values()) + 1)]
+    lead = [F.array_compact(F.array(*first_ones)).alias("lead")] if leading else []
     return (
         placed.withColumn("run", run)
         .withColumn("_opens", F.when(at_limit, F.col("_ts")))
@@ -289,10 +266,34 @@ def run_groups(
             F.max(bad_ts).alias("last_failure"),
             F.min("_opens").alias("opened_at"),
             F.min(F.when(is_good, F.col("_ts"))).alias("closed_at"),
+            *lead,
         )
     )
 
 
+def open_runs(summary: DataFrame, keys: list[str], place: list[str]) -> DataFrame:
+    """What every stretch of a key receives: successes before it, and the failures of the run it continues.
+
+    ``summary(keys, place, _n_ok, _tail)`` has one row per stretch: its successes, and its failures after
+    the last of them. Both combine from stretch to stretch.
+    """
+    order = Window.partitionBy(*keys).orderBy(*place)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    up_to = order.rowsBetween(Window.unboundedPreceding, 0)
+    carry = summary.withColumns(
+        {
+            "_ok_before": F.coalesce(F.sum("_n_ok").over(before), F.lit(0)),
+            "_segment": F.sum((F.col("_n_ok") > 0).cast("int")).over(up_to),
+        }
+    )
+    open_after = F.sum("_tail").over(
+        Window.partitionBy(*keys, "_segment").orderBy(*place).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return carry.withColumn("_open", open_after).select(
+        *keys, *place, "_ok_before", F.coalesce(F.lag("_open").over(order), F.lit(0)).alias("_open_before")
+    )
+
+
 def outages(
     runs: DataFrame, keys: list[str] = BREAKER, timeouts: dict[str, int] | None = None
 ) -> DataFrame:

@@ -1,10 +1,9 @@
 """Many ticks over evolving rental state in one pass (G27, batch form).
 
 Ticks of one rental depend on each other, rentals do not. Each rental's ticks are gathered
-in order and folded over its state with a higher-order function, all inside the JVM. The
-array holds one entry per tick number, about 24 bytes each, so its length is the number of ticks
-replayed (a million in a year of 30-second ticks) and not a matter of skew; copies of a tick are
-removed before gathering.
+in order and folded over its state with a higher-order function, all inside the JVM. That is done
+for PIECE tick numbers at a time, with the states carried from piece to piece, so an array
+holds at most PIECE entries however many ticks are replayed; copies of a tick are removed before.
 """
 
 from __future__ import annotations
@@ -17,6 +16,9 @@ from pyspark.sql import functions as F
 from voltmart.functions.money import BillingConfig, amount_due, backoff_seconds, charge_amount, retry_due
 from voltmart.operators.billing import active_rentals, with_exposure
 from voltmart.plans.billing_tick import split_valid
+from voltmart.session import cut_lineage
+
+PIECE = 10_000  # tick numbers folded together
 
 STATE = (
     "struct<status:string,finished_at:timestamp,price:int,free_min:int,started_at:timestamp,paid:bigint,"
@@ -117,8 +119,7 @@ RESULT_FIELDS = [
 ]
 
 
-def fold_ticks(states: DataFrame, ticks: DataFrame, cfg: BillingConfig) -> DataFrame:
-    """``(rental_id, state)`` after the given ticks; rentals without a tick stay as they are."""
+def _fold_piece(states: DataFrame, ticks: DataFrame, cfg: BillingConfig) -> DataFrame:
     joined = states.join(ordered_ticks(ticks), "rental_id", "left")
     final = F.aggregate("ticks", F.col("state"), lambda s, t: tick_step(s, t, cfg))
     return joined.select(
@@ -126,6 +127,18 @@ def fold_ticks(states: DataFrame, ticks: DataFrame, cfg: BillingConfig) -> DataF
     )
 
 
+def fold_ticks(states: DataFrame, ticks: DataFrame, cfg: BillingConfig, piece: int = PIECE) -> DataFrame:
+    """``(rental_id, state)`` after the given ticks; rentals without a tick stay as they are.
+
+    Pieces without a tick are passed over; the driver sees the numbers of the others.
+    """
+    number = F.floor(F.col("tick") / piece)
+    pieces = sorted(r["p"] for r in ticks.select(number.alias("p")).distinct().collect() if r["p"] is not None)
+    for p in pieces[:-1]:
+        states = cut_lineage(_fold_piece(states, ticks.filter(number == p), cfg))
+    return _fold_piece(states, ticks.filter(number == pieces[-1]), cfg) if pieces else states
+
+
 def flat_states(states: DataFrame) -> DataFrame:
     return states.select("rental_id", *[F.col(f"state.{f}").alias(f) for f in RESULT_FIELDS])
 

@@ -1,9 +1,9 @@
 """Per-rental billing state over a stream of ticks.
 
-Every active rental gets a tick in every round, so a micro-batch touches the whole state
-anyway. The state is therefore a table: each micro-batch folds its ticks over it with the
-same JVM expression as the batch replay and writes the next version. Keyed state in Python
-workers gave the same rows but took about 10 ms per rental and round.
+The state is a table: the opening states, and the states each micro-batch has changed. A batch
+folds its ticks over the states of the rentals it ticks, with the same JVM expression as the batch
+replay, and writes those states only. Keyed state in Python workers gave the same rows but took
+about 10 ms per rental and round.
 """
 
 from __future__ import annotations
@@ -14,59 +14,75 @@ from pyspark.sql import types as T
 
 from voltmart.functions.money import BillingConfig
 from voltmart.plans import replay
-from voltmart.sources.extract import read_or_empty
-from voltmart.streaming.run import drain_batches
+from voltmart.streaming.run import BatchTable, drain_batches, finished
 
-def _stored() -> T.StructType:
-    return T.StructType.fromDDL(f"rental_id string, state {replay.STATE}, batch bigint")
+
+class StateTables:
+    """Opening and changed states, and the ticks that came too late."""
+
+    def __init__(self, ticks: DataFrame, target: str, every: int):
+        self.spark = ticks.sparkSession
+        self.stored = T.StructType.fromDDL(f"rental_id string, state {replay.STATE}")
+        self.opening_path = f"{target}/opening"
+        self.states = BatchTable(self.spark, f"{target}/states", self.stored, self.newest, every)
+        self.late = BatchTable(self.spark, f"{target}/late", ticks.schema, every=every)
+
+    @staticmethod
+    def newest(rows: DataFrame) -> DataFrame:
+        """The last state of every rental."""
+        last = F.max_by(F.struct("state", "batch"), "batch").alias("r")
+        return rows.groupBy("rental_id").agg(last).select("rental_id", "r.state", "r.batch")
+
+    def opening(self) -> DataFrame:
+        return self.spark.read.schema(self.stored).parquet(self.opening_path)
+
+    def at(self, batch_id: int, only: DataFrame | None = None) -> DataFrame:
+        """States before a batch, of the given rentals or of all."""
+        first, changed = self.opening(), self.states.before(batch_id)
+        if only is not None:
+            first, changed = (df.join(only, "rental_id", "left_semi") for df in (first, changed))
+        if not batch_id:
+            return first
+        # After one batch there is one state of a rental at most.
+        changed = (self.newest(changed) if batch_id > 1 else changed).select("rental_id", F.col("state").alias("_now"))
+        return first.join(changed, "rental_id", "left").select("rental_id", F.coalesce("_now", "state").alias("state"))
 
 
 def bill_ticks(
-    ticks: DataFrame, opening: DataFrame, target: str, cfg: BillingConfig = BillingConfig()
+    ticks: DataFrame, opening: DataFrame, target: str, cfg: BillingConfig = BillingConfig(), fold_every: int = 50
 ) -> DataFrame:
     """Final billing state after draining ``ticks(rental_id, tick, now_ts, success)``.
 
-    ``opening`` is the table of ``plans.replay.opening_state``; it is read once, with batch 0.
-    State versions alternate between two folders: batch n reads the one of batch n - 1 and
-    overwrites the other, so a repeated batch starts from the same state. Only active rentals are
-    carried on; those that end go to a folder of their batch. A tick that is not later than the
-    newest one billed for its rental in an earlier batch changes nothing and goes to the late
-    ticks (``late_ticks``).
+    ``opening`` is the table of ``plans.replay.opening_state``; it is stored with batch 0. What a batch
+    writes follows the rentals it ticks. A tick that is not later than the newest one billed for its
+    rental in an earlier batch changes nothing and goes to the late ticks (``late_ticks``).
     """
-    spark = ticks.sparkSession
+    tables = StateTables(ticks, target, fold_every)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch_id == 0:
-            before = opening
-        else:
-            stored = read_or_empty(spark, f"{target}/state-{(batch_id + 1) % 2}", _stored())
-            before = stored.filter((F.col("batch") == batch_id - 1) & (F.col("state.status") == "ACTIVE")).drop("batch")
+        for table in (tables.states, tables.late):
+            table.begin(batch_id)
+        if not batch_id:
+            opening.write.mode("overwrite").parquet(tables.opening_path)
+        before = tables.at(batch_id, batch.select("rental_id").distinct())
+        if batch_id:
             seen = before.select("rental_id", F.col("state.tick").alias("_seen"))
-            late = batch.join(seen, "rental_id").filter("tick <= _seen").drop("_seen")
-            late.write.mode("overwrite").parquet(f"{target}/late/batch={batch_id}")
-        after = replay.fold_ticks(before, batch, cfg)
-        here = f"{target}/state-{batch_id % 2}"
-        after.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(here)
-        ended = spark.read.schema(_stored()).parquet(here).filter("state.status <> 'ACTIVE'").drop("batch")
-        ended.write.mode("overwrite").parquet(f"{target}/ended/batch={batch_id}")
+            tables.late.write(batch.join(seen, "rental_id").filter("tick <= _seen").drop("_seen"), batch_id)
+        else:
+            tables.late.write(batch.limit(0), batch_id)
+        active = before.filter("state.status = 'ACTIVE'")
+        tables.states.write(replay.fold_ticks(active, batch, cfg), batch_id)
 
     drain_batches(ticks, target, handle)
-    return current_states(opening, target)
+    return current_states(tables, opening, finished(tables.spark, target))
 
 
-def current_states(opening: DataFrame, target: str) -> DataFrame:
+def current_states(tables: StateTables, opening: DataFrame, batches: int) -> DataFrame:
     """State after the newest finished batch, ended rentals included; the opening state before any."""
-    spark = opening.sparkSession
-    both = [read_or_empty(spark, f"{target}/state-{i}", _stored()) for i in (0, 1)]
-    every = both[0].unionByName(both[1])
-    last = every.agg(F.max("batch")).first()[0]
-    if last is None:
-        return replay.flat_states(opening)
-    active = every.filter((F.col("batch") == last) & (F.col("state.status") == "ACTIVE")).drop("batch")
-    ended = spark.read.schema(_stored()).parquet(f"{target}/ended").select("rental_id", "state", F.col("batch").alias("_b"))
-    return replay.flat_states(active.unionByName(ended.filter(F.col("_b") <= last).drop("_b")))
-
-
-def late_ticks(spark, target: str, schema: T.StructType) -> DataFrame:
+    return replay.flat_states(tables.at(batches) if batches else opening)
+
+
+def late_ticks(ticks: DataFrame, target: str, fold_every: int = 50) -> DataFrame:
     """Ticks that came after a later tick of their rental had been billed."""
-    return read_or_empty(spark, f"{target}/late", schema)
+    tables = StateTables(ticks, target, fold_every)
+    return tables.late.before(finished(tables.spark, target)).drop("batch")
