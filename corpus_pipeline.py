@@ -37,10 +37,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of passages that an earlier document has go; the character count follows the text."""
     prepare(spark)
-    rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    cut = substring_dedup(docs, carry=rest, with_text=True)
-    columns = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
-    return cut.select(*[columns.get(c, F.col(c)).alias(c) for c in docs.columns])
+    # The other columns go along as one struct, so none can clash with what the operator adds.
+    named = {c: F.col("`" + c.replace("`", "``") + "`") for c in docs.columns if c not in ("doc_id", "text")}
+    rest = F.struct(F.lit(True).alias("carried"), *[col.alias(f"c{i}") for i, col in enumerate(named.values())])
+    cut = substring_dedup(docs.select("doc_id", "text", rest.alias("rest")), carry=["rest"], with_text=True)
+    columns = {"doc_id": F.col("doc_id"), "text": F.col("kept_text")}
+    columns |= {c: F.col(f"rest.c{i}") for i, c in enumerate(named)}
+    columns |= {"n_chars": F.length("kept_text").cast("long")} if "n_chars" in named else {}
+    return cut.select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

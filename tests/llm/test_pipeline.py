@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +18,19 @@ SF = "/root/testdata/sf0.001"
 def test_all_queries_are_registered():
     names = contract.queries()
     assert "pipeline" in names
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
+
+
+def test_a_missing_package_of_the_operators_costs_only_them(tmp_path):
+    """Without the tokenizer files the other queries are still there."""
+    code = (
+        "import sys\nsys.modules['public_tokenizers'] = None\nimport __spark_entry__ as e\n"
+        "assert len(e.queries()) == len(e.oracle_sql()) > 150 and not any(n.startswith('op') for n in e.queries())"
+    )
+    root = str(Path(contract.__file__).parent)
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    assert "left out" in done.stderr
 
 
 def test_stages(spark, tmp_path):
@@ -69,3 +85,21 @@ def test_stages_keep_rows_with_nulls(spark, name):
     assert out.columns == docs.columns
     assert out.count() <= 3 and (name == "quality" or out.count() == 3)
     assert out.select(F.max("doc_id")).count() == 1
+
+
+CLASHING = ["n_words", "n_removed", "kept_sha256", "kept_text", "rest", "c0", "p", "th", "a.b", "t`k", "score", "predicted", "row", "kept"]
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_with_clashing_columns(spark, name):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plain = dict(corpus_pipeline.STAGES)[name](spark, docs, SF)
+    more = docs.select("*", *[F.col("doc_id").cast("string").alias(c) for c in CLASHING])
+    out = dict(corpus_pipeline.STAGES)[name](spark, more, SF)
+    if name == "packing":
+        assert out.columns == plain.columns and out.count() == plain.count()
+        return
+    assert out.columns == more.columns
+    got = out.collect()
+    assert all(str(r["doc_id"]) == r[c] for r in got for c in CLASHING)
+    assert sorted((r["doc_id"], r["text"]) for r in got) == sorted((r["doc_id"], r["text"]) for r in plain.collect())

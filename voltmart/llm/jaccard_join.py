@@ -284,7 +284,8 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with the smallest id of their group, all columns as they were.
 
-    Of rows repeated under one id the first by text stays. Rows with a null id all stay.
+    Of rows repeated under one id the first by text stays, null and blank texts last. Rows with a
+    null id all stay.
     """
     gone = (
         jaccard_join(docs, threshold, id_col, text_col)
@@ -294,6 +295,7 @@ def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD, id_col: str
         F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
     left = packed.where("doc_id IS NOT NULL").join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    blank = F.coalesce(F.trim("text"), F.lit("")) == ""
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(blank, "text"))
     left = left.withColumn("first", first).where("first = 1").select("row.*")
     return left.union(docs.where(F.col(id_col).isNull()))

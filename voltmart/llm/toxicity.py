@@ -430,11 +430,14 @@ def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     """The rows of ``docs`` with a score below 0.5, all columns as they were; no exchange."""
     model = fit(docs, labels, id_col, text_col)
     at = docs.columns.index(text_col)
+    # As one struct, so columns may have any names.
+    rows = docs.select(F.struct("*").alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(model.terms)
         for batch in batches:
-            x = np.array([features(t.as_py() or "", lexicon, model.strange)[0] for t in batch.column(at)]).reshape(-1, 5)
+            texts = batch.column(0).flatten()[at]
+            x = np.array([features(t.as_py() or "", lexicon, model.strange)[0] for t in texts]).reshape(-1, 5)
             yield batch.filter(pa.array(x @ model.weights[:-1] + model.weights[-1] < 0))
 
-    return docs.mapInArrow(run, docs.schema) if model else docs
+    return rows.mapInArrow(run, rows.schema).select("row.*") if model else docs
