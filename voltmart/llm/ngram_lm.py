@@ -17,7 +17,8 @@ Levels are cut into range shards by (context, word), words into shards by hash.
 a shard's counts writes its sequences to the shared folder, and all workers map them from there. An
 index of the trie is the place in the shard plus the sizes of the shards before. The driver sees
 sizes, the sums of contexts that lie in several shards, and histograms. The folder must be one that
-executors can map (a mounted path), and is left there like other scratch folders.
+executors can map (a mounted path), and is left there like other scratch folders. Words are told
+apart by 64 bits of hash.
 """
 
 from __future__ import annotations
@@ -40,9 +41,7 @@ from voltmart.llm.text import fold, whole
 from voltmart.session import cut_lineage, scratch_path
 
 ORDER = 3
-# Off unless set: words below N / HEAD share one class, n-grams below max(2, N / KEPT) go.
-HEAD: int | None = None
-KEPT: int | None = None
+ASK = 1_000_000  # tokens looked up together: every lookup visits each shard it has a key of
 CHUNK = 250_000  # n-grams whose probabilities are worked out together
 DISCOUNT = 0.75
 FLUSH = 2_000_000  # tokens counted together in a task
@@ -83,7 +82,7 @@ def _word_counts(training: DataFrame) -> DataFrame:
 
 
 class _Ids(dict):
-    """Head id by word, looked up in the table of words; forgets everything when it is full."""
+    """Id by word, ``other`` for words that training has not; looked up in the table of words; forgets everything when it is full."""
 
     def __init__(self, table: Words, other: int):
         super().__init__()
@@ -150,7 +149,7 @@ class Words:
         self.begin = np.cumsum([0, *sizes])
         self.bounds = np.array([s << (64 - self.bits) for s in range(1, len(sizes))], np.uint64)
         self.hashes = _Parts(self.begin[:-1], lambda s: EliasFano.mapped(_load(f"{head['root']}/words-{s}.npy")))
-        extra = np.array([head["rest_tokens"], head["ends"]], np.int64)  # of the class, of the beginning
+        extra = np.array([0, head["ends"]], np.int64)  # of a word not met, of the beginning
         self.counts = _Parts(self.begin, lambda s: extra if s == len(sizes) else _load(f"{head['root']}/word-counts-{s}.npy"))
         self.sizes = sizes
 
@@ -221,16 +220,14 @@ class Trie:
         self.head = head
         self.words = Words(head)
         self.counts = self.words.counts
-        self.other = int(self.words.begin[-1])  # id of the class of all other words
+        self.other = int(self.words.begin[-1])  # id of all words that training has not
         self.begin = self.other + 1  # id of the beginning of a text, only a context
         self.width = self.other + 2
         self.levels = [Level(head["root"], k, info, self.width) for k, info in enumerate(head["levels"])]
         self.ids = _Ids(self.words, self.other)
 
     def unigrams(self, ids: np.ndarray) -> np.ndarray:
-        p = (self.counts.take(ids, np.int64) + 1) * self.head["unit"]
-        p[ids == self.other] = self.head["other_mass"] * self.head["unit"]
-        return p
+        return (self.counts.take(ids, np.int64) + 1) * self.head["unit"]
 
     def context_counts(self, level: int, index: np.ndarray) -> np.ndarray:
         return (self.levels[level - 1].counts if level else self.counts).take(index, np.int64)
@@ -277,20 +274,40 @@ class Trie:
         return self._mixed(level, context, self.step(level, context, word), p)
 
     def log10(self, doc: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """log10 of each token's probability; tokens of the other class get the class's."""
+        """log10 of each token's probability; a word that training has not counts as met 0 times."""
         p = self.unigrams(ids)
         for level, (context, gram) in enumerate(self.walk(doc, ids, len(self.levels))):
             p = self._mixed(level, context, gram, p)
         return np.log10(p)
 
 
-def _flat(batches: Iterator[pa.RecordBatch], trie: Trie, column: int):
-    """(texts, token lists, ids, document numbers) of each batch."""
+def _flat(batches: Iterator[pa.RecordBatch], trie: Trie, column: int, ask: int):
+    """(rows without their texts, sizes, ids, document numbers) of about ``ask`` tokens at a time.
+
+    Ids are kept instead of texts while more tokens are gathered.
+    """
+    rows: list[pa.RecordBatch] = []
+    sizes: list[int] = []
+    ids: list[np.ndarray] = []
+
+    def gathered():
+        table = pa.Table.from_batches(rows)
+        return table, np.array(sizes, np.int64), np.concatenate(ids), np.repeat(np.arange(len(sizes)), sizes)
+
+    n = 0
     for batch in batches:
+        if not batch.num_rows:
+            continue
         lists = [tokens(t.as_py()) for t in batch.column(column)]
-        size = [len(x) for x in lists]
-        ids = trie.ids.of([w for x in lists for w in x])
-        yield batch, lists, ids, np.repeat(np.arange(len(lists)), size)
+        sizes += map(len, lists)
+        ids.append(trie.ids.of([w for x in lists for w in x]))
+        rows.append(batch.drop_columns([batch.schema.names[column]]))
+        n += len(ids[-1])
+        if n >= ask:
+            yield gathered()
+            rows, sizes, ids, n = [], [], [], 0
+    if n:
+        yield gathered()
 
 
 _MAPPED: dict[tuple, Trie] = {}
@@ -362,10 +379,11 @@ def _keys(trie: Trie, ids: np.ndarray, doc: np.ndarray, level: int) -> np.ndarra
 
 def _bounds(training: DataFrame, shared, level: int, shards: int, n: int) -> list[int]:
     """First keys of all shards but the first, from a sample of the texts."""
+    ask = ASK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = _open(shared.value)
-        for _, _, ids, doc in _flat(batches, trie, 0):
+        for _, _, ids, doc in _flat(batches, trie, 0, ask):
             yield pa.RecordBatch.from_arrays([pa.array([np.unique(_keys(trie, ids, doc, level)).tobytes()], pa.binary())], names=["keys"])
 
     part = min(1.0, min(BOUND_TOKENS * shards, MOST_BOUND_TOKENS) / max(n, 1))
@@ -375,13 +393,13 @@ def _bounds(training: DataFrame, shared, level: int, shards: int, n: int) -> lis
     return np.unique(keys[places]).tolist() if len(keys) else []
 
 
-def _merged(training: DataFrame, shared, level: int, info: dict, least: int) -> list:
+def _merged(training: DataFrame, shared, level: int, info: dict) -> list:
     """Count a level and write each shard's sequences and counts.
 
     Returns size, and count and number of the continuations of the shard's first and last context.
     """
     spark = training.sparkSession
-    bounds, shards = np.array(info["bounds"], np.int64), len(info["bounds"]) + 1
+    bounds, shards, ask = np.array(info["bounds"], np.int64), len(info["bounds"]) + 1, ASK
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = _open(shared.value)
@@ -403,7 +421,7 @@ def _merged(training: DataFrame, shared, level: int, info: dict, least: int) ->
                 names=["shard", "keys", "counts"],
             )
 
-        for _, _, ids, doc in _flat(batches, trie, 0):
+        for _, _, ids, doc in _flat(batches, trie, 0, ask):
             held.append(_keys(trie, ids, doc, level))
             n += len(held[-1])
             if n > FLUSH:
@@ -426,8 +444,6 @@ def _merged(training: DataFrame, shared, level: int, info: dict, least: int) ->
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
         keys = keys[first]
         counts = np.add.reduceat(counts, first) if len(first) else counts
-        if least > 1:
-            keys, counts = keys[counts >= least], counts[counts >= least]
         base = int(bounds[s - 1]) if s else 0
         low = base // width
         high = int(bounds[s]) // width if s < len(bounds) else info["contexts"] - 1
@@ -447,7 +463,7 @@ def _merged(training: DataFrame, shared, level: int, info: dict, least: int) ->
     return counted.union(none).groupBy("shard").applyInArrow(merge, ", ".join(f"{k} long" for k in fields.names)).collect()
 
 
-def _write_words(words: DataFrame, root: str, v: int, least: int) -> dict:
+def _write_words(words: DataFrame, root: str, v: int) -> dict:
     """Write the shards of the words; returns what the driver knows of them."""
     bits = max(0, -(-v // SHARD_WORDS) - 1).bit_length()
     shard = F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long")
@@ -459,35 +475,31 @@ def _write_words(words: DataFrame, root: str, v: int, least: int) -> dict:
         base = np.uint64(s << (64 - bits)) if s else np.uint64(0)
         _save(f"{root}/words-{s}.npy", EliasFano.flat(h[order] - base))
         _save(f"{root}/word-counts-{s}.npy", c[order].astype(np.int64))
-        return pa.table({"s": [s], "n": [len(h)], "c": [int(c.sum())]})
+        return pa.table({"s": [s], "n": [len(h)]})
 
-    kept = words.where((F.col("c") >= least) | (F.octet_length("w") == 0)) if least > 1 else words
-    rows = kept.select(F.xxhash64("w").alias("h"), "c").select(shard.alias("s"), "h", "c").groupBy("s").applyInArrow(write, "s long, n long, c long").collect()
+    rows = words.select(F.xxhash64("w").alias("h"), "c").select(shard.alias("s"), "h", "c").groupBy("s").applyInArrow(write, "s long, n long").collect()
     sizes = [0] * (1 << bits)
     for r in rows:
         sizes[r["s"]] = r["n"]
     for s in (s for s, size in enumerate(sizes) if not size):
         _save(f"{root}/word-counts-{s}.npy", np.zeros(0, np.int64))
-    return {"word_bits": bits, "word_sizes": sizes, "head_tokens": sum(r["c"] for r in rows)}
+    return {"word_bits": bits, "word_sizes": sizes}
 
 
 def build(training: DataFrame, words: DataFrame, n: int, v: int, order: int = ORDER) -> dict:
     """Head of the trie, whose shards lie in the shared folder; the driver holds a few numbers per shard."""
     spark = training.sparkSession
     root = _folder(spark)
-    head = {"root": root, "levels": [], **_write_words(words, root, v, -(-n // HEAD) if HEAD else 1)}
+    head = {"root": root, "levels": [], **_write_words(words, root, v)}
     size = sum(head["word_sizes"])
-    head["rest_tokens"] = n - head["head_tokens"]
-    head["other_mass"] = head["rest_tokens"] + v - size + 1
     head["unit"] = 1 / (n + v + 1)
     head["ends"] = words.where(F.octet_length("w") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    least = max(2, -(-n // KEPT)) if KEPT else 1
     contexts = size + 2
     for level in range(order - 1):
         shared = spark.sparkContext.broadcast(head)
         shards = max(12, -(-n // SHARD_TOKENS))
         info = {"contexts": contexts, "bounds": _bounds(training, shared, level, shards, n)}
-        done = {r["shard"]: r for r in _merged(training, shared, level, info, least)}
+        done = {r["shard"]: r for r in _merged(training, shared, level, info)}
         shared.unpersist()
         info["sizes"] = [done[s]["n"] for s in range(len(done))]
         _finish(spark, head, level, info, done)
@@ -593,56 +605,31 @@ def language_model(
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     built = build(training, words, n, v, order)
     shared = spark.sparkContext.broadcast(built)
-    unit, other_mass = built["unit"], built["other_mass"]
+    unit, ask = built["unit"], ASK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = _open(shared.value)
-        for batch, lists, ids, doc in _flat(batches, trie, 1):
-            k = len(lists)
-            inside = ids < trie.other
-            base = np.zeros(len(ids))
-            base[inside] = np.log10((trie.counts.take(ids[inside], np.int64) + 1) * unit)
-            score = trie.log10(doc, ids)
-            outside = np.flatnonzero(~inside)
-            flat = [w for x in lists for w in x]
-            names: list[Counter] = [Counter() for _ in range(k)]
-            for i in outside.tolist():
-                names[doc[i]][flat[i]] += 1
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(np.bincount(doc, minlength=k)),
-                    pa.array(np.bincount(doc, inside, k).astype(np.int64)),
-                    pa.array(np.bincount(doc, base, k)),
-                    pa.array(np.bincount(doc, score, k)),
-                    pa.array([list(x) for x in names], pa.list_(pa.binary())),
-                    pa.array([list(x.values()) for x in names], pa.list_(pa.int32())),
-                ],
-                names=["doc_id", "n_tokens", "inside", "base", "score", "w", "times"],
-            )
-
-    scored = cut_lineage(
-        rows.mapInArrow(run, "doc_id long, n_tokens long, inside long, base double, score double, w array<binary>, times array<int>")
-        .withColumn("row_id", F.monotonically_increasing_id())
-    )
-    outside = scored.select("row_id", F.explode(F.arrays_zip("w", "times")).alias("x")).select("row_id", "x.w", "x.times")
-    c = F.coalesce("c", F.lit(0))
-    looked_up = (
-        outside.join(words, "w", "left")
-        .groupBy("row_id")
-        .agg(
-            F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"),
-            F.sum(F.col("times") * F.log10((c + 1) * unit)).alias("more_base"),
-            F.sum(F.col("times") * F.log10((c + 1) / other_mass)).alias("more_score"),
-        )
-    )
-    zero = F.lit(0.0)
-    return scored.drop("w", "times").join(looked_up, "row_id", "left").select(
+        for table, sizes, ids, doc in _flat(batches, trie, 1, ask):
+            k = len(sizes)
+            known = ids < trie.other
+            base = np.full(len(ids), np.log10(unit))
+            base[known] = np.log10((trie.counts.take(ids[known], np.int64) + 1) * unit)
+            columns = [
+                table["doc_id"].combine_chunks(),
+                pa.array(sizes),
+                pa.array(np.bincount(doc, known, k).astype(np.int64)),
+                pa.array(np.bincount(doc, base, k)),
+                pa.array(np.bincount(doc, trie.log10(doc, ids), k)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    scored = rows.mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    return scored.select(
         "doc_id",
         (fold(F.col("doc_id"), folds) == held).alias("held_out"),
         "n_tokens",
-        (F.col("inside") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
+        "n_known",
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", zero)).alias("base_score"),
-        (F.col("score") + F.coalesce("more_score", zero)).alias("score"),
+        "base_score",
+        "score",
     )
