@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,6 +143,7 @@ def check_vectors(df, rows, threshold=0.95):
     for i, v in rows:
         x = np.array([np.nan if c is None else c for c in v or []], float)
         if len(x) and np.isfinite(x).all() and (x != 0).any():
+            x = x / np.abs(x).max()
             unit[i] = x / np.linalg.norm(x)
     ids = sorted(unit)
     links = [
@@ -153,8 +155,8 @@ def check_vectors(df, rows, threshold=0.95):
     assert got == {i: (sum(i in x for x in links), root[i], root[i] == i) for i, _ in rows}
 
 
-@pytest.mark.parametrize("block", [4096, 16])
-def test_vectors(spark, block):
+@pytest.mark.parametrize("block, cell", [(4096, 4096), (16, 4096), (4096, 16), (24, 32)])
+def test_vectors(spark, block, cell):
     r = np.random.RandomState(2)
     centres = r.normal(size=(20, 8))
     rows = []
@@ -164,7 +166,7 @@ def test_vectors(spark, block):
     rows += [(900, None), (901, []), (902, [0.0] * 8), (903, [1.0, None] + [0.0] * 6), (904, [float("nan")] * 8)]
     rows += [(905, [float("inf")] * 8), (906, [1.0, 2.0]), (907, [2.0, 4.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit(1))
-    check_vectors(vj.near_vectors(df, block=block), rows)
+    check_vectors(vj.near_vectors(df, block=block, cell=cell), rows)
 
 
 def test_vector_edges(spark):
@@ -174,6 +176,46 @@ def test_vector_edges(spark):
     assert vj.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_any_magnitude(spark):
+    rows = [(1, [1e200, 0.0]), (2, [1e-200, 0.0]), (3, [3.0, 1e-3]), (4, [0.0, 5e-324]), (5, [1e-310, 1e308]), (6, [-1e200, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    check_vectors(vj.near_vectors(df), rows)
+    narrow = [(1, [1e-40, 0.0]), (2, [2.0, 0.0]), (3, [3e38, 3e38])]
+    check_vectors(vj.near_vectors(spark.createDataFrame(narrow, "vec_id long, embedding array<float>")), narrow)
+
+
+@pytest.mark.parametrize("threshold, cell", [(-0.2, 16), (0.3, 16), (0.999, 8)])
+def test_vectors_at_other_thresholds(spark, threshold, cell):
+    """Bounds by angle hold for wide and narrow ones; a third of all vectors is one tight group."""
+    r = np.random.RandomState(5)
+    rows = [(k, [float(x) for x in (r.normal(size=6) if k % 3 else 1 + 0.01 * r.normal(size=6))]) for k in range(240)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    check_vectors(vj.near_vectors(df, threshold, block=32, cell=cell), rows, threshold)
+
+
+def test_vectors_hold_few_links_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(vj, "HELD", 50)
+    monkeypatch.setattr(vj, "PRODUCTS", 400)
+    r = np.random.RandomState(6)
+    base = r.normal(size=(3, 5))
+    x = [base[k % 3] + 0.02 * r.normal(size=5) for k in range(90)]
+    part = np.where(np.arange(90) < 60, vj.HOME | vj.OTHER, vj.VISITOR)
+    table = pa.table({"vec_id": np.arange(90), "times": np.ones(90, np.int64), "part": part, "v": [v.tobytes() for v in x]})
+    out = vj._compare(0.95, "<f8")(table).to_pylist()
+    unit = np.array(x) / np.linalg.norm(x, axis=1)[:, None]
+    near = unit @ unit.T >= 0.95
+    near[60:, 60:] = False  # visitors are not compared with each other
+    np.fill_diagonal(near, False)
+    assert {o["vec_id"]: o["links"] for o in out if o["root"] is None} == dict(enumerate(near.sum(1)))
+    assert {o["vec_id"]: o["root"] for o in out if o["root"] is not None} == {k: k % 3 for k in range(3, 90)}
+
+
+def test_different_vectors_under_one_id(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.01]), (2, [0.0, 1.0])], "vec_id long, embedding array<float>")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in vj.near_vectors(df).collect())
+    assert got == [(1, 0, 1, True), (1, 0, 1, True), (2, 0, 2, True)]
+
+
 @pytest.mark.parametrize("one_task", [0, 1000])
 def test_components_of_chains_and_stars(spark, one_task):
     links = [(k, k + 1) for k in range(1, 120)] + [(500, k) for k in range(501, 560)] + [(7, 7), (None, 3), (3, None)]
