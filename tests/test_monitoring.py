@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tests.helpers import at, land
 from voltmart.functions.buckets import API_DURATION_BOUNDS
-from voltmart.operators import alerts, metrics, rates
+from voltmart.operators import alerts, metrics, quantiles, rates
 from voltmart.session import scratch_path
 from voltmart.streaming import batches
 from voltmart.streaming.run import folder_stream
@@ -188,14 +188,38 @@ def test_bucket_quantile(spark, values):
     assert out.first()["value"] == pytest.approx(quantile_by_hand(values, API_DURATION_BOUNDS, 0.95))
 
 
-def test_exact_quantile_with_hot_value(spark):
+@pytest.mark.parametrize("most", [1, 20, 65_536])
+def test_exact_quantile_with_hot_value(spark, monkeypatch, most):
+    monkeypatch.setattr(quantiles, "SKETCH", 16)  # a poor sketch costs rounds, never the result
     rng = np.random.default_rng(3)
     values = np.round(np.concatenate([rng.exponential(2, 400), np.full(300, 1.25), [0.0, -3.0, 1e6]]), 4)
-    df = spark.createDataFrame([("a", float(v)) for v in values] + [("b", 7.5)], "s string, v double")
+    halves = [1.0] * 50 + [2.0] * 50
+    data = [("a", float(v)) for v in values] + [("b", 7.5)] + [("c", v) for v in halves] + [("b", None), ("d", None), ("d", float("nan"))]
+    df = spark.createDataFrame(data, "s string, v double")
     for q in (0.0, 0.5, 0.95, 1.0):
-        got = {r["s"]: r["value"] for r in rates.exact_quantile(df, ["s"], "v", q).collect()}
-        assert got["a"] == pytest.approx(np.quantile(values, q))
-        assert got["b"] == 7.5
+        got = {r["s"]: (r["samples"], r["value"]) for r in quantiles.exact_quantile(df, ["s"], "v", q, most).collect()}
+        assert got == {
+            "a": (703, pytest.approx(np.quantile(values, q))), "b": (1, 7.5), "c": (100, pytest.approx(np.quantile(halves, q)))
+        }
+
+
+def test_exact_quantile_without_labels_and_rows(spark):
+    df = spark.createDataFrame([(None, 3), ("x", 1), ("", 2)], "s string, v int")
+    assert [tuple(r) for r in quantiles.exact_quantile(df, [], "v", 0.5).collect()] == [(3, 2.0)]
+    assert sorted(tuple(r) for r in quantiles.exact_quantile(df, ["s"], "v", 1.0).collect()) == [("", 2, 3.0), ("x", 1, 1.0)]
+    assert quantiles.exact_quantile(df.limit(0), ["s"], "v").count() == 0
+    assert quantiles.exact_quantile(df.limit(0), [], "v").count() == 0
+
+
+def test_exact_quantile_per_window(spark):
+    rng = np.random.default_rng(4)
+    data = [(str(k % 2), at(int(k)), float(rng.normal())) for k in range(0, 400, 3)] + [("0", None, 1.0)]
+    df = spark.createDataFrame(data, "s string, ts timestamp, v double")
+    got = {(r["s"], r["t"]): r["value"] for r in quantiles.exact_quantile_per_window(df, ["s"], "ts", "v", 60, 0.9, most=4).collect()}
+    want = {}
+    for s, ts, v in data[:-1]:
+        want.setdefault((s, (ts - at(0)).total_seconds() // 60), []).append(v)
+    assert got == {(s, at(60 * int(w + 1))): pytest.approx(np.quantile(v, 0.9)) for (s, w), v in want.items()}
 
 
 def points(spark, *minutes, series="s"):

@@ -20,7 +20,7 @@ from voltmart.functions.buckets import (
     RENTAL_DURATION_BOUNDS,
 )
 from voltmart.functions.time import whole_seconds_between
-from voltmart.operators import alerts, metrics, rates
+from voltmart.operators import alerts, metrics, quantiles, rates
 from voltmart.operators.metrics import FAIL_MAX, RESET_TIMEOUT_SEC
 
 HOUR, DAY = 3600, 86400
@@ -389,7 +389,20 @@ def r4(v):
     ),
 )
 def r5(v):
-    out = rates.exact_quantile(v.api_events(), ["service", "circuit"], "duration_s")
+    out = quantiles.exact_quantile(v.api_events(), ["service", "circuit"], "duration_s")
+    return out.withColumn("value", F.round("value", 6))
+
+
+@query(
+    "r5_exact_quantile_daily",
+    sql(
+        "SELECT service, circuit, date_trunc('day', ts) + INTERVAL 1 DAY AS t, count(*) AS samples, "
+        "round(quantile_cont(duration_s, 0.95), 6) AS value FROM api_events GROUP BY ALL",
+        "api_events",
+    ),
+)
+def r5_daily(v):
+    out = quantiles.exact_quantile_per_window(v.api_events(), ["service", "circuit"], "ts", "duration_s", 24 * HOUR)
     return out.withColumn("value", F.round("value", 6))
 
 

@@ -1,4 +1,4 @@
-"""Sliding rates, quantiles and gauges on an evaluation grid.
+"""Sliding rates, bucket quantiles and gauges on an evaluation grid.
 
 Definitions: the grid is the multiples of ``step_s``; the range of grid time t is
 ``[t - window, t)``; increase is the count (or sum) in the range and rate is increase per
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltmart.functions.buckets import bucket_names, bucket_quantile, cumulative_counts
-from voltmart.functions.ordered import filled_labels, scan, sure, with_buckets
+from voltmart.functions.ordered import filled_labels, scan, with_buckets
 from voltmart.functions.time import MICROS, add_seconds, floor_to
 
 
@@ -161,47 +161,6 @@ def quantile(
     return grid_points(quantile_stretches(events, labels, ts, value, bounds, window_s, step_s, q), step_s)
 
 
-def exact_quantile(events: DataFrame, labels: list[str], value: str, q: float = 0.95) -> DataFrame:
-    """Exact quantile with linear interpolation, next to the bucket form.
-
-    ``percentile`` keeps a group's distinct values in one task. Here values are counted first
-    and ranked in two levels: inside ranges of about 1 % of the value, and over the ranges, of
-    which there are a few thousand for any spread of doubles.
-    """
-    known = filled_labels(events.filter(F.col(value).isNotNull()), labels)
-    counts = known.groupBy(*labels, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    magnitude = (F.signum("_v") * F.floor(F.log1p(F.abs("_v") * 1e6) * 100)).cast("bigint")
-    ranged = counts.withColumn("_range", sure(magnitude, 0))
-    totals = ranged.groupBy(*labels, "_range").agg(F.sum("_n").alias("_t"))
-    ordered = Window.partitionBy(*labels).orderBy("_range")
-    every = Window.partitionBy(*labels)
-    carry = totals.select(
-        *labels,
-        "_range",
-        F.coalesce(F.sum("_t").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        F.sum("_t").over(every).alias("_total"),
-    )
-    inside = Window.partitionBy(*labels, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        ranged.withColumn("_run", F.sum("_n").over(inside))
-        .join(carry, [*labels, "_range"], "left")
-        .withColumn("_first", F.col("_before") + F.col("_run") - F.col("_n"))
-    )
-    place = F.lit(q) * (F.col("_total") - 1)
-    low, high = F.floor(place), F.ceil(place)
-
-    def at(rank: Column) -> Column:
-        inside_row = (rank >= F.col("_first")) & (rank < F.col("_first") + F.col("_n"))
-        return F.max(F.when(inside_row, F.col("_v")))
-
-    found = ranked.groupBy(*labels).agg(
-        at(low).alias("_lo"), at(high).alias("_hi"), F.max(place - low).alias("_part"), F.max("_total").alias("samples")
-    )
-    return found.select(
-        *labels, "samples", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_part")).alias("value")
-    )
-
-
 def last_in_window(samples: DataFrame, labels: list[str], ts: str, tie: str, value: str, step_s: int) -> DataFrame:
     """Last sample per label set and step, shown at the end of the step."""
     newest = F.max_by(value, F.struct(ts, tie)).alias("value")
