@@ -171,6 +171,36 @@ def test_automaton_finds_all_near_terms(terms, word):
     assert found == ((min(near)[1], min(near)[0]) if near else None)
 
 
+@pytest.mark.parametrize(
+    "text, inside",
+    [
+        ('he said "a b c" d', ["a b c"]),
+        ("she said 'don't be it' ok", ["don't be it"]),
+        ("it's the dogs' bone, isn't it", []),
+        ('an "open mark\nand "one line" more', ["one line"]),
+        ("„wort hier“ und «mot ici» et »so« “en” “a ‘b’ c”", ["wort hier", "mot ici", "so", "en", "a ‘b’ c"]),
+        ('""', [""]),
+        ('5" and 6" wide', []),
+        ("", []),
+    ],
+)
+def test_quotations(text, inside):
+    assert [text[a + 1 : b] for a, b in toxicity.quotations(text)] == inside
+
+
+@pytest.mark.parametrize("n", range(1, 13))
+def test_quoted_sentences_of_any_length(n):
+    lexicon = toxicity.Lexicon([("idiot", False)])
+    for k in range(n):
+        told = " ".join(["idiot" if i == k else "filler" for i in range(n)])
+        for text in (f'he said "{told}" to them', f'"{told}" he wrote', f"she called him '{told}' once"):
+            direct, _, quoted, kinds, _ = toxicity.features(text, lexicon, {})[0]
+            assert direct == 0 and quoted > 0 and kinds == 0
+        for text in (told, f'"{told}" to them', f'he said "{told}'):
+            x = toxicity.features(text, lexicon, {})[0]
+            assert x[0] > 0 and x[2] == 0
+
+
 def test_lexicon_stems_and_quotes():
     lexicon = toxicity.Lexicon([("idiot", False), ("vequ", True)])
     assert lexicon.find("vequtant") == (1, 0) and lexicon.find("idoit") == (0, 1) and lexicon.find("idea") is None

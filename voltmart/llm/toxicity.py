@@ -4,8 +4,8 @@ The lexicon is learned from labelled texts: whole words, and stems (beginnings o
 that occur with many endings. The whole words that a stem covers are kept beside it, as only whole
 words are searched with edits. The lexicon is a trie. A word is looked up by walking the trie and the
 Levenshtein automaton of the word side by side, so all terms within the allowed distance are found
-without comparing the word with each term. A hit inside quotation marks, or near a word of report,
-counts less than a direct one. The document's score is a logistic function of its hits.
+without comparing the word with each term. A hit inside a quotation that a word of report
+introduces, follows or comments within the context window counts apart from direct ones. The document's score is a logistic function of its hits.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import heapq
 import re
 from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -34,7 +35,9 @@ CONTEXT = 6  # words on each side of a hit
 REPORT = frozenset(
     "said says wrote quoted quote called word term says dit écrit cité mot sagte schrieb zitat wort dijo escribió cita palabra".split()
 )
-QUOTES = frozenset("\"'“”„«»‘’")
+# Quotation marks and the kind of each; marks of one kind open and close each other.
+QUOTES = {'"': 0, "“": 1, "”": 1, "„": 1, "«": 2, "»": 2, "'": 3, "‘": 3, "’": 3}
+MARK = re.compile("[\n" + "".join(QUOTES) + "]")
 # A token begins and ends with a letter, digit or mark; signs inside may stand for letters.
 TOKEN = re.compile(r"\w(?:[\w@$*!|]*\w)?")
 
@@ -203,6 +206,38 @@ class Model:
     strange: dict[str, float]  # misspelled forms seen in training: toxic share
 
 
+def quotations(text: str) -> list[tuple[int, int]]:
+    """Disjoint spans inside quotation marks, in order; nested ones belong to the outer.
+
+    A mark between two letters or digits is an apostrophe. Straight and single marks open before
+    a word and close after one. A mark that its line does not close quotes nothing.
+    """
+    spans: list[tuple[int, int]] = []
+    opened: dict[int, int] = {}
+    for m in MARK.finditer(text):
+        at, kind = m.start(), QUOTES.get(m[0])
+        if kind is None:
+            opened.clear()
+            continue
+        before, after = text[at - 1] if at else " ", text[at + 1] if at + 1 < len(text) else " "
+        if before.isalnum() and after.isalnum():
+            continue
+        straight = kind in (0, 3)
+        if kind in opened:
+            if not straight or not (before.isspace() or after.isalnum()):
+                spans.append((opened.pop(kind), at))
+        elif not straight and m[0] != "”" or straight and not (before.isalnum() or after.isspace()):
+            opened[kind] = at
+    spans.sort()
+    outer: list[tuple[int, int]] = []
+    for a, b in spans:
+        if outer and a < outer[-1][1]:
+            outer[-1] = (outer[-1][0], max(b, outer[-1][1]))
+        else:
+            outer.append((a, b))
+    return outer
+
+
 def features(text: str, lexicon: Lexicon, strange: dict[str, float]) -> tuple[np.ndarray, set[str]]:
     """Hits of a whole text: direct, misspelled, quoted, kinds of terms, density; and the misspelled forms."""
     lower = text.lower()
@@ -211,25 +246,27 @@ def features(text: str, lexicon: Lexicon, strange: dict[str, float]) -> tuple[np
     if not known:
         return np.zeros(5), set()
     direct = fuzzy = quoted = 0.0
-    n, at = 0, []
     spans = list(TOKEN.finditer(lower))
-    for k, m in enumerate(spans):
-        n += 1
-        if m[0] in known:
-            at.append((k, m))
+    n, starts = len(spans), [m.start() for m in spans]
+    quotes = quotations(lower)
+    opens = [a for a, _ in quotes]
     kinds, odd = set(), set()
-    for k, m in at:
+    for k, m in enumerate(spans):
+        if m[0] not in known:
+            continue
         term, edits = known[m[0]]
         weight = 1.0
         if edits:
             odd.add(m[0])
             weight = strange.get(m[0], 0.5)
-        before, after = lower[max(0, m.start() - 1) : m.start()], lower[m.end() : m.end() + 1]
-        near = spans[max(0, k - CONTEXT) : k] + spans[k + 1 : k + 1 + CONTEXT]
-        inside = before in QUOTES and bool(before) or after in QUOTES and bool(after)
-        if inside and any(x[0] in REPORT for x in near):
-            quoted += weight
-            continue
+        q = bisect_right(opens, m.start()) - 1
+        if q >= 0 and m.start() < quotes[q][1]:
+            # The window lies around the hit, before the quotation and after it.
+            first, last = (bisect_left(starts, x) for x in quotes[q])
+            near = spans[max(0, k - CONTEXT) : k + 1 + CONTEXT] + spans[max(0, first - CONTEXT) : first] + spans[last : last + CONTEXT]
+            if any(x[0] in REPORT for x in near):
+                quoted += weight
+                continue
         if edits:
             fuzzy += weight
         else:
