@@ -26,6 +26,7 @@ from voltmart.llm.toxicity import logistic
 from voltmart.session import cut_lineage
 
 SAMPLE = 20_000  # labelled rows the classifier is fitted on, at most
+FEW_SITES = 100_000  # sites that are broadcast: some 10 MB of names and numbers
 SYMBOLS = b"#*$%&|<>"
 FEATURES = 10
 
@@ -204,7 +205,11 @@ def site_quality(
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", host_col="source", path_col="lang") -> DataFrame:
-    """The rows of ``docs`` that site_quality keeps, all columns as they were."""
+    """The rows of ``docs`` that site_quality keeps, all columns as they were.
+
+    Rows are not exchanged while at most FEW_SITES sites have to meet them; more are joined as the
+    planner sees fit.
+    """
     model = fit(docs, labels, id_col, text_col)
     # The row travels as one struct, so no column of it can clash with the sites'.
     packed = docs.select(
@@ -212,5 +217,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="tex
         F.col(text_col).cast("string").alias("text"),
     )
     sites = site_posteriors(cut_lineage(with_evidence(packed.drop("row"), model, "text", "p").drop("text")))
-    scored = with_evidence(packed, model, "text", "p").drop("text").join(sites.table, ["host", "path"])
+    # The checkpoint hides from the planner how small the table is.
+    table = F.broadcast(sites.table) if sites.table.count() <= FEW_SITES else sites.table
+    scored = with_evidence(packed, model, "text", "p").drop("text").join(table, ["host", "path"])
     return scored.where(F.round(sites.score(F.col("p")), 12) >= 0.5).select("row.*")
