@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -32,6 +34,8 @@ def test_elias_fano(values, others):
         inside = values[len(values) // 2 :]
         want = [inside.index(x) + len(values) // 2 if x in inside else -1 for x in asked]
         assert e.find(np.array(asked, np.uint64), lo, np.full(len(asked), len(values))).tolist() == want
+        here, after = e.spans(np.arange(len(values) - 1))
+        assert (here.tolist(), after.tolist()) == (values[:-1], values[1:])
 
 
 def lower(text):
@@ -137,6 +141,73 @@ def test_language_model_keeps_everything_in_shards(spark, monkeypatch, order, sh
     assert (len(built[0]["word_sizes"]) > 3) == (shard_words == 3)
 
 
+def test_language_model_reads_texts_four_times(spark):
+    """Words, bounds (a sample, here all), one count for both levels, scores."""
+    met = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            met.add(batch.num_rows)
+            yield batch
+
+    rows = odd_rows()
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS).mapInArrow(run, DOCS)
+    assert len(ngram_lm.language_model(docs).collect()) == len(rows)
+    assert met.value == 4 * len(rows)
+
+
+@pytest.mark.parametrize("flush", [1, 10**6])
+def test_language_model_pairs_over_several_shards(spark, monkeypatch, flush):
+    """A pair with more continuations than a shard has triples, and one that only ends texts."""
+    monkeypatch.setattr(ngram_lm, "FLUSH", flush)
+    monkeypatch.setattr(ngram_lm, "SHARD_TOKENS", 20)
+    merged = []
+    merge = ngram_lm._merged
+    monkeypatch.setattr(ngram_lm, "_merged", lambda *a: merged.append(merge(*a)) or merged[-1])
+    rows = odd_rows() + [(2000 + i, f"of the thing{i} of the thing{i // 2} of the") for i in range(150)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    want = {(i, t): x for i, group in plain_model(rows, 3, 1, 1).items() for t, x in zip([t for j, t in rows if j == i], group)}
+    got = {}
+    for r in ngram_lm.language_model(docs).collect():
+        got.setdefault(r.doc_id, []).append((r.n_tokens, r.n_known, r.train_tokens, r.score))
+    assert sum(r["shared"] for r in merged[0]) > 3
+    for i in {i for i, _ in want}:
+        exact = sorted((*x[:3], x[4]) for (j, _), x in want.items() if j == i)
+        for a, b in zip(sorted(got[i]), exact, strict=True):
+            assert a[:3] == b[:3]
+            assert b[3] - 0.02 * a[0] - 1e-6 <= a[3] <= b[3] + 1e-6
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="aBZ \t\n\x0b\x0c\r\x1c\x85\xa0éİ", max_size=12) | st.none(), max_size=8))
+def test_language_model_words(texts):
+    words, sizes = ngram_lm._words_of(pa.array(texts, pa.string()))
+    want = [lower(t)[:-1] for t in texts]
+    assert words.to_pylist() == [w for x in want for w in x]
+    assert sizes.tolist() == [len(x) for x in want]
+
+
+@pytest.mark.parametrize("vocabulary", [4, 3_000_000])
+def test_language_model_triples(vocabulary):
+    """Also where three words of one count have more bits than a number."""
+    rng = np.random.default_rng(5)
+    trie = SimpleNamespace(begin=2 * vocabulary + 1, width=2 * vocabulary + 2)
+    alphabet = np.arange(vocabulary) * 2
+    local = rng.choice(np.array([0, 1, vocabulary - 2, vocabulary - 1]), 500)
+    first = rng.random(500) < 0.2
+    first[0] = True
+    pair, third, counts = ngram_lm._triples(trie, alphabet, local, first, 3)
+    want = Counter()
+    for k, x in enumerate(local.tolist()):
+        before = trie.begin if first[k] else 2 * int(local[k - 1])
+        want[before * trie.width + 2 * x, 0 if k == 499 or first[k + 1] else 2 * int(local[k + 1]) + 1] += 1
+    assert list(zip(pair.tolist(), third.tolist(), counts.tolist())) == [(*k, want[k]) for k in sorted(want)]
+    order, new = ngram_lm._in_order(np.array([5, 2**61, 5, 5]), np.array([9, 7, 8, 9]))
+    assert order.tolist() == [2, 0, 3, 1] and new.tolist() == [0, 1, 3]
+    values = rng.integers(0, 2**62, 50)
+    assert ngram_lm._numbers(ngram_lm._planes(values), 50).tolist() == values.tolist()
+
+
 def test_language_model_beats_unigrams(spark):
     got = ngram_lm.language_model(spark.read.parquet(f"{SF}/documents.parquet")).where("held_out")
     base, score = got.agg(F.sum("base_score"), F.sum("score")).first()

@@ -11,7 +11,6 @@ import numpy as np
 
 _ONE = np.uint64(1)
 _WORD = np.uint64(64)
-_BYTE_COUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
 def _select_table() -> np.ndarray:
@@ -26,17 +25,39 @@ def _select_table() -> np.ndarray:
 _BYTE_SELECT = _select_table()
 
 
+def _u(x: int) -> np.uint64:
+    return np.uint64(x)
+
+
+_ONES, _TOPS = _u(0x0101010101010101), _u(0x8080808080808080)
+_FIVES, _THREES, _NIBBLES = _u(0x5555555555555555), _u(0x3333333333333333), _u(0x0F0F0F0F0F0F0F0F)
+
+
 def _select(words: np.ndarray, before: np.ndarray, k: np.ndarray, flip: bool) -> np.ndarray:
     """Positions of the k-th (from 0) set bits, or clear bits if ``flip``; before: such bits up to each word."""
     w = np.searchsorted(before, k, side="right") - 1
-    left = (k - before[w]).astype(np.int64)
+    left = (k - before[w]).astype(np.uint64)
     bits = ~words[w] if flip else words[w]
-    cell = np.ascontiguousarray(bits).view(np.uint8).reshape(-1, 8)
-    counts = np.cumsum(_BYTE_COUNT[cell], axis=1, dtype=np.uint8)
-    byte = np.count_nonzero(counts <= left.astype(np.uint8)[:, None], axis=1)
-    rows = np.arange(len(k))
-    left -= np.where(byte > 0, counts[rows, byte - 1], 0)
-    return w * 64 + byte * 8 + _BYTE_SELECT[cell[rows, byte], left]
+    # Set bits up to and with each byte, all bytes of a word at a time.
+    upto = bits - ((bits >> _ONE) & _FIVES)
+    upto = (upto & _THREES) + ((upto >> _u(2)) & _THREES)
+    upto = ((upto + (upto >> _u(4))) & _NIBBLES) * _ONES
+    # Bytes that end at or before the bit asked for.
+    byte = np.bitwise_count((((left * _ONES) | _TOPS) - upto) & _TOPS).astype(np.uint64) << _u(3)
+    left -= ((upto << _u(8)) >> byte) & _u(255)
+    cell = (bits >> byte) & _u(255)
+    return w * 64 + (byte + _BYTE_SELECT.ravel()[((cell << _u(3)) | left).astype(np.int64)]).astype(np.int64)
+
+
+def _next(words: np.ndarray, before: np.ndarray, at: np.ndarray, k: np.ndarray, flip: bool) -> np.ndarray:
+    """Positions of the k-th such bits, which are the first ones from ``at`` on."""
+    w = at >> 6
+    bits = (~words[w] if flip else words[w]) >> (at & 63).astype(np.uint64)
+    out = at + np.bitwise_count((bits & (~bits + _ONE)) - _ONE)
+    far = np.flatnonzero(bits == 0)
+    if len(far):
+        out[far] = _select(words, before, k[far], flip)
+    return out
 
 
 class EliasFano:
@@ -105,6 +126,13 @@ class EliasFano:
         high = (_select(self.high, self.ones, i, False) - i).astype(np.uint64)
         return (high << np.uint64(self.low_bits)) | self._low(i)
 
+    def spans(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers at positions ``i`` and at the positions after them."""
+        at = _select(self.high, self.ones, i, False)
+        after = _next(self.high, self.ones, at + 1, i + 1, False)
+        shift = np.uint64(self.low_bits)
+        return tuple((((p - k).astype(np.uint64) << shift) | self._low(k)).astype(np.int64) for p, k in ((at, i), (after, i + 1)))
+
     def find(self, x: np.ndarray, begin: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
         """First position of each query, or -1 where it is absent; only inside begin..end if given."""
         x = np.asarray(x, np.uint64)
@@ -115,10 +143,10 @@ class EliasFano:
         q = x[asked]
         bucket = (q >> np.uint64(self.low_bits)).astype(np.int64)
         # Numbers with high part h lie between the (h-1)-th and the h-th clear bit.
-        lo = np.zeros(len(q), np.int64)
-        later = bucket > 0
-        lo[later] = _select(self.high, self.zeros, bucket[later] - 1, True) - bucket[later] + 1
-        hi = _select(self.high, self.zeros, bucket, True) - bucket
+        at = np.zeros(len(q), np.int64)
+        later = np.flatnonzero(bucket)
+        at[later] = _select(self.high, self.zeros, bucket[later] - 1, True) + 1
+        lo, hi = at - bucket, _next(self.high, self.zeros, at, bucket, True) - bucket
         if begin is not None:
             lo, hi = np.maximum(lo, begin[asked]), np.minimum(hi, end[asked])
         want = q & np.uint64((1 << self.low_bits) - 1)
