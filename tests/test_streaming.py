@@ -77,6 +77,34 @@ def test_start_meets_its_quote_across_batches(spark):
     assert rows(out.select("request_id")) == [("edge",), ("ok",)]
 
 
+@pytest.mark.parametrize("fold_every", [50, 1])
+def test_quote_join_keeps_and_drops_by_the_watermark(spark, fold_every):
+    """What a batch leaves lies in tables: no copies of quotes, no state in memory; late rows go one batch after the mark."""
+    hot = [("q1", "u", "s", 60, 0, 300, at(60), at(0))]
+    quotes = stream_of(
+        spark, QUOTE_COLS,
+        hot,
+        [("q2", "u", "s", 90, 0, 400, at(5060), at(5000)), ("q2", "u", "s", 90, 0, 500, at(5060), at(5000))],
+        [("q3", "u", "s", 60, 0, 300, at(9060), at(9000))],
+        [("q4", "u", "s", 60, 0, 300, at(61), at(1)), ("q5", "u", "s", 60, 0, 300, at(9160), at(9100))],
+    )
+    starts = stream_of(
+        spark, "request_id string, quote_id string, requested_at timestamp",
+        [(f"h{i}", "q1", at(i % 61)) for i in range(300)] + [("null", None, at(5)), ("untimed", "q1", None)],
+        [("second", "q2", at(5060)), ("behind", "q1", at(30)), ("early", "q5", at(9130))],
+        [("again", "q1", at(31)), ("third", "q3", at(9000))],
+        [("gone", "q1", at(32)), ("none", "q4", at(2)), ("fifth", "q5", at(9101))],
+    )
+    target = scratch_path(spark, "out")
+    out = drain(windows.starts_with_quotes(starts, quotes, fold_every=fold_every), target)
+    got = sorted(r["request_id"] for r in out.collect() if not r["request_id"].startswith("h"))
+    assert got == ["again", "behind", "early", "fifth", "second", "second", "third"]
+    assert out.filter("request_id LIKE 'h%'").count() == 300
+    kept = spark.read.parquet(f"{target}/kept/batch-0")
+    assert kept.filter("made").count() == 1
+    assert not spark.read.option("recursiveFileLookup", True).format("binaryFile").load(target).filter("path LIKE '%/state/%'").count()
+
+
 def test_sliding_rate_matches_batch_for_closed_windows(spark):
     from voltmart.operators import rates
 

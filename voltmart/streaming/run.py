@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,11 +23,19 @@ def folder_stream(
     return reader.parquet(folder)
 
 
-def drain(stream: DataFrame, target: str, mode: str = "append") -> DataFrame:
+class BatchJob(NamedTuple):
+    """A stream whose micro-batches are computed as tables: ``run`` drains it into a folder."""
+
+    run: Callable[[str], DataFrame]
+
+
+def drain(stream: DataFrame | BatchJob, target: str, mode: str = "append") -> DataFrame:
     """Process everything available into a Parquet folder and return it as a table.
 
     Offsets and state live next to the output in the shared folder, so a restart continues.
     """
+    if isinstance(stream, BatchJob):
+        return stream.run(target)
     query = (
         stream.writeStream.outputMode(mode)
         .format("parquet")

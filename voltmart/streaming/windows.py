@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltmart.functions.time import add_seconds
 from voltmart.operators.quotes import QUOTE_LIFE_SEC
-from voltmart.streaming.run import LATENESS
+from voltmart.streaming.run import FOLD_EVERY, LATENESS, BatchJob, BatchTable, drain_batches, finished
 
 
 def quote_events(quotes: DataFrame) -> DataFrame:
@@ -103,34 +105,75 @@ def first_per_key(requests: DataFrame, key: str, salt_on: str, salts: int = 16,
 
 
 def starts_with_quotes(
-    starts: DataFrame, quotes: DataFrame, salts: int = 8, lateness: str = LATENESS
-) -> DataFrame:
-    """Starts joined to their quote within its life.
-
-    Both sides are watermarked and the time range is bounded, so old state is dropped. One
-    quote may attract very many starts: starts are spread over ``salts`` groups and each
-    quote, unique by id, is sent to all of them.
+    starts: DataFrame, quotes: DataFrame, lateness: str = LATENESS, fold_every: int = FOLD_EVERY
+) -> BatchJob:
+    """Starts joined to their quote within its life (S4), to be drained.
+
+    Rows that later batches may need lie in a table, not in the memory of state stores, and a micro-batch
+    is joined as a table: it spills, and a quote that attracts very many starts is left to AQE's skew
+    split. Rows up to the watermark (the older side's newest time, less the lateness) are dropped, and
+    kept ones are no longer met, one micro-batch after it moved, as in Spark's own stream joins.
     """
-    left = (
-        starts.withColumn("_salt", F.pmod(F.xxhash64("request_id"), F.lit(salts)).cast("int"))
-        .withColumnRenamed("quote_id", "_want")
-        .withColumnRenamed("_salt", "_left")
-        .withWatermark("requested_at", lateness)
-    )
-    right = (
-        quotes.select("id", "created_at", "price_per_hour", "deposit")
-        .withColumn("_right", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        .withWatermark("created_at", lateness)
-    )
-    in_life = (F.col("requested_at") >= F.col("created_at")) & (
-        F.col("requested_at") <= F.col("created_at") + F.expr(f"INTERVAL {QUOTE_LIFE_SEC} SECONDS")
+    spark = starts.sparkSession
+    nil = {c: F.lit(None).cast(df.schema[c].dataType).alias(c) for df, c in ((starts, "request_id"), (quotes, "price_per_hour"), (quotes, "deposit"))}
+    asked = starts.select(
+        F.lit(False).alias("made"), "quote_id", F.col("requested_at").alias("ts"), "request_id", nil["price_per_hour"], nil["deposit"]
     )
-    joined = left.join(right, (F.col("_want") == F.col("id")) & (F.col("_left") == F.col("_right")) & in_life)
-    return joined.select(
-        "request_id",
-        F.col("id").alias("quote_id"),
-        "requested_at",
-        add_seconds("created_at", QUOTE_LIFE_SEC).alias("expires_at"),
-        "price_per_hour",
-        "deposit",
+    made = quotes.select(
+        F.lit(True).alias("made"), F.col("id").alias("quote_id"), F.col("created_at").alias("ts"), nil["request_id"], "price_per_hour", "deposit"
     )
+    events = asked.unionByName(made)
+    life = F.expr(f"INTERVAL {QUOTE_LIFE_SEC} SECONDS")
+
+    def joined(rows: DataFrame) -> DataFrame:
+        """Pairs with at least one row of the newest batch."""
+        left = rows.filter(~F.col("made")).select("request_id", F.col("quote_id").alias("_want"), F.col("ts").alias("requested_at"), F.col("_new").alias("_asked_now"))
+        right = rows.filter("made").select("quote_id", F.col("ts").alias("created_at"), "price_per_hour", "deposit", "_new")
+        in_life = (F.col("requested_at") >= F.col("created_at")) & (F.col("requested_at") <= F.col("created_at") + life)
+        pairs = left.join(right, (F.col("_want") == F.col("quote_id")) & in_life & (F.col("_asked_now") | F.col("_new")))
+        return pairs.select(
+            "request_id", "quote_id", "requested_at",
+            add_seconds("created_at", QUOTE_LIFE_SEC).alias("expires_at"), "price_per_hour", "deposit",
+        )
+
+    def open_rows(rows: DataFrame, mark: dt.datetime | None) -> DataFrame:
+        """Without rows that the watermark has passed; quotes stay for their life."""
+        if mark is None:
+            return rows
+        ends = F.when(F.col("made"), F.col("ts") + life).otherwise(F.col("ts"))
+        return rows.filter((F.col("ts") > F.lit(mark) - life) & (ends > F.lit(mark)))
+
+    newest = "asked_until timestamp, made_until timestamp"
+
+    def run(target: str) -> DataFrame:
+        def table(name: str, schema: T.StructType, fold: Callable[[DataFrame], DataFrame] | None = None) -> BatchTable:
+            return BatchTable(spark, f"{target}/{name}", schema, fold, fold_every)
+
+        marks = table("marks", spark.createDataFrame([], newest).schema)
+        pairs = table("pairs", joined(spark.createDataFrame([], events.schema).withColumn("_new", F.lit(True))).schema)
+
+        def handle(batch: DataFrame, batch_id: int) -> None:
+            marks.begin(batch_id)
+            pairs.begin(batch_id)
+            sides = [F.max("asked_until"), F.max("made_until")]
+            older = F.when(sides[0].isNotNull() & sides[1].isNotNull(), F.least(*sides)) - F.expr(f"INTERVAL {lateness}")
+            mark = marks.before(batch_id).filter(F.col("batch") < batch_id - 1).agg(older.alias("mark")).first()["mark"]
+            kept = table("kept", events.schema, lambda rows: open_rows(rows, mark))
+            kept.begin(batch_id)
+            fresh = batch.filter(F.col("ts").isNotNull())
+            kept.write(fresh if mark is None else fresh.filter(F.col("ts") > F.lit(mark)), batch_id)
+            marks.write(
+                kept.of(batch_id).agg(
+                    F.max(F.when(~F.col("made"), F.col("ts"))).alias("asked_until"), F.max(F.when(F.col("made"), F.col("ts"))).alias("made_until")
+                ),
+                batch_id,
+            )
+            rows = kept.of(batch_id).withColumn("_new", F.lit(True))
+            if batch_id:
+                rows = rows.unionByName(open_rows(kept.before(batch_id), mark).withColumn("_new", F.lit(False)))
+            pairs.write(joined(rows), batch_id)
+
+        drain_batches(events, target, handle)
+        return pairs.before(finished(spark, target)).drop("batch")
+
+    return BatchJob(run)
