@@ -16,7 +16,7 @@ from voltmart.checks.warehouse_checks import sources
 from voltmart.operators import bi, constraints, core, mart, meta
 from voltmart.plans import warehouse
 from voltmart.schemas import FCT_PAYMENTS, FCT_RENTALS, KPI_DAILY, LAYERS, PAYMENT_ATTEMPTS, QUOTES, RENTALS, TABLES
-from voltmart.session import scratch_path
+from voltmart.session import lent_options, scratch_path
 from voltmart.sources import export, extract
 from voltmart.sources.store import LayerStore
 
@@ -344,6 +344,42 @@ def test_snapshot_and_restore(spark, views):
     assert rows(store.read("mart", "kpi_daily")) == kept
 
 
+def test_stored_tables_are_exchanged_once_and_leave_nothing(spark):
+    """Only the load exchanges rows; core and restored files hold the ranges of the raw ones, and no exchange's files stay."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def left() -> set[str]:
+        names = (str(x) for x in blocks.getAllBlocks().mkString(" ").split())
+        return {x for x in names if x.startswith("shuffle_")}
+
+    def ranges(folder: str) -> list[tuple]:
+        files = spark.read.parquet(folder).groupBy(F.input_file_name().alias("f")).agg(F.min("created_at").alias("a"), F.max("created_at").alias("b"), F.count("*").alias("n"))
+        return sorted((r.a, r.b, r.n) for r in files.collect())
+
+    n, root = 4000, scratch_path(spark, "ranges")
+    ids = F.col("id")
+    paid = spark.range(0, n, 1, 7).select(
+        ids, F.concat(F.lit("r"), ids % 50).alias("rental_id"), F.lit(5).alias("amount"), F.lit(True).alias("success"),
+        F.lit(None).cast("string").alias("error"), F.timestamp_seconds(1_700_000_000 + F.xxhash64("id") % 90_000).alias("created_at"),
+    )
+    src = few(spark, 4)
+    src["billing"]["payment_attempts"] = paid
+    before = left()
+    store = LayerStore(spark, root)
+    store.bootstrap()
+    conf = {k: spark.conf.get(k, None) for k in ("spark.sql.files.openCostInBytes", "spark.sql.classic.shuffleDependency.fileCleanup.enabled")}
+    with_small_files = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    with lent_options(spark, with_small_files):
+        raw = {f"raw_{s}": warehouse.extract_source(store, s, tables, "v1", NOW) for s, tables in src.items()}
+        core = warehouse.build_core(store, "v1", NOW, raw)
+        store.snapshot(f"{root}/snapshot")
+    assert not left() - before
+    first = ranges(f"{root}/raw_billing/{raw['raw_billing'].folder}/payment_attempts")
+    assert len(first) > 1 and sum(r[2] for r in first) == n and all(a[1] <= b[0] for a, b in zip(first, first[1:]))
+    assert ranges(f"{root}/core/{core.folder}/payment_attempts") == ranges(f"{root}/snapshot/core/payment_attempts") == first
+    assert conf == {k: spark.conf.get(k, None) for k in conf}
+
+
 def test_watermark_log(spark):
     log = spark.createDataFrame(
         [("a", "1", at(0)), ("a", "2", at(5)), ("b", "9", at(1))], "entity string, watermark_value string, updated_at timestamp"

@@ -68,7 +68,7 @@ def extract_increment(
 def build_core(store: LayerStore, version: str, as_of: str, raw: dict[str, Version]) -> Version:
     """Core from exactly the raw versions given."""
     layers = {layer: store.read_layer(layer, raw[layer].folder) for layer in ("raw_rental", "raw_billing")}
-    return store.publish("core", version, core_layer(layers), as_of, ORDER["core"])
+    return store.publish("core", version, core_layer(layers), as_of, ORDER["core"], ranged=tuple(TABLES))
 
 
 def build_mart(store: LayerStore, version: str, as_of: str, core_version: Version) -> Version:
@@ -79,7 +79,7 @@ def build_mart(store: LayerStore, version: str, as_of: str, core_version: Versio
         # One row per day, aggregated first; the small result is one file.
         "kpi_daily": mart.kpi_daily(core["quotes"], core["rentals"], core["payment_attempts"]).repartition(1),
     }
-    return store.publish("mart", version, tables, as_of, ORDER["mart"])
+    return store.publish("mart", version, tables, as_of, ORDER["mart"], ranged=tuple(ORDER["mart"]))
 
 
 def export_mart(store: LayerStore, folder: str, as_of: str, version: Version) -> list[str]:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +30,31 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_lent: dict[tuple[str, ...], tuple[int, dict[str, str | None]]] = {}
+_lending = threading.Lock()
+
+
+@contextmanager
+def lent_options(spark: SparkSession, options: dict[str, str]) -> Iterator[None]:
+    """Runtime options for as long as any thread needs them; then what was set before returns."""
+    names = tuple(options)
+    with _lending:
+        users, before = _lent.get(names) or (0, {k: spark.conf.get(k, None) for k in names})
+        for key, value in options.items():
+            spark.conf.set(key, value)
+        _lent[names] = (users + 1, before)
+    try:
+        yield
+    finally:
+        with _lending:
+            users, before = _lent.pop(names)
+            if users > 1:
+                _lent[names] = (users - 1, before)
+            else:
+                for key, value in before.items():
+                    spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None)

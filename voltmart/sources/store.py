@@ -8,8 +8,10 @@ for; a layer has one writer at a time.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,10 +19,18 @@ from pyspark.sql import functions as F
 
 from voltmart.functions.time import as_ts
 from voltmart.schemas import LAYERS
-from voltmart.session import configure
+from voltmart.session import configure, lent_options
 from voltmart.sources.extract import conform
 
 COMMITS = "version string, folder string, seq long, rows string, committed_at timestamp"
+# Rows of a file are in order, so differences from row to row (the second version's encodings) are short.
+STORED = {"compression": "zstd", "parquet.writer.version": "PARQUET_2_0"}
+# The files of a write's exchange go with the write, not when the driver happens to collect its garbage.
+TIDY = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+# Small files are not read together, so what is written from a stored table has a range of times per file, too.
+WHOLE_FILES = {"spark.sql.files.openCostInBytes": "1g"}
+# One exchange at a time: only one table's rows lie on disk twice.
+_exchanging = threading.Lock()
 
 
 class Version(NamedTuple):
@@ -63,20 +73,25 @@ class LayerStore:
         newest = self._newest(layer)["v"]
         return newest["folder"] if newest else None
 
-    def stage(self, df: DataFrame, layer: str, folder: str, table: str, sort_by: str | None = None) -> int:
+    def stage(
+        self, df: DataFrame, layer: str, folder: str, table: str, sort_by: str | None = None, ranged: bool = False
+    ) -> int:
         """Write one table of an attempt and return its row count, observed during the write.
 
-        With ``sort_by`` each file holds one range of times, so date filters skip whole files; a
-        hash of the row's first column cuts a time that very many rows share.
+        With ``sort_by`` each file holds one range of times, so date filters skip whole files; the
+        row's first column cuts a time that very many rows share. ``ranged`` rows come from files
+        that hold ranges already and are not exchanged.
         """
         seen = Observation()
         schema = LAYERS[layer][table]
         out = conform(df, schema)
         if sort_by:
-            out = out.repartitionByRange(F.col(sort_by), F.xxhash64(schema.names[0])).sortWithinPartitions(sort_by)
+            order = list(dict.fromkeys([sort_by, schema.names[0]]))
+            out = (out if ranged else out.repartitionByRange(*order)).sortWithinPartitions(*order)
         # Counted last: the sampling of the ranges reads the rows, too.
         out = out.observe(seen, F.count(F.lit(1)).alias("rows"))
-        out.write.mode("errorifexists").parquet(self._folder(layer, folder, table))
+        with _exchanging if sort_by and not ranged else nullcontext(), lent_options(self.spark, TIDY):
+            out.write.mode("errorifexists").options(**STORED).parquet(self._folder(layer, folder, table))
         return seen.get["rows"]
 
     def publish(
@@ -87,10 +102,12 @@ class LayerStore:
         committed_at: str,
         sort_by: dict[str, str] | None = None,
         absent: tuple[str, ...] = (),
+        ranged: tuple[str, ...] = (),
     ) -> Version:
         """Stage every table in a fresh folder, then commit it with one appended row.
 
-        A table that is neither given nor named ``absent`` is an error; absent ones are empty.
+        A table that is neither given nor named ``absent`` is an error; absent ones are empty. The
+        ``ranged`` ones are rows of stored tables as they lie there, and keep the ranges of those files.
         """
         names = list(LAYERS[layer])
         missing = [n for n in names if n not in tables and n not in absent]
@@ -100,10 +117,13 @@ class LayerStore:
         frames = {**empty, **tables}
         order = sort_by or {}
         folder = f"{version}-{uuid.uuid4().hex[:12]}"
-        with ThreadPoolExecutor(max_workers=len(names)) as pool:
-            counts = dict(
-                zip(names, pool.map(lambda n: self.stage(frames[n], layer, folder, n, order.get(n)), names))
-            )
+
+        def put(name: str) -> int:
+            return self.stage(frames[name], layer, folder, name, order.get(name), name in ranged)
+
+        whole = lent_options(self.spark, WHOLE_FILES) if ranged else nullcontext()
+        with whole, ThreadPoolExecutor(max_workers=len(names)) as pool:
+            counts = dict(zip(names, pool.map(put, names)))
         row = self.spark.range(1).select(
             F.lit(version).alias("version"),
             F.lit(folder).alias("folder"),
@@ -141,9 +161,10 @@ class LayerStore:
         def copy(job: tuple[str, str]) -> None:
             layer, table = job
             df = self.read(layer, table, taken[layer])
-            df.write.mode("errorifexists").parquet(f"{target}/{layer}/{table}")
+            df.write.mode("errorifexists").options(**STORED).parquet(f"{target}/{layer}/{table}")
 
-        with ThreadPoolExecutor(max_workers=8) as pool:
+        # A file of the copy holds the rows of one file, in their order.
+        with lent_options(self.spark, WHOLE_FILES), ThreadPoolExecutor(max_workers=8) as pool:
             list(pool.map(copy, jobs))
         return taken
 
@@ -155,7 +176,7 @@ class LayerStore:
 
         def put(layer: str) -> Version:
             tables = {t: self.spark.read.schema(s).parquet(f"{source}/{layer}/{t}") for t, s in LAYERS[layer].items()}
-            return self.publish(layer, version, tables, committed_at, order.get(layer))
+            return self.publish(layer, version, tables, committed_at, order.get(layer), ranged=tuple(tables))
 
         with ThreadPoolExecutor(max_workers=len(LAYERS)) as pool:
             return dict(zip(LAYERS, pool.map(put, LAYERS)))
