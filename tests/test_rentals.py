@@ -154,6 +154,25 @@ def test_a_long_chain_takes_few_rounds(spark):
     assert len(took) + sum(took) + 1 <= 25
 
 
+@pytest.mark.parametrize("block", [1, 4, 64, 1 << 16])
+def test_chains_pass_blocks_once(spark, block):
+    """Jumps by joins follow the number of blocks, not the length of chains, whatever the block."""
+    chain = [(f"{i:04d}", f"k{i // 2}", f"q{(i + 1) // 2}") for i in range(300)]
+    chain += [(f"{i * 7:04d}x", f"a{i // 2}", f"b{(i + 1) // 2}") for i in range(40)]
+    # Behind a request that waits for two, and behind a pair on one key and quote.
+    chain += [("1000", "a10", "q90"), ("1001", "z1", "q90"), ("1002", "z1", "z2"), ("1003", "y", "y"), ("1004", "y", "x"), ("1005", "w", "x")]
+    df = spark.createDataFrame(
+        [(k, q, at(int(t[:4])), t, t) for t, k, q in chain],
+        "key string, quote_id string, requested_at timestamp, request_id string, order_id string",
+    ).select("key", "quote_id", F.struct("requested_at", "request_id").alias("turn"), "order_id")
+    took = []
+    got = {r["order_id"] for r in claims.first_claims(df, took, block).collect()}
+    assert got == in_time_order(chain)
+    if block == 1 << 16:
+        assert not any(took)
+    assert all(j <= (len(chain) // block + 4).bit_length() + 1 for j in took)
+
+
 def test_chains_that_meet(spark):
     """Falling and rising stretches: requests that wait for two chains at once."""
     rng = random.Random(2)
