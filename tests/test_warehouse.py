@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import json
+import os
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -332,6 +333,24 @@ def test_run_with_export_twice(spark):
     assert store.read("meta", "etl_watermark").count() == 3
 
 
+def test_run_with_export_keeps_no_exchange_files(spark, views):
+    """What is left of a run is its tables and its exports, plain text as before."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def left() -> set[str]:
+        return {x for x in blocks.getAllBlocks().mkString(" ").split() if x.startswith("shuffle_")}
+
+    root, before = scratch_path(spark, "tidy"), left()
+    # Small results (audit rows, bookmarks) may leave theirs until the driver collects its garbage.
+    counts = warehouse.run_warehouse(spark, sources(views), root, "run-1", NOW, f"{root}/export")
+    folder = f"{root}/export/{export.export_name('mart', 'fct_payments', NOW)}"
+    assert counts["mart"]["fct_payments"] == export.read_export(spark, folder, FCT_PAYMENTS.names).count()
+    names = spark.read.format("binaryFile").load(folder).select("path").collect()
+    assert names and all(r["path"].endswith(".csv") for r in names)
+    size = sum(os.path.getsize(f) for x in left() - before for f in [blocks.getFile(x).getPath()] if os.path.exists(f))
+    assert size < 100_000
+
+
 def test_snapshot_and_restore(spark, views):
     root = scratch_path(spark, "snap")
     warehouse.run_warehouse(spark, sources(views), root, "run-1", NOW)
